@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statloom.llm import chars, mixing, packing, quantiles
+from statloom.llm import chars, mixing, packing, quantiles, survivors
 from statloom.runtime import blank, table, written
 
 
@@ -76,7 +76,26 @@ def p9_shares(spark, d):
     return mixing.share_report(mixing.mix(sized, plan), plan)
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_percentiles, p5_found, p5_batches, p5_fill, p7_found, p7_canonical_contexts, p9_found, p9_mix, p9_shares)}
+def p6_found(spark, d):
+    return survivors.best_rows(table(spark, d, "merged_statistics"))
+
+
+def p6_survivors(spark, d):
+    """One record per finding, each field from its best row."""
+    return survivors.survivors(table(spark, d, "merged_statistics"))
+
+
+def p6_judged(spark, d):
+    """Every stated location and context with the probability that it is true, by the two-sided quality model."""
+    return survivors.judged(table(spark, d, "merged_statistics"))[0]
+
+
+def p6_quality(spark, d):
+    """Sensitivity and specificity of each extractor, by field."""
+    return survivors.judged(table(spark, d, "merged_statistics"))[1]
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_percentiles, p5_found, p5_batches, p5_fill, p6_found, p6_survivors, p6_judged, p6_quality, p7_found, p7_canonical_contexts, p9_found, p9_mix, p9_shares)}
 
 
 def _re2(points) -> str:
@@ -103,4 +122,22 @@ _P5 = """
 SELECT id FROM articles WHERE regexp_matches(body, '[^\\s\\x0b\\x1c-\\x1f\\x{85}\\p{Z}]')
 AND (coalesce(length(title), 0) + coalesce(length(abstract), 0) + coalesce(length(body), 0)) // 4 > 8000
 """
-ORACLES = {"p3_found": _P3, "p5_found": _P5, "p7_found": _p7_sql()}
+_P6 = """
+WITH p AS (SELECT *, regexp_replace(regexp_replace(lower(trim(statistic_type)), '[\\s_-]+', '_', 'g'), 's$', '') AS t,
+    CASE WHEN json_valid(value) THEN value END AS j, lower(trim(source)) AS s FROM merged_statistics WHERE pmc_id IS NOT NULL),
+k AS (SELECT *,
+    CASE WHEN t = 'confidence_interval' THEN TRY_CAST(coalesce(j->>'$.lower', j->>'$.value.lower', j->>'$[0]', j->>'$.value[0]') AS DOUBLE) END AS lo,
+    CASE WHEN t = 'confidence_interval' THEN TRY_CAST(coalesce(j->>'$.upper', j->>'$.value.upper', j->>'$[1]', j->>'$.value[1]') AS DOUBLE) END AS hi,
+    CASE WHEN t <> 'confidence_interval' THEN TRY_CAST(coalesce(j->>'$.value', j->>'$') AS DOUBLE) END AS num,
+    CASE WHEN t = 'effect_size' THEN regexp_replace(lower(j->>'$.type'), '[\\s_-]+', '', 'g') END AS nm,
+    CASE s WHEN 'both' THEN 0 WHEN 'llm' THEN 1 WHEN 'regex' THEN 2 ELSE 3 END AS rk FROM p),
+g AS (SELECT *, min(id) OVER w AS group_id, count(*) OVER w AS n FROM k
+    WHERE (t = 'confidence_interval' AND lo IS NOT NULL AND hi IS NOT NULL) OR (t <> 'confidence_interval' AND num IS NOT NULL AND (t <> 'effect_size' OR nm IS NOT NULL))
+    WINDOW w AS (PARTITION BY pmc_id, t, lo, hi, num, nm)),
+f AS (SELECT group_id, 'source' AS field, id, rk, created_at, 0 AS cut FROM g WHERE n > 1 AND trim(source) <> '' AND s NOT IN ('n/a', 'unknown', '-', 'null', 'none')
+  UNION ALL SELECT group_id, 'context', id, rk, created_at, CASE WHEN regexp_matches(trim(context), '(\\.\\.\\.|\\[\\.\\.\\.\\])$') THEN 1 ELSE 0 END FROM g WHERE n > 1 AND trim(context) <> '' AND lower(trim(context)) NOT IN ('n/a', 'unknown', '-', 'null', 'none')
+  UNION ALL SELECT group_id, 'location', id, rk, created_at, 0 FROM g WHERE n > 1 AND trim(location) <> '' AND lower(trim(location)) NOT IN ('n/a', 'unknown', '-', 'null', 'none')
+  UNION ALL SELECT group_id, 'confidence', id, rk, created_at, 0 FROM g WHERE n > 1 AND confidence BETWEEN 0 AND 1)
+SELECT group_id, field, id AS from_id FROM f QUALIFY row_number() OVER (PARTITION BY group_id, field ORDER BY cut, rk, created_at DESC NULLS LAST, id DESC) = 1
+"""
+ORACLES = {"p6_found": _P6, "p3_found": _P3, "p5_found": _P5, "p7_found": _p7_sql()}
