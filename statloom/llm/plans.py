@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statloom.llm import chars, mixing, packing, quantiles, survivors
+from statloom.llm import chars, leakage, mixing, packing, quantiles, subjects, survivors
 from statloom.runtime import blank, table, written
 
 
@@ -95,7 +95,29 @@ def p6_quality(spark, d):
     return survivors.judged(table(spark, d, "merged_statistics"))[1]
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_percentiles, p5_found, p5_batches, p5_fill, p6_found, p6_survivors, p6_judged, p6_quality, p7_found, p7_canonical_contexts, p9_found, p9_mix, p9_shares)}
+def p8_found(spark, d):
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items")).where(F.col("run_words") >= leakage.WORDS).select("doc_id", "item_id")
+
+
+def p8_altered(spark, d):
+    """Leaks of stretches of twenty words in which a word may be altered, with how much of the item was aligned."""
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"), words=20, edits=1).where("aligned_words - edits >= 18")
+
+
+def _subject_model(spark, d):
+    return subjects.fit(*(table(spark, d, n) for n in ("documents", "subject_labels", "subjects", "eval_items")))
+
+
+def p10_found(spark, d):
+    return subjects.document_subjects(table(spark, d, "documents"), _subject_model(spark, d)).select("doc_id", "subject_code")
+
+
+def p10_composition(spark, d):
+    """Make-up of the corpus by subject."""
+    return subjects.composition(subjects.document_subjects(table(spark, d, "documents"), _subject_model(spark, d)))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_percentiles, p5_found, p5_batches, p5_fill, p6_found, p6_survivors, p6_judged, p6_quality, p7_found, p7_canonical_contexts, p8_found, p8_altered, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
 
 
 def _re2(points) -> str:
