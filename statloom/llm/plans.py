@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from statloom.llm import chars, leakage, mixing, packing, quantiles, subjects, survivors
+from statloom.llm import chars, leakage, markup, mixing, packing, quantiles, subjects, survivors
 from statloom.runtime import blank, table, written
 
 
+def _cleaned(spark, d):
+    return markup.cleaned(table(spark, d, "articles"))
+
+
+def p1_found(spark, d):
+    return markup.element_rows(_cleaned(spark, d))
+
+
+def p1_clean(spark, d):
+    """Clean text of every article and how many elements it keeps."""
+    return _cleaned(spark, d).select("id", "marked", "clean_text", F.size("elements").alias("elements"))
+
+
 def _p7_tables(spark, d):
     return {"articles": (table(spark, d, "articles"), "id", "full_text"), "merged_statistics": (table(spark, d, "merged_statistics"), "id", "context")}
 
@@ -117,7 +130,7 @@ def p10_composition(spark, d):
     return subjects.composition(subjects.document_subjects(table(spark, d, "documents"), _subject_model(spark, d)))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_percentiles, p5_found, p5_batches, p5_fill, p6_found, p6_survivors, p6_judged, p6_quality, p7_found, p7_canonical_contexts, p8_found, p8_altered, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_percentiles, p5_found, p5_batches, p5_fill, p6_found, p6_survivors, p6_judged, p6_quality, p7_found, p7_canonical_contexts, p8_found, p8_altered, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
 
 
 def _re2(points) -> str:
