@@ -532,4 +532,4 @@ def element_rows(clean: DataFrame) -> DataFrame:
     marked = clean.where("marked").select("id", "elements.element")
     counts = F.array(F.struct(F.lit("any").alias("element"), F.lit(0).alias("lo"), F.lit(0).alias("hi")), *[F.struct(F.lit(e).alias("element"), F.lit(1).alias("lo"), F.size(F.filter("element", lambda x, e=e: x == e)).alias("hi")) for e in ELEMENTS])
     each = marked.select("id", F.explode(counts).alias("c")).where("c.hi >= c.lo")
-    return each.select("id", "c.element", F.explode(F.sequence("c.lo", "c.hi")).cast("int").alias("seq"))
+    return each.select("id", "c.element", F.explode(F.sequence("c.lo", "c.hi")).alias("seq"))
