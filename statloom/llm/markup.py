@@ -530,6 +530,8 @@ def cleaned(df: DataFrame, id_col: str = "id", body_col: str = "body") -> DataFr
 def element_rows(clean: DataFrame) -> DataFrame:
     """(id, element, seq): one row (id, 'any', 0) for every marked body and one for each element, numbered per kind."""
     marked = clean.where("marked").select("id", "elements.element")
-    counts = F.array(F.struct(F.lit("any").alias("element"), F.lit(0).alias("lo"), F.lit(0).alias("hi")), *[F.struct(F.lit(e).alias("element"), F.lit(1).alias("lo"), F.size(F.filter("element", lambda x, e=e: x == e)).alias("hi")) for e in ELEMENTS])
+    span = lambda e, lo, hi: F.struct(F.lit(e).alias("element"), F.lit(lo).alias("lo"), hi.alias("hi"))
+    found = lambda e: F.size(F.filter("element", lambda x: x == e))
+    counts = F.array(span("any", 0, F.lit(0)), *[span(e, 1, found(e)) for e in ELEMENTS])
     each = marked.select("id", F.explode(counts).alias("c")).where("c.hi >= c.lo")
     return each.select("id", "c.element", F.explode(F.sequence("c.lo", "c.hi")).alias("seq"))
