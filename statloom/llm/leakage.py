@@ -200,10 +200,9 @@ def leaked(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text",
     picked = items.where(F.col(item_col).isNotNull() & F.col(passage_col).isNotNull())
     size = picked.agg(F.coalesce(F.sum(F.length(passage_col)), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // BLOCK_CHARS))
-    raw = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    odd = chars.unstable(F.col(text_col))
+    raw = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("txt"))
     # only texts with unstable characters are put into form in Python
-    ready = raw.select(F.col(id_col).cast("long").alias("id"), F.when(~odd, plain_words(F.col(text_col))).alias("plain"), F.when(odd, F.col(text_col)).alias("odd"))
+    ready = raw.withColumn("odd", chars.unstable(F.col("txt"))).select("id", F.when(~F.col("odd"), plain_words(F.col("txt"))).alias("plain"), F.when(F.col("odd"), F.col("txt")).alias("odd"))
     out = None
     for k in range(blocks):
         block = picked.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == k).select(item_col, passage_col).distinct().collect()

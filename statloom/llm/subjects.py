@@ -296,10 +296,8 @@ def document_subjects(docs: DataFrame, model: SubjectClassifier, id_col: str = "
     """(doc_id, subject_code, share of its subject-bearing sentences) of every document. Null, empty and boilerplate-only
     texts have none; repeated documents give their rows again."""
     blob = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    odd = chars.unstable(F.col(text_col))
-    ready = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.when(~odd, reduced(F.col(text_col))).alias("plain"), F.when(odd, F.col(text_col)).alias("odd")
-    )
+    raw = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("txt"))
+    ready = raw.withColumn("odd", chars.unstable(F.col("txt"))).select("id", F.when(~F.col("odd"), reduced(F.col("txt"))).alias("plain"), F.when(F.col("odd"), F.col("txt")).alias("odd"))
 
     def score(batches):
         m = pickle.loads(blob.value)
