@@ -49,7 +49,7 @@ def eta(batches: DataFrame, total: int, batch_size: int, last: int = 1000) -> Da
     mean = F.avg("seconds").over(w.rowsBetween(-(last - 1), 0))
     done = F.row_number().over(w) * batch_size
     left = F.greatest(F.lit(total) - done, F.lit(0))
-    return batches.select("run", "seq", F.round(mean, 6).alias("mean_seconds"), done.cast("long").alias("done"), F.round(F.ceil(left / batch_size) * mean, 6).alias("eta_seconds"))
+    return batches.select("run", "seq", F.round(mean, 9).alias("mean_seconds"), done.cast("long").alias("done"), F.round(F.ceil(left / batch_size) * mean, 7).alias("eta_seconds"))
 
 
 def health_score() -> Column:
