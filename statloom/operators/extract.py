@@ -12,9 +12,16 @@ from statloom.functions.patterns import CATALOGUES, CATEGORIES, WEIGHTS
 from statloom.sources.readers import METADATA
 
 
+def _guarded(patterns: list[str]) -> str:
+    try:
+        return dialect.guarded(patterns)
+    except ValueError:
+        return dialect.alternation(patterns)
+
+
 def hits(text: Column | str, patterns: list[str], ignore_case: bool = True, dotall: bool = False) -> Column:
     """All matches in order, repeats included; null for a null text."""
-    return F.regexp_extract_all(text, F.lit(dialect.java(dialect.alternation(patterns), ignore_case, dotall)), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(dialect.java(_guarded(patterns), ignore_case, dotall)), F.lit(0))
 
 
 def distinct_hits(text: Column | str, patterns: list[str], ignore_case: bool = True) -> Column:

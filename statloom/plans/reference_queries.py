@@ -10,7 +10,7 @@ from statloom.functions import dialect
 from statloom.functions import patterns as P
 from statloom.operators import analytics, audit, batching, extract, findings, merge, prioritize, progress, responses, structured, validate
 from statloom.sources import readers, sinks
-from statloom.runtime import scratch, table
+from statloom.runtime import scratch, spread, table
 from statloom.streaming import streams
 
 QUERIES: dict = {}
@@ -37,7 +37,7 @@ def arts(spark, d):
 
 def extracted(spark, d, profile="implemented"):
     cols = ["id", "pmc_id", "journal", "pub_year", "text"]
-    return extract.extract(arts(spark, d).select(*cols), profile)
+    return extract.extract(spread(arts(spark, d).select(*cols)), profile)
 
 
 def fs(spark, d):
@@ -168,7 +168,7 @@ def _extract_query(c: str):
     sql = f"WITH {A} SELECT id, len(list_distinct({_hits('text', P.IMPLEMENTED[c])})) AS hits FROM a"
 
     def run(spark, d):
-        return arts(spark, d).select("id", F.size(extract.distinct_hits(F.col("text"), P.IMPLEMENTED[c])).alias("hits"))
+        return spread(arts(spark, d).select("id", "text")).select("id", F.size(extract.distinct_hits(F.col("text"), P.IMPLEMENTED[c])).alias("hits"))
 
     query(sql, f"extract_{c}")(run)
 
@@ -198,19 +198,19 @@ _W = "w AS (SELECT id, coalesce(title, '') || ' ' || coalesce(abstract, '') || '
 @query(f"WITH {_W} SELECT id, " + " + ".join(f"len({_hits('text', [p])})" for p, _ in P.STRUCTURED.values()) + " AS findings FROM w")
 def structured_findings_count(spark, d):
     counts = structured.pattern_counts(structured.whole_text())
-    return table(spark, d, "articles").select("id", reduce(lambda a, b: a + b, counts.values()).alias("findings"))
+    return spread(table(spark, d, "articles").select("id", "title", "abstract", "body")).select("id", reduce(lambda a, b: a + b, counts.values()).alias("findings"))
 
 
 @query("WITH " + _W + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS pattern, sum(len({_hits('text', [p])})) AS findings FROM w" for n, (p, _) in P.STRUCTURED.items()) + ") WHERE findings > 0")
 def structured_findings(spark, d):
     """Findings with exact offsets, counted by pattern."""
-    return structured.findings(table(spark, d, "articles")).groupBy("pattern").agg(F.count(F.lit(1)).alias("findings"))
+    return structured.findings(spread(table(spark, d, "articles").select("id", "title", "abstract", "body"))).groupBy("pattern").agg(F.count(F.lit(1)).alias("findings"))
 
 
 @query()
 def structured_valid(spark, d):
     """Structured findings that pass the confidence and order checks, by type."""
-    return structured.valid_findings(structured.findings(table(spark, d, "articles"))).groupBy("type").agg(F.count(F.lit(1)).alias("findings"))
+    return structured.valid_findings(structured.findings(spread(table(spark, d, "articles").select("id", "title", "abstract", "body")))).groupBy("type").agg(F.count(F.lit(1)).alias("findings"))
 
 
 @query("SELECT id, " + " + ".join(f"len({_hits('body', [p], dotall=True)})" for p in P.TABLE_MARKS) + " AS sections FROM articles WHERE body IS NOT NULL")

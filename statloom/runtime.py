@@ -33,6 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where its files make far fewer splits than there are cores (a few small or unsplittable files);
+    otherwise df as it is. For work that costs more than moving the rows."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() * 2 <= cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it; a local one only where none is set (tests)."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
