@@ -1,8 +1,8 @@
 """Subject areas of documents: interpolated n-gram language models, subject against background.
 
-One bigram model is trained per subject, one for all text (the background) and one for held-out passages, which
-carry no subject of the document they stand in. A sentence's per-token cross-entropy under each subject model is
-held against the background's; the gain, summed over the sentence, says whether it bears a subject and which. A
+One bigram model is trained per subject and one for held-out passages, which carry no subject of the document they
+stand in. A sentence's per-token cross-entropy under each subject's model is held against that of its background
+model, the other subjects; the gain, summed over the sentence, says whether it bears a subject and which. A
 document is accepted for every subject that a calibrated share of its subject-bearing sentences deals with.
 
 The models are trained on a bounded sample of the labelled documents (MAX_LABELLED); scoring covers every document
@@ -30,9 +30,9 @@ MAX_PASSAGES = 2000
 #: Pseudo-counts with which a bigram falls back on the unigram, and a unigram on the uniform model.
 KAPPA, ALPHA = 1000.0, 3.0
 #: Gain or loss of a single word, in nats, that may be chance and is taken off every word's.
-NOISE = 1.0
+NOISE = 1.5
 #: Gain over the background from which a sentence bears a subject; share of such sentences that makes a subject.
-BEARING, SHARE = 0.5, 0.3
+BEARING, SHARE = 1.0, 0.3
 
 _NUMBER, _BREAK, _OTHER = r"\p{Nd}+(?:[.,]\p{Nd}+)*", r"\n(?=[ \t]*\p{Ll})", r"[^\p{L}\p{Nd}.!?\n]+"
 
@@ -140,58 +140,54 @@ def _pairs(w: Words) -> np.ndarray:
 
 
 class Models:
-    """Interpolated bigram models of several classes over common words and pairs; class 0 is the background: all
-    classes but the last (held-out passages) in equal parts, so that a frequent subject gains as much as a rare one."""
+    """Interpolated bigram models of the subjects and of held-out passages, each held against its own background: the
+    other subjects in equal parts (for held-out passages, all subjects). So neither the number of subjects nor their
+    frequencies limit what a word can gain."""
 
     def __init__(self, w: Words, weights: np.ndarray):
-        """weights: how much each sentence counts for each class, (sentences, classes); the background's column is set here."""
+        """weights: how much each sentence counts for each class, (sentences, classes); the last class is held-out text."""
         size = np.bincount(w.sentence, minlength=len(w.starts))
         tokens = weights.T @ size
-        full = tokens[1:-1][tokens[1:-1] > 0]
+        full = tokens[:-1][tokens[:-1] > 0]
         mean = full.mean() if len(full) else 1.0
         weights = weights * np.where(tokens > 0, mean / np.maximum(tokens, 1e-9), 0)
-        weights[:, 0] = weights[:, 1:-1].sum(axis=1) / max(1, len(full))
         pair, before = _pairs(w)
         self.words, self.pairs = Table(w.hashes), Table(pair)
         n = weights.shape[1]
         of_word, of_pair, of_before = self.words.find(w.hashes), self.pairs.find(pair), self.words.find(before)
         uni, bi = np.zeros((len(self.words.keys), n)), np.zeros((len(self.pairs.keys), n))
-        hist, start = np.zeros((len(self.words.keys), n)), np.zeros(n)
+        hist, start = np.zeros((len(self.words.keys), n)), np.zeros((1, n))
         per = weights[w.sentence]
+        known = of_before >= 0
         for c in range(n):
             uni[:, c] = np.bincount(of_word, per[:, c], len(uni))
             bi[:, c] = np.bincount(of_pair, per[:, c], len(bi))
-            known = of_before >= 0
             hist[:, c] = np.bincount(of_before[known], per[known, c], len(hist))
-            start[c] = per[~known, c].sum()
-        total = uni.sum(axis=0)
-        v = len(uni) + 1
-        p1 = (uni + ALPHA) / (total + ALPHA * v)
-        self.unknown = np.log(ALPHA / (total + ALPHA * v))
-        self.uni = np.log(p1)
-        self.hist = np.log(KAPPA / (hist + KAPPA))
-        self.start = np.log(KAPPA / (start + KAPPA))
+            start[0, c] = per[~known, c].sum()
         word_of_pair, hist_of_pair = np.zeros(len(bi), np.int64), np.full(len(bi), -1)
         word_of_pair[of_pair], hist_of_pair[of_pair] = of_word, of_before
-        h = np.where((hist_of_pair >= 0)[:, None], hist[np.maximum(hist_of_pair, 0)], start)
-        self.bi = np.log((bi + KAPPA * p1[word_of_pair]) / (h + KAPPA))
-        self._against_background()
-
-    def _against_background(self) -> None:
-        """Only gains over the background are needed from here on."""
-        for name in ("uni", "hist", "bi"):
-            m = getattr(self, name)
-            setattr(self, name, (m - m[:, :1])[:, 1:].astype(np.float32))
-        for name in ("unknown", "start"):
-            m = getattr(self, name)
-            setattr(self, name, (m - m[0])[1:].astype(np.float32))
-        # a word no model knows says nothing about any
-        self.unknown[:] = 0
+
+        def logs(u, b, h, s):
+            p1 = (u + ALPHA) / (u.sum(axis=0) + ALPHA * (len(u) + 1))
+            before_pair = np.where((hist_of_pair >= 0)[:, None], h[np.maximum(hist_of_pair, 0)], s) if len(h) else np.broadcast_to(s, b.shape)
+            p2 = (b + KAPPA * (p1[word_of_pair] if len(p1) else 0)) / (before_pair + KAPPA)
+            return np.log(p1), np.log(p2), np.log(KAPPA / (h + KAPPA)), np.log(KAPPA / (s + KAPPA))
+
+        own = logs(uni, bi, hist, start)
+        against = logs(*(self._background(x) for x in (uni, bi, hist, start)))
+        self.uni, self.bi, self.hist, self.start = ((x - y).astype(np.float32) for x, y in zip(own, against, strict=True))
+
+    @staticmethod
+    def _background(x: np.ndarray) -> np.ndarray:
+        subjects = x[:, :-1]
+        n = subjects.shape[1]
+        total = subjects.sum(axis=1, keepdims=True)
+        return np.hstack([(total - subjects) / max(1, n - 1), total / max(1, n)]).clip(min=0)
 
     def gains(self, w: Words) -> np.ndarray:
-        """(sentences, classes without the background): nats by which each model beats the background."""
-        if not len(w.hashes):
-            return np.zeros((0, self.uni.shape[1]), np.float32)
+        """(sentences, classes): nats by which each model beats its background. A word no model knows says nothing."""
+        if not len(w.hashes) or not len(self.uni):  # no words, or a model of none
+            return np.zeros((len(w.starts), self.uni.shape[1]), np.float32)
         pair, before = _pairs(w)
         of_pair = self.pairs.find(pair)
         seen = of_pair >= 0
@@ -200,7 +196,7 @@ class Models:
         rest = np.flatnonzero(~seen)
         of_word, of_before = self.words.find(w.hashes[rest]), self.words.find(before[rest])
         known = of_word >= 0
-        part = np.where(known[:, None], self.uni[np.maximum(of_word, 0)], self.unknown)
+        part = np.where(known[:, None], self.uni[np.maximum(of_word, 0)], np.float32(0))
         # the history's part counts only where the word itself is known
         part += known[:, None] * np.where((of_before >= 0)[:, None], self.hist[np.maximum(of_before, 0)], np.where((before[rest] == 0)[:, None], self.start, np.float32(0)))
         out[rest] = part
@@ -253,9 +249,9 @@ def train(labelled: list[tuple[str, list[str]]], passages: list[str], codes: lis
                 allowed[i, codes.index(c)] = True
     held = w.text >= len(labelled)
     may = allowed[w.text] & ~held[:, None] & w.whole[:, None]
-    weights = np.zeros((len(w.starts), n + 2))
-    weights[held, n + 1] = 1
-    weights[:, 1 : n + 1] = may / np.maximum(may.sum(axis=1), 1)[:, None]
+    weights = np.zeros((len(w.starts), n + 1))
+    weights[held, n] = 1
+    weights[:, :n] = may / np.maximum(may.sum(axis=1), 1)[:, None]
     return calibrated(SubjectClassifier(codes, Models(w, weights)), labelled)
 
 
