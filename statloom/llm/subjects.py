@@ -184,7 +184,7 @@ class Models:
         total = subjects.sum(axis=1, keepdims=True)
         return np.hstack([(total - subjects) / max(1, n - 1), total / max(1, n)]).clip(min=0)
 
-    def gains(self, w: Words) -> np.ndarray:
+    def gains(self, w: Words, noise: float | None = None) -> np.ndarray:
         """(sentences, classes): nats by which each model beats its background. A word no model knows says nothing."""
         if not len(w.hashes) or not len(self.uni):  # no words, or a model of none
             return np.zeros((len(w.starts), self.uni.shape[1]), np.float32)
@@ -200,7 +200,7 @@ class Models:
         # the history's part counts only where the word itself is known
         part += known[:, None] * np.where((of_before >= 0)[:, None], self.hist[np.maximum(of_before, 0)], np.where((before[rest] == 0)[:, None], self.start, np.float32(0)))
         out[rest] = part
-        out = np.sign(out) * np.maximum(np.abs(out) - np.float32(NOISE), 0)
+        out = np.sign(out) * np.maximum(np.abs(out) - np.float32(NOISE if noise is None else noise), 0)
         return np.add.reduceat(out, w.starts, axis=0)
 
 
@@ -235,10 +235,11 @@ class SubjectClassifier:
         return [(int(t), int(s), float(part[t, s])) for t, s in zip(*np.nonzero((part >= self.share) & (counts > 0)), strict=True)]
 
 
-def train(labelled: list[tuple[str, list[str]]], passages: list[str], codes: list[str]) -> SubjectClassifier:
+def train(labelled: list[tuple[str, list[str]]], passages: list[str], codes: list[str], rounds: int = 2) -> SubjectClassifier:
     """From (reduced text, its codes) of labelled documents and reduced held-out passages. Labels name documents, not
-    sentences, and some are wrong: every whole sentence counts for its document's labels in equal parts; what all
-    subjects share, or only strays into one, gains less than NOISE a word and so nothing."""
+    sentences, and some are wrong: every whole sentence counts for its document's labels, first in equal parts, then in
+    the parts its words speak for; sentences of held-out passages count for none. What all subjects share, or only
+    strays into one, gains less than NOISE a word and so nothing."""
     texts = [t for t, _ in labelled] + passages
     w = split_words(texts)
     n = len(codes)
@@ -252,6 +253,12 @@ def train(labelled: list[tuple[str, list[str]]], passages: list[str], codes: lis
     weights = np.zeros((len(w.starts), n + 1))
     weights[held, n] = 1
     weights[:, :n] = may / np.maximum(may.sum(axis=1), 1)[:, None]
+    for _ in range(rounds - 1):
+        g = Models(w, weights).gains(w, 0.0)
+        own = np.where(may, g[:, :n], -np.inf)
+        top = own.max(axis=1, keepdims=True, initial=-np.inf)
+        part = np.exp(np.where(may, own - np.where(np.isfinite(top), top, 0), -np.inf))
+        weights[:, :n] = part / np.maximum(part.sum(axis=1), 1e-9)[:, None] * (g[:, n] < 0)[:, None]
     return calibrated(SubjectClassifier(codes, Models(w, weights)), labelled)
 
 
