@@ -64,8 +64,8 @@ def pack_batches(articles: DataFrame, target: int = TARGET_TOKENS, slot_rows: in
     a = articles.select(F.col("id").cast("long").alias("id"), group_key().alias("group_key"), F.length(_text("body")).alias("len"), token_estimate().alias("tokens"))
     per = a.groupBy("group_key", "len").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("group_key").orderBy("len").rowsBetween(Window.unboundedPreceding, -1)
-    slots = per.withColumn("slot", F.floor(F.coalesce(F.sum("n").over(upto), F.lit(0)) / slot_rows).cast("int")).drop("n")
-    rows = a.join(slots, ["group_key", "len"])
+    slots = per.withColumn("slot", F.floor(F.coalesce(F.sum("n").over(upto), F.lit(0)) / slot_rows).cast("int")).withColumn("cuts", F.ceil(F.col("n") / slot_rows)).drop("n")
+    rows = a.join(slots, ["group_key", "len"]).withColumn("slot", F.col("slot") + F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["len", "id"], kind="stable")

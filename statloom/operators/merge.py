@@ -1,13 +1,16 @@
 """Merging of pattern and model findings with tolerance-based de-duplication.
 
 Within an article the result depends on the order (a value kept may shut out later ones), so close values are found
-by a fold; before it, values are made distinct by their key with a partial aggregation, so that repeated findings
-never gather in one task.
+by a fold over lists. Before it, values are made distinct by their key with a partial aggregation and cut into islands:
+runs of sorted values with steps below the tolerance. Nothing in one island can be close to anything in another, so
+each island is folded alone, and no task gathers an article's findings, however many it has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Decimals of a key and the difference below which two values are the same.
@@ -16,88 +19,107 @@ CI_NEAR, P_NEAR, EFFECT_NEAR = 0.01, 0.0001, 0.01
 REGEX_FACTOR = 0.8
 KEY_CHARS = 50
 
-
-def _first(f: DataFrame, kind: str, key: list[Column], value: Column, by: str = "pmc_id") -> DataFrame:
-    """Different values of a kind by article and extractor, each with the first id it has; then per article two lists in
-    order of these ids. Values without a key are dropped."""
-    d = f.where(F.col("kind") == kind).withColumn("_v", value)
-    for i, k in enumerate(key):
-        d = d.withColumn(f"_k{i}", k)
-    names = [f"_k{i}" for i in range(len(key))]
-    d = d.where(" and ".join(f"{n} is not null" for n in names)).groupBy(by, "extractor", *names).agg(F.min(F.struct("id", "_v")).alias("_f"))
-    entry = F.struct(F.col("_f.id").alias("id"), F.col("_f._v").alias("v"), F.struct(*names).alias("k"))
+#: Columns of merged findings, one row each.
+MERGED = ("kind", "id", "extractor", "name", "lo", "hi", "level", "num")
+
+
+def _distinct(f: DataFrame, kind: str, keys: Sequence[Column], by: str) -> DataFrame:
+    """Different values of a kind by article and extractor, each as the first row that has it. Values without a key are
+    dropped."""
+    d = f.where(F.col("kind") == kind)
+    names = [f"k{i}" for i in range(len(keys))]
+    for n, k in zip(names, keys, strict=True):
+        d = d.withColumn(n, k)
+    first = F.min(F.struct("id", "lo", "hi", "level", "num")).alias("f")
+    d = d.where(" and ".join(f"{n} is not null" for n in names)).groupBy(by, "extractor", "name", *names).agg(first)
+    return d.select(by, "extractor", "name", *names, "f.*")
+
+
+def _folded(d: DataFrame, by: str, order: str, step: float, keys: Sequence[str], near) -> DataFrame:
+    """MERGED rows of distinct values: an island's model values, and behind them, in order of id, every pattern value
+    whose key is new and that is close to nothing kept so far."""
+    w = Window.partitionBy(by, "name").orderBy(order, "id")
+    apart = F.coalesce((F.col(order) - F.lag(order).over(w) >= step).cast("int"), F.lit(0))
+    d = d.withColumn("_apart", apart).withColumn("_island", F.sum("_apart").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    entry = F.struct("id", "extractor", "lo", "hi", "level", "num", F.struct(*keys).alias("k"))
     pick = lambda e: F.array_sort(F.collect_list(F.when(F.col("extractor") == e, entry)))
-    return d.groupBy(by).agg(pick("llm").alias("llm"), pick("regex").alias("regex"))
+    g = d.groupBy(by, "name", "_island").agg(pick("llm").alias("l"), pick("regex").alias("r"))
+    fold = F.aggregate("r", F.col("l"), lambda acc, x: F.when(F.exists(acc, lambda y: (y["k"] == x["k"]) | near(x, y)), acc).otherwise(F.concat(acc, F.array(x))))
+    return g.select(by, "name", F.explode(fold).alias("m")).select(by, "name", "m.id", "m.extractor", "m.lo", "m.hi", "m.level", "m.num")
 
 
-def _fold(close) -> Column:
-    """The llm list and behind it every regex entry whose key is new and that is close to nothing kept so far."""
-    return F.aggregate("regex", F.col("llm"), lambda acc, x: F.when(F.exists(acc, lambda y: (y["k"] == x["k"]) | close(x["v"], y["v"])), acc).otherwise(F.concat(acc, F.array(x))))
+def _rows(d: DataFrame, kind: str, by: str) -> DataFrame:
+    return d.select(by, F.lit(kind).alias("kind"), *MERGED[1:])
 
 
 def merge_intervals(f: DataFrame, by: str = "pmc_id") -> DataFrame:
-    """(pmc_id, llm, regex, merged): entries (id, v{lo, hi, level}, k). A regex interval without level has 95."""
-    level = F.when(F.col("extractor") == "regex", F.coalesce("level", F.lit(95.0))).otherwise(F.col("level"))
-    d = _first(f, "confidence_interval", [F.round("lo", CI_DECIMALS), F.round("hi", CI_DECIMALS)], F.struct("lo", "hi", level.alias("level")), by)
+    """Merged intervals. A pattern's interval without level has 95."""
+    level = F.when((F.col("extractor") == "regex") & F.col("level").isNull(), F.lit(95.0)).otherwise(F.col("level"))
+    d = _distinct(f.withColumn("level", level), "confidence_interval", [F.round("lo", CI_DECIMALS), F.round("hi", CI_DECIMALS)], by)
     near = lambda a, b: (F.abs(a["lo"] - b["lo"]) < CI_NEAR) & (F.abs(a["hi"] - b["hi"]) < CI_NEAR)
-    return d.withColumn("merged", _fold(near))
+    return _rows(_folded(d, by, "lo", CI_NEAR, ["k0", "k1"], near), "confidence_interval", by)
 
 
 def merge_p_values(f: DataFrame, by: str = "pmc_id") -> DataFrame:
-    d = _first(f, "p_value", [F.round("num", P_DECIMALS)], F.struct("num"), by)
-    return d.withColumn("merged", _fold(lambda a, b: F.abs(a["num"] - b["num"]) < P_NEAR))
+    d = _distinct(f, "p_value", [F.round("num", P_DECIMALS)], by)
+    return _rows(_folded(d, by, "num", P_NEAR, ["k0"], lambda a, b: F.abs(a["num"] - b["num"]) < P_NEAR), "p_value", by)
 
 
 def merge_sample_sizes(f: DataFrame, by: str = "pmc_id") -> DataFrame:
-    """By whole number, no tolerance."""
-    d = _first(f, "sample_size", [F.floor("num").cast("long")], F.struct("num"), by)
-    return d.withColumn("merged", _fold(lambda a, b: F.lit(False)))
+    """By whole number, no tolerance: a model's before a pattern's. No fold is needed."""
+    d = _distinct(f, "sample_size", [F.floor("num").cast("long")], by)
+    rank = F.when(F.col("extractor") == "llm", 0).otherwise(1)
+    one = d.groupBy(by, "k0").agg(F.min(F.struct(rank.alias("rank"), "id", "extractor", "name", "lo", "hi", "level", "num")).alias("m"))
+    return _rows(one.select(by, "m.*"), "sample_size", by)
 
 
 def merge_effects(f: DataFrame, by: str = "pmc_id") -> DataFrame:
-    """All model effects as they are; a pattern's effect only if none of the same name is close."""
+    """All model effects as they are, repeats included; a pattern's effect only if none of the same name is close."""
     e = f.where((F.col("kind") == "effect_size") & F.col("num").isNotNull() & F.col("name").isNotNull())
-    entry = F.struct("id", F.struct("name", "num").alias("v"), F.struct("id").alias("k"))
-    pick = lambda x: F.array_sort(F.collect_list(F.when(F.col("extractor") == x, entry)))
-    d = e.groupBy(by).agg(pick("llm").alias("llm"), pick("regex").alias("regex"))
-    near = lambda a, b: (a["name"] == b["name"]) & (F.abs(a["num"] - b["num"]) < EFFECT_NEAR)
-    fold = F.aggregate("regex", F.col("llm"), lambda acc, x: F.when(F.exists(acc, lambda y: near(x["v"], y["v"])), acc).otherwise(F.concat(acc, F.array(x))))
-    return d.withColumn("merged", fold)
+    d = _distinct(e, "effect_size", [F.col("num")], by)
+    kept = _folded(d, by, "num", EFFECT_NEAR, ["k0"], lambda a, b: F.abs(a["num"] - b["num"]) < EFFECT_NEAR).where("extractor = 'regex'")
+    return _rows(e.where("extractor = 'llm'"), "effect_size", by).unionByName(_rows(kept, "effect_size", by))
 
 
-MERGES = {"ci": merge_intervals, "p": merge_p_values, "n": merge_sample_sizes, "effect": merge_effects}
+MERGES = {"ci": ("confidence_interval", merge_intervals), "p": ("p_value", merge_p_values), "n": ("sample_size", merge_sample_sizes), "effect": ("effect_size", merge_effects)}
 
 
-def counts(merged: DataFrame, by: str = "pmc_id") -> DataFrame:
-    """Sizes of the two lists and of what is kept of each."""
-    return merged.select(by, F.size("llm").alias("llm"), F.size("regex").alias("regex"), F.size("merged").alias("merged"))
+def usable(f: DataFrame) -> DataFrame:
+    """Findings with a key."""
+    k = F.col("kind")
+    return f.where(F.when(k == "confidence_interval", F.col("lo").isNotNull() & F.col("hi").isNotNull()).when(k == "effect_size", F.col("num").isNotNull() & F.col("name").isNotNull()).otherwise(F.col("num").isNotNull()) & k.isin(*[n for n, _ in MERGES.values()]))
 
 
-def merge_articles(f: DataFrame, by: str = "pmc_id") -> DataFrame:
-    """One row per article with the four merged lists, the sources that gave intervals, p-values or sample sizes (effects
-    don't count), and their number; articles of one extractor alone are kept (full outer join)."""
+def merged_findings(f: DataFrame, by: str = "pmc_id") -> DataFrame:
+    """MERGED rows of all kinds; articles of one extractor alone are kept."""
     out = None
-    for name, op in MERGES.items():
-        one = op(f, by).select(by, F.col("merged").alias(name), F.size("llm").alias(f"{name}_llm"), F.size("regex").alias(f"{name}_regex"))
-        out = one if out is None else out.join(one, by, "full_outer")
-    size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    has = lambda e: sum((F.coalesce(f"{n}_{e}", F.lit(0)) for n in ("ci", "p", "n")), F.lit(0)) > 0
-    sources = F.array_compact(F.array(F.when(has("regex"), F.lit("regex")), F.when(has("llm"), F.lit("llm"))))
-    return out.withColumn("sources", sources).withColumn("merged_count", sum((size(n) for n in MERGES), F.lit(0)))
+    for _, op in MERGES.values():
+        out = op(f, by) if out is None else out.unionByName(op(f, by))
+    return out
+
+
+def article_counts(f: DataFrame, by: str = "pmc_id") -> DataFrame:
+    """Per article: merged findings by kind and in all, and whether patterns and model gave any interval, p-value or sample
+    size (effects don't count)."""
+    m = merged_findings(f, by).groupBy(by).agg(*[F.count_if(F.col("kind") == kind).alias(n) for n, (kind, _) in MERGES.items()], F.count(F.lit(1)).alias("merged_count"))
+    gave = lambda e: F.coalesce(F.max((F.col("extractor") == e) & (F.col("kind") != "effect_size")), F.lit(False))
+    s = usable(f).groupBy(by).agg(gave("regex").alias("regex"), gave("llm").alias("llm"))
+    return m.join(s, by)
+
+
+def sources() -> Column:
+    return F.array_compact(F.array(F.when(F.col("regex"), F.lit("regex")), F.when(F.col("llm"), F.lit("llm"))))
 
 
 def merge_summary(articles: DataFrame, by: str = "pmc_id") -> DataFrame:
     """regex_count and llm_count say whether the source took part."""
-    size = lambda c: F.coalesce(F.size(c), F.lit(0))
-    flag = lambda s: F.array_contains("sources", s).cast("int")
-    return articles.select(by, flag("regex").alias("regex_count"), flag("llm").alias("llm_count"), *[size(n).alias(n) for n in MERGES], "merged_count")
+    return articles.select(by, F.col("regex").cast("int").alias("regex_count"), F.col("llm").cast("int").alias("llm_count"), *MERGES, "merged_count")
 
 
 def merge_stats(articles: DataFrame) -> DataFrame:
     """Articles by the sources that took part, with their merged findings by kind."""
-    label = F.when(F.size("sources") == 2, "both").when(F.array_contains("sources", "llm"), "llm_only").when(F.array_contains("sources", "regex"), "regex_only").otherwise("none")
-    size = lambda c: F.sum(F.coalesce(F.size(c), F.lit(0)))
-    return articles.groupBy(label.alias("joined")).agg(F.count(F.lit(1)).alias("articles"), *[size(n).alias(n) for n in MERGES])
+    label = F.when(F.col("regex") & F.col("llm"), "both").when(F.col("llm"), "llm_only").when(F.col("regex"), "regex_only").otherwise("none")
+    return articles.groupBy(label.alias("joined")).agg(F.count(F.lit(1)).alias("articles"), *[F.sum(n).alias(n) for n in MERGES])
 
 
 def source_matrix(f: DataFrame) -> DataFrame:

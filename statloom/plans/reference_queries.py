@@ -126,7 +126,7 @@ def lookup_join(spark, d):
 @query("SELECT pmc_id, id, created_at FROM articles WHERE pmc_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pmc_id ORDER BY created_at DESC NULLS LAST, id DESC) = 1")
 def latest_per_key(spark, d):
     a = table(spark, d, "articles").where("pmc_id is not null").select("pmc_id", "id", "created_at")
-    return readers.latest_per_key(a, "pmc_id", F.col("created_at"), F.col("id"))
+    return readers.latest_per_key(a, "pmc_id", "created_at", "id")
 
 
 _J = "l AS (SELECT line_id, line_text AS t FROM extraction_jsonl WHERE line_text IS NOT NULL AND json_valid(line_text)), o AS (SELECT * FROM l WHERE json_type(t) = 'OBJECT')"
@@ -616,7 +616,9 @@ _MERGE = {**{s: _merge_cte(s) for s in _KEYS}, "effect": _EFF}
 
 
 def _merge(short: str):
-    query(f"WITH {FX}, {_MERGE[short]} SELECT pmc_id, llm, regex, len(m) AS merged FROM m_{short}", f"merge_{short}")(lambda spark, d: merge.counts(merge.MERGES[short](fx(spark, d))))
+    key = "m.name" if short == "effect" else "NULL"
+    sql = f"WITH {FX}, {_MERGE[short]}, r AS (SELECT pmc_id, unnest(m) AS m FROM m_{short}) SELECT pmc_id, m.id AS id, CAST({key} AS VARCHAR) AS name, count(*) AS copies FROM r GROUP BY ALL"
+    query(sql, f"merge_{short}")(lambda spark, d: merge.MERGES[short][1](fx(spark, d)).groupBy("pmc_id", "id", "name").agg(F.count(F.lit(1)).alias("copies")))
 
 
 for _s in _MERGE:
@@ -633,12 +635,12 @@ ma AS (SELECT pmc_id, coalesce(c.regex, 0) + coalesce(p.regex, 0) + coalesce(n.r
 
 @query(f"WITH {FX}, {_MA} SELECT pmc_id, CAST(r AS INTEGER) AS regex_count, CAST(l AS INTEGER) AS llm_count, ci, p, n, effect, ci + p + n + effect AS merged_count FROM ma")
 def merge_summary(spark, d):
-    return merge.merge_summary(merge.merge_articles(fx(spark, d)))
+    return merge.merge_summary(merge.article_counts(fx(spark, d)))
 
 
 @query(f"WITH {FX}, {_MA} SELECT CASE WHEN r AND l THEN 'both' WHEN l THEN 'llm_only' WHEN r THEN 'regex_only' ELSE 'none' END AS joined, count(*) AS articles, sum(ci) AS ci, sum(p) AS p, sum(n) AS n, sum(effect) AS effect FROM ma GROUP BY 1")
 def merge_stats(spark, d):
-    return merge.merge_stats(merge.merge_articles(fx(spark, d)))
+    return merge.merge_stats(merge.article_counts(fx(spark, d)))
 
 
 @query(f"WITH {FX} SELECT extractor, kind, count(*) AS findings FROM fx GROUP BY CUBE (extractor, kind)")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,10 +61,12 @@ def model_results(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return src(spark.read.option("multiLine", True), "*.json").unionByName(src(spark.read, "*.jsonl"))
 
 
-def latest_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
-    """The last row of every key by the given order (a later file wins over an earlier one)."""
-    w = Window.partitionBy(key).orderBy(*[o.desc_nulls_last() for o in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """The last row of every key by the given columns (null comes first), e.g. a later file over an earlier one. A maximum,
+    not a window: partial aggregation keeps a key with a third of all rows small."""
+    rest = [c for c in df.columns if c != key and c not in order]
+    m = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_m"))
+    return m.select(key, *[F.col(f"_m.{c}").alias(c) for c in (*order, *rest)]).select(*df.columns)
 
 
 def inventory(spark: SparkSession, path: str, glob: str = "*.jsonl*") -> DataFrame:
