@@ -18,13 +18,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import chars
 
 #: Labelled documents, taken by hash of their id, that models are trained on.
 MAX_LABELLED = 3000
+#: Characters of these documents together; those beyond it in the order of the hash are left out.
+MAX_CHARS = 20_000_000
 #: Held-out passages that their model is trained on.
 MAX_PASSAGES = 2000
 #: Pseudo-counts with which a bigram falls back on the unigram, and a unigram on the uniform model.
@@ -281,12 +283,17 @@ def calibrated(model: SubjectClassifier, labelled: list[tuple[str, list[str]]],
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFrame | None = None, max_labelled: int = MAX_LABELLED) -> SubjectClassifier:
-    """Trains on the driver from at most max_labelled labelled documents and MAX_PASSAGES passages."""
+def fit(docs: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFrame | None = None, max_labelled: int = MAX_LABELLED, max_chars: int = MAX_CHARS) -> SubjectClassifier:
+    """Trains on the driver from at most max_labelled labelled documents of max_chars characters and MAX_PASSAGES
+    passages. Documents of several rows with one id are one row each."""
     codes = sorted({r[0] for r in subjects.select("subject_code").where("subject_code is not null").distinct().collect()})
     own = labels.where(F.col("subject_code").isin(codes)).groupBy("doc_id").agg(F.collect_set("subject_code").alias("codes"))
-    pick = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(pick), "doc_id").collect()
+    pick = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)  # bounded, so it may be broadcast
+    texts = docs.select("doc_id", "text").where("text is not null")
+    sizes = texts.select("doc_id", F.length("text").alias("n")).join(F.broadcast(pick), "doc_id")
+    upto = F.sum("n").over(Window.partitionBy().orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most max_labelled rows
+    few = sizes.withColumn("upto", upto).where(F.col("upto") <= max_chars).select("doc_id", "codes")
+    rows = texts.join(F.broadcast(few), "doc_id").collect()
     labelled = [(reduced_of(r["text"]), sorted(r["codes"])) for r in sorted(rows, key=lambda r: r["doc_id"])]
     passages = [] if items is None else [reduced_of(r[0]) for r in items.select("passage").where("passage is not null").distinct().orderBy(F.xxhash64("passage")).limit(MAX_PASSAGES).collect()]
     return train(labelled, passages, codes)
