@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Limits of the rules and the labels their issues begin with.
@@ -81,6 +81,17 @@ def common_issues(v: DataFrame, top: int = 10) -> DataFrame:
     return v.select(F.explode("issues").alias("i")).groupBy(F.split("i", ":")[0].alias("issue")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "issue").limit(top)
 
 
+def issue_messages(v: DataFrame, key: str = "pmc_id", first: int = 3) -> DataFrame:
+    """Per key with issues: the first of them (by text, then id) as one message, and their number. Each task keeps only the
+    first few of a key: the three smallest are made by rank within salted parts, then within the key."""
+    i = v.select(key, "id", F.explode("issues").alias("issue"))
+    salted = Window.partitionBy(key, F.pmod("id", F.lit(16))).orderBy("issue", "id")
+    few = i.withColumn("_r", F.row_number().over(salted)).where(F.col("_r") <= first).drop("_r")
+    top = few.groupBy(key).agg(F.slice(F.array_sort(F.collect_list(F.struct("issue", "id"))), 1, first).alias("t"))  # at most 16 * first a key
+    n = i.groupBy(key).agg(F.count(F.lit(1)).alias("issues"))
+    return top.join(n, key).select(key, F.array_join(F.transform("t", lambda x: x["issue"]), "; ").alias("message"), "issues")
+
+
 def validation_report(v: DataFrame, validity: DataFrame) -> DataFrame:
     """One row: articles validated, valid, validity rate, and the recommendations that follow."""
     s = validity.agg(F.count(F.lit(1)).alias("validated"), F.count_if("valid").alias("valid"))

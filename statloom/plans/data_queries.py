@@ -60,7 +60,34 @@ due AS (
   SELECT c.pmc_id FROM changed c LEFT JOIN done d USING (pmc_id) LEFT JOIN failed f USING (pmc_id)
   WHERE c.pmc_id <> '' AND (d.done IS NULL OR c.changed > d.done OR f.failed >= d.done))
 """
+_CATS = ", ".join(f"'{c}'" for c in nested.CATEGORIES)
+_ITEMS = "CASE WHEN json_type(v) = 'ARRAY' THEN json_extract(v, '$[*]') ELSE [v] END"
+#: Lists unnested with their positions; null entries count as places but are no items.
+_P2 = f"""
+WITH l AS (SELECT line_id AS rid, CAST(line_text AS JSON) AS t FROM extraction_jsonl WHERE json_valid(line_text) AND json_type(line_text) = 'OBJECT'),
+s0 AS (SELECT rid, coalesce(json_extract(t, '$.stats'), json_extract(t, '$.run.result.stats')) AS s FROM l),
+s AS (SELECT rid, CASE WHEN json_type(s) = 'VARCHAR' THEN CASE WHEN json_valid(s->>'$') THEN CAST(s->>'$' AS JSON) END ELSE s END AS s FROM s0),
+so AS (SELECT * FROM s WHERE json_type(s) = 'OBJECT'),
+sa AS (SELECT rid, json_extract(s, '$.sections[*]') AS a FROM so),
+h AS (SELECT rid, -1 AS parent, s AS h FROM so UNION ALL SELECT rid, i - 1, a[i] FROM (SELECT rid, a, unnest(range(1, len(a) + 1)) AS i FROM sa)),
+c AS (SELECT rid, parent, cat, json_extract(h, '$.' || cat) AS v FROM h, (SELECT unnest([{_CATS}]) AS cat) WHERE json_type(h) = 'OBJECT'),
+j AS (SELECT 'extraction_jsonl' AS table_name, rid, parent, cat AS kind, {_ITEMS} AS a FROM c WHERE v IS NOT NULL),
+r0 AS (SELECT response_id AS rid, regexp_extract(payload, '(?s)(\\{{.*\\}})', 1) AS t FROM llm_responses WHERE contains(payload, '{{')),
+r AS (SELECT rid, CAST(t AS JSON) AS t FROM r0 WHERE t <> '' AND json_valid(t)),
+ra AS (SELECT rid, json_extract(t, '$.articles[*]') AS a FROM r),
+rh AS (SELECT rid, -1 AS parent, t AS h FROM r UNION ALL SELECT rid, i - 1, a[i] FROM (SELECT rid, a, unnest(range(1, len(a) + 1)) AS i FROM ra)),
+f AS (SELECT 'llm_responses' AS table_name, rid, parent, 'finding' AS kind, {_ITEMS} AS a FROM (SELECT rid, parent, json_extract(h, '$.findings') AS v FROM rh WHERE json_type(h) = 'OBJECT') WHERE v IS NOT NULL),
+x0 AS (SELECT id AS rid, CAST(confidence_intervals AS JSON) AS v FROM llm_extracted_stats WHERE json_valid(confidence_intervals)),
+x1 AS (SELECT rid, CASE WHEN json_type(v) = 'OBJECT' OR json_type(v, '$[0]') IN ('DOUBLE', 'BIGINT', 'UBIGINT') THEN [v] ELSE json_extract(v, '$[*]') END AS a FROM x0 WHERE json_type(v) IN ('OBJECT', 'ARRAY')),
+xg AS (SELECT rid, i - 1 AS parent, json_extract(a[i], '$.intervals') AS v FROM (SELECT rid, a, unnest(range(1, len(a) + 1)) AS i FROM x1) WHERE json_exists(a[i], '$.table')),
+x AS (SELECT 'llm_extracted_stats' AS table_name, rid, -1 AS parent, 'confidence_intervals' AS kind, list_transform(a, lambda q: CASE WHEN json_exists(q, '$.table') THEN CAST('null' AS JSON) ELSE q END) AS a FROM x1
+  UNION ALL SELECT 'llm_extracted_stats', rid, parent, 'confidence_intervals', {_ITEMS} FROM xg WHERE v IS NOT NULL),
+e AS (SELECT * FROM j UNION ALL SELECT * FROM f UNION ALL SELECT * FROM x)
+SELECT table_name, rid AS record_id, CAST(parent AS INTEGER) AS parent_pos, kind, CAST(i - 1 AS INTEGER) AS item_pos
+FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM e) WHERE json_type(a[i]) <> 'NULL'
+"""
 ORACLES = {
+    "p2_found": _P2,
     "p4_found": f"WITH {_P4} SELECT pmc_id FROM due",
     "p4_next_run": f"WITH {_P4} SELECT pmc_id FROM due WHERE (length(pmc_id) + ascii(right(pmc_id, 1))) % 4 = 0",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions import dialect
 from statloom.functions import patterns as P
+from statloom.functions import text as tx
 from statloom.operators import analytics, audit, batching, extract, findings, merge, prioritize, progress, responses, structured, validate
 from statloom.sources import readers, sinks
 from statloom.runtime import scratch, spread, table
@@ -576,7 +577,12 @@ def common_issues(spark, d):
     return validate.common_issues(validate.validated(fs(spark, d)))
 
 
-@query()
+@query(
+    f"""WITH {_VAL}, t AS (SELECT count(*) AS validated, count(*) FILTER (WHERE issues = 0) AS valid FROM val), q AS (SELECT *, round(100.0 * valid / nullif(validated, 0), 6) AS rate FROM t),
+    b AS (SELECT issue AS top_issue FROM (SELECT split_part(issue, ':', 1) AS issue, count(*) AS n FROM v GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1))
+    SELECT validated, valid, rate, top_issue, array_to_string(list_filter([CASE WHEN rate < 80 THEN 'high error rate' END, CASE WHEN contains(top_issue, 'CI') THEN 'review CI extraction' END,
+      CASE WHEN contains(top_issue, 'P-value') THEN 'review P-value extraction' END, CASE WHEN contains(top_issue, 'Sample size') THEN 'review sample sizes' END, CASE WHEN validated - valid > 100 THEN 'manual review' END], lambda z: z IS NOT NULL), '|') AS recommendations FROM q, b"""
+)
 def validation_report(spark, d):
     f = fs(spark, d)
     return validate.validation_report(validate.validated(f), validate.article_validity(f))
@@ -736,6 +742,44 @@ def audit_medium(spark, d):
     return audit.audit_medium(_of_band(spark, d, "medium"))
 
 
+@query(f"WITH {X}, {_AH.replace('h AS', 'l AS').replace('BETWEEN 60 AND 100', 'BETWEEN 1 AND 30')} SELECT count(*) AS articles, sum(found) AS found, sum(checked) AS checked, coalesce(round(100.0 * sum(found) / nullif(sum(checked), 0), 6), 0.0) AS accuracy, CASE WHEN coalesce(100.0 * sum(found) / nullif(sum(checked), 0), 0) >= 90 THEN 'EXCELLENT' WHEN coalesce(100.0 * sum(found) / nullif(sum(checked), 0), 0) >= 75 THEN 'GOOD' ELSE 'NEEDS IMPROVEMENT' END AS grade FROM l")
+def audit_low_presence(spark, d):
+    """The presence audit over the low band, graded by the medium scale."""
+    return audit.audit_summary(audit.audit_high(_of_band(spark, d, "low")), "medium")
+
+
+@query(f"WITH {A} SELECT id, length(regexp_replace(coalesce(title, ''), '[^\\x00-\\x7F]', '', 'g')) AS ascii_title, length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) AS ascii_text FROM a")
+def ascii_text(spark, d):
+    return arts(spark, d).select("id", F.length(tx.ascii_only(F.col("title"))).alias("ascii_title"), F.length(tx.ascii_only(F.col("text"))).alias("ascii_text"))
+
+
+@query(
+    f"""WITH {X}, m AS (SELECT id, text, unnest(list_slice(list_sort(p_values), 1, 10)) AS item FROM x), k AS (SELECT *, position(item IN text) AS pos FROM m)
+    SELECT id, item, pos, CASE WHEN pos > 0 THEN substring(text, greatest(pos - 30, 1), pos + length(item) + 30 - greatest(pos - 30, 1)) END AS context FROM k"""
+)
+def match_context(spark, d):
+    """The first ten p-values of every article with their place and thirty characters around."""
+    x = extracted(spark, d).select("id", "text", F.explode(F.slice("p_values", 1, 10)).alias("item"))
+    return x.select("id", "item", tx.place(F.col("text"), F.col("item")).alias("pos"), tx.around(F.col("text"), F.col("item")).alias("context"))
+
+
+@query(f"WITH {_V} SELECT pmc_id, string_agg(issue, '; ' ORDER BY issue, id) AS message, max(n) AS issues FROM (SELECT *, row_number() OVER (PARTITION BY pmc_id ORDER BY issue, id) AS rn, count(*) OVER (PARTITION BY pmc_id) AS n FROM v) WHERE rn <= 3 GROUP BY 1")
+def issue_messages(spark, d):
+    """Per article with issues, a message of the first three."""
+    return validate.issue_messages(validate.validated(fs(spark, d)))
+
+
+@query(f"WITH {FT} SELECT regexp_replace(lower(trim(statistic_type)), 's+$', '') AS type, count(*) AS rows FROM merged_statistics GROUP BY 1")
+def type_singular(spark, d):
+    return table(spark, d, "merged_statistics").groupBy(tx.singular(F.lower(F.trim("statistic_type"))).alias("type")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query()
+def raw_interval_hits(spark, d):
+    """Answers that hold no object, with the intervals their text names."""
+    return responses.raw_interval_hits(table(spark, d, "llm_responses")).select("response_id", F.size("intervals").alias("intervals"))
+
+
 # ---- streaming -----------------------------------------------------------------------------------------------------
 
 
