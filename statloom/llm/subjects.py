@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm import chars
+from statloom.runtime import written
 
 #: Labelled documents, taken by hash of their id, that models are trained on.
 MAX_LABELLED = 3000
@@ -289,11 +290,10 @@ def fit(docs: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFram
     codes = sorted({r[0] for r in subjects.select("subject_code").where("subject_code is not null").distinct().collect()})
     own = labels.where(F.col("subject_code").isin(codes)).groupBy("doc_id").agg(F.collect_set("subject_code").alias("codes"))
     pick = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)  # bounded, so it may be broadcast
-    texts = docs.select("doc_id", "text").where("text is not null")
-    sizes = texts.select("doc_id", F.length("text").alias("n")).join(F.broadcast(pick), "doc_id")
-    upto = F.sum("n").over(Window.partitionBy().orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most max_labelled rows
-    few = sizes.withColumn("upto", upto).where(F.col("upto") <= max_chars).select("doc_id", "codes")
-    rows = texts.join(F.broadcast(few), "doc_id").collect()
+    # one pass over the corpus; what is kept of it is small
+    picked = written(docs.select("doc_id", "text").where("text is not null").join(F.broadcast(pick), "doc_id"), "labelled")
+    upto = F.sum(F.length("text")).over(Window.partitionBy().orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most max_labelled rows
+    rows = picked.withColumn("upto", upto).where(F.col("upto") <= max_chars).collect()
     labelled = [(reduced_of(r["text"]), sorted(r["codes"])) for r in sorted(rows, key=lambda r: r["doc_id"])]
     passages = [] if items is None else [reduced_of(r[0]) for r in items.select("passage").where("passage is not null").distinct().orderBy(F.xxhash64("passage")).limit(MAX_PASSAGES).collect()]
     return train(labelled, passages, codes)
