@@ -51,9 +51,9 @@ def top_journals(x: DataFrame, least: int = 1000, top: int = 10) -> DataFrame:
     return per.where(F.col("articles") >= least).orderBy(F.desc("mean_score"), "journal").limit(top)
 
 
-def category_coverage(x: DataFrame) -> DataFrame:
-    """Articles in which each category occurs, and their share."""
-    one = x.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.size(c) > 0).alias(c) for c in CATEGORIES])
+def category_coverage(flags: DataFrame) -> DataFrame:
+    """Articles in which each category occurs (a boolean column each), and their share."""
+    one = flags.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CATEGORIES])
     return one.unpivot(["n"], list(CATEGORIES), "category", "articles").select("category", "articles", percent(F.col("articles"), F.col("n")).alias("pct"))
 
 

@@ -41,6 +41,11 @@ def extracted(spark, d, profile="implemented"):
     return extract.extract(spread(arts(spark, d).select(*cols)), profile)
 
 
+def scores(spark, d, profile="implemented"):
+    """id, journal, pub_year and rigor_score: for all that needs no matches."""
+    return extract.scored(spread(arts(spark, d).select("id", "journal", "pub_year", "text")), profile).drop("text")
+
+
 def fs(spark, d):
     return findings.typed(table(spark, d, "merged_statistics"))
 
@@ -185,12 +190,12 @@ def extract_long(spark, d):
 
 @query(f"WITH {X} SELECT id, rigor_score FROM x")
 def rigor_score(spark, d):
-    return extracted(spark, d).select("id", "rigor_score")
+    return scores(spark, d).select("id", "rigor_score")
 
 
 @query(f"WITH {x_sql('documented')} SELECT id, rigor_score FROM x")
 def rigor_score_documented(spark, d):
-    return extracted(spark, d, "documented").select("id", "rigor_score")
+    return scores(spark, d, "documented").select("id", "rigor_score")
 
 
 _W = "w AS (SELECT id, coalesce(title, '') || ' ' || coalesce(abstract, '') || ' ' || coalesce(body, '') AS text FROM articles)"
@@ -235,38 +240,38 @@ def figure_sections(spark, d):
 
 @query(f"WITH {X} SELECT count(*) AS articles, count(*) FILTER (WHERE rigor_score > 0) AS with_stats, count(*) FILTER (WHERE rigor_score = 0) AS without_stats, {_PCT.format('count(*) FILTER (WHERE rigor_score > 0)', 'count(*)')} AS with_pct FROM x")
 def score_totals(spark, d):
-    return analytics.score_totals(extracted(spark, d))
+    return analytics.score_totals(scores(spark, d))
 
 
 @query(f"WITH {X} SELECT round(avg(rigor_score), 6) AS mean, median(rigor_score) AS median, round(stddev_pop(rigor_score), 6) AS std, min(rigor_score) AS min, max(rigor_score) AS max FROM x")
 def score_moments(spark, d):
-    return analytics.score_moments(extracted(spark, d))
+    return analytics.score_moments(scores(spark, d))
 
 
 @query(f"WITH {X} SELECT p AS percentile, s AS score FROM (SELECT unnest([10, 25, 50, 75, 90, 95, 99]) AS p, unnest(quantile_cont(rigor_score, [0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99])) AS s FROM x)")
 def score_percentiles(spark, d):
-    return analytics.score_percentiles(extracted(spark, d))
+    return analytics.score_percentiles(scores(spark, d))
 
 
 @query(f"WITH {X} SELECT pub_year, round(avg(rigor_score), 6) AS mean_score, count(*) AS articles FROM x WHERE pub_year BETWEEN 1900 AND 2025 GROUP BY 1 ORDER BY 1 DESC LIMIT 10")
 def score_by_year(spark, d):
-    return analytics.score_by_year(extracted(spark, d))
+    return analytics.score_by_year(scores(spark, d))
 
 
 @query(f"WITH {X} SELECT journal, round(avg(rigor_score), 6) AS mean_score, count(*) AS articles FROM x WHERE journal <> '' GROUP BY 1 HAVING count(*) >= 5 ORDER BY 2 DESC, 1 LIMIT 10")
 def top_journals(spark, d):
     """At least 5 articles, as the test tables are small (1,000 by default)."""
-    return analytics.top_journals(extracted(spark, d), least=5)
+    return analytics.top_journals(scores(spark, d), least=5)
 
 
 @query(f"WITH {X}, n AS (SELECT count(*) AS n FROM x) SELECT category, articles, {_PCT.format('articles', 'n')} AS pct FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS category, count(*) FILTER (WHERE len({c}) > 0) AS articles FROM x" for c in P.CATEGORIES) + "), n")
 def category_coverage(spark, d):
-    return analytics.category_coverage(extracted(spark, d))
+    return analytics.category_coverage(spread(arts(spark, d).select("text")).select(*[f.alias(c) for c, f in extract.category_flags().items()]))
 
 
 @query(f"WITH {X} SELECT rigor_score, count(*) AS articles FROM x GROUP BY 1")
 def score_histogram(spark, d):
-    return analytics.score_histogram(extracted(spark, d))
+    return analytics.score_histogram(scores(spark, d))
 
 
 def _bucket_sql(profile: str, cumulative: bool) -> str:
@@ -278,12 +283,12 @@ def _bucket_sql(profile: str, cumulative: bool) -> str:
 
 @query(_bucket_sql("code", False))
 def score_buckets(spark, d):
-    return analytics.score_buckets(extracted(spark, d))
+    return analytics.score_buckets(scores(spark, d))
 
 
 @query(_bucket_sql("documented", True))
 def score_buckets_cumulative(spark, d):
-    return analytics.cumulative(analytics.score_buckets(extracted(spark, d), "documented"))
+    return analytics.cumulative(analytics.score_buckets(scores(spark, d), "documented"))
 
 
 # ---- predicates and choice ----------------------------------------------------------------------------------------
@@ -291,7 +296,7 @@ def score_buckets_cumulative(spark, d):
 
 def _band(name: str):
     lo, hi = audit.BANDS[name]
-    query(f"WITH {X} SELECT id, rigor_score FROM x WHERE rigor_score BETWEEN {lo} AND {hi}", f"band_{name}")(lambda spark, d: extracted(spark, d).where(audit.in_band(name)).select("id", "rigor_score"))
+    query(f"WITH {X} SELECT id, rigor_score FROM x WHERE rigor_score BETWEEN {lo} AND {hi}", f"band_{name}")(lambda spark, d: scores(spark, d).where(audit.in_band(name)).select("id", "rigor_score"))
 
 
 for _b in audit.BANDS:
@@ -344,7 +349,7 @@ def prompt_choice(spark, d):
 
 @query(f"WITH {X} SELECT id, CASE WHEN rigor_score = 0 THEN 'P1' WHEN rigor_score <= 20 THEN 'P2' WHEN rigor_score <= 30 THEN 'P3' ELSE 'skip' END AS tier FROM x")
 def score_tier(spark, d):
-    return extracted(spark, d).select("id", prioritize.score_tier().alias("tier"))
+    return scores(spark, d).select("id", prioritize.score_tier().alias("tier"))
 
 
 @query(f"WITH {A} SELECT id, " + " OR ".join(f"contains(lower(left(text, {P.RESEARCH_CHARS})), '{w}')" for w in P.RESEARCH_WORDS) + " AS is_research FROM a")
@@ -695,7 +700,7 @@ def upsert_partial(spark, d):
 @query(f"WITH {X} SELECT id, rigor_score FROM x WHERE rigor_score BETWEEN 60 AND 100 ORDER BY (id * 2654435761) % 4294967296, id LIMIT 20")
 def sample_band(spark, d):
     """Twenty articles: the limit is the feature."""
-    return audit.sample_band(extracted(spark, d), "high").select("id", "rigor_score")
+    return audit.sample_band(scores(spark, d), "high").select("id", "rigor_score")
 
 
 _FIVE = audit._FIVE

@@ -63,6 +63,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what written() and the state of finished queries left in the shared folder; call it when their results
+    have been stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/statloom")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def blank(c: Column) -> Column:
     """True where the text is null or holds nothing but white space."""
     return c.isNull() | ~c.rlike(UNI + r"[^\s\p{Z}]")

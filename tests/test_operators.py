@@ -178,6 +178,13 @@ def test_empty_analytics(spark):
     assert analytics.top_journals(x).count() == 0
 
 
+def test_scored_as_extracted(spark):
+    texts = ["p = 0.5", "n = 3 and r = 1", "95% CI: 1, 2; ANOVA", "power = 0.8", "", None, "FDR adjusted, t-test", "nothing"]
+    a = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    for profile in ("implemented", "documented"):
+        assert rows(extract.scored(a, profile).select("id", "rigor_score")) == rows(extract.extract(a, profile).select("id", "rigor_score"))
+
+
 def test_percentiles_are_linear(spark):
     x = spark.createDataFrame([(v,) for v in (0, 10, 25, 35)], "rigor_score int")
     assert {r["percentile"]: r["score"] for r in analytics.score_percentiles(x).collect()}[50] == 17.5
