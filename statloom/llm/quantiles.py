@@ -224,25 +224,37 @@ def _coalesced(batches, least: int):
 def merged(sketches: DataFrame, groups: Sequence[str], k: int = SECTION, high: bool = True, keep_pieces: bool = True) -> DataFrame:
     """Bundles of the same group merged; keep_pieces=False also merges a group's pieces into one (numbered 0).
 
-    A task takes the bundles one after another and holds one sketch per group and piece, never a group's rows.
+    A group's bundles come one after another, and a task holds the sketches of one group, never a group's rows.
     """
     names = list(groups)
     schema = ", ".join(f"`{g}` {sketches.schema[g].dataType.simpleString()}" for g in names) + ", sketches binary"
 
     def fold(batches):
-        held: dict[tuple, dict[int, RankSketch]] = {}
+        key, own, done = None, None, []
         for pdf in batches:
-            for *key, blob in pdf[[*names, "sketches"]].itertuples(index=False, name=None):
-                own = held.setdefault(tuple(key), {})
-                for p, s in unbundle(blob, k, high).items():
+            for *k, blob in pdf[[*names, "sketches"]].itertuples(index=False, name=None):
+                if own is None or not _same(k, key):
+                    if own is not None:
+                        done.append((*key, _bundle(own)))
+                    key, own = k, {}
+                for p, s in unbundle(blob, k_, high).items():
                     p = p if keep_pieces else 0
                     if p in own:
                         own[p].merge(s)
                     else:
                         own[p] = s
-        yield pd.DataFrame([(*key, _bundle(s)) for key, s in held.items()], columns=[*names, "sketches"])
+            yield pd.DataFrame(done, columns=[*names, "sketches"])
+            done = []
+        if own is not None:
+            yield pd.DataFrame([(*key, _bundle(own))], columns=[*names, "sketches"])
+
+    k_ = k
+    return sketches.repartition(*names).sortWithinPartitions(*names).mapInPandas(fold, schema)
+
 
-    return sketches.repartition(*names).mapInPandas(fold, schema)
+def _same(a: list, b: list) -> bool:
+    """Equal keys; pandas gives null as None or NaN."""
+    return all(x == y or (x is None or x != x) and (y is None or y != y) for x, y in zip(a, b, strict=True))
 
 
 def percentiles(sketches: DataFrame, groups: Sequence[str], qs: Sequence[float], k: int = SECTION, high: bool = True) -> DataFrame:
