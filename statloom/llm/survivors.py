@@ -121,7 +121,8 @@ def claims(rows: DataFrame, fields: Sequence[str] = ("location", "context")) ->
 
 def fit_quality(patterns: list[tuple[int, int, int]], sources: Sequence[str], rounds: int = 100) -> tuple[float, dict[str, tuple[float, float]]]:
     """EM over pattern counts (present, stated, count): the share of true values and each source's (sensitivity,
-    specificity). Beta(2, 1) priors keep sources that are never contradicted away from 0 and 1."""
+    specificity). Beta(2, 1) priors keep sources that are never contradicted away from 0 and 1; sensitivity and
+    specificity add up to 1 at least (1: the source says nothing about truth)."""
     prior, q = 0.7, {s: (0.8, 0.7) for s in sources}
     for _ in range(rounds):
         true_total = all_total = 0.0
@@ -138,6 +139,9 @@ def fit_quality(patterns: list[tuple[int, int, int]], sources: Sequence[str], ro
                     sums[s][2] += n * (1 - p) * (1 - hit)
                     sums[s][3] += n * (1 - p)
         new = {s: ((a + 2) / (b + 3), (c + 2) / (d + 3)) for s, (a, b, c, d) in sums.items()}
+        # a statement is never evidence against a value: as only stated values are seen, sources that seldom coincide
+        # would else be taken for liars about everything
+        new = {s: (sens, max(spec, 1 - sens)) for s, (sens, spec) in new.items()}
         moved = max([abs(x - y) for s in sources for x, y in zip(new[s], q[s], strict=True)], default=0)
         q, prior = new, (true_total + 2) / (all_total + 3)
         if moved < 1e-9:
