@@ -18,10 +18,28 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Lengths and sizes that SQL gives as 64-bit integers.
+WIDE = {
+    "scan_articles": ("text_length",),
+    "text_length": ("text_length",),
+    "lookup_join": ("text_length",),
+    "extract_*": ("hits",),
+    "structured_findings_count": ("findings",),
+    "table_section_count": ("sections",),
+    "priority_page": ("body_length",),
+    "audit_high": ("found", "checked"),
+    "audit_count_match": ("extracted", "manual"),
+    "audit_low": ("extracted", "found", "missed"),
+    "ascii_text": ("ascii_title", "ascii_text"),
+    "match_context": ("pos",),
+}
+
+
 def query(sql: str | None = None, name: str | None = None):
     def add(f):
         key = name or f.__name__
-        QUERIES[key] = f
+        wide = WIDE.get(key, WIDE["extract_*"] if key.startswith("extract_") and key != "extract_long" else ())
+        QUERIES[key] = f if not wide else lambda spark, d: f(spark, d).withColumns({c: F.col(c).cast("long") for c in wide})
         if sql:
             ORACLES[key] = sql
         return f
@@ -146,7 +164,7 @@ def scan_jsonl(spark, d):
     return lines.select("line_id", g("$.id", "long").alias("id"), g("$.metadata.pmc_id").alias("pmc_id"), g("$.metadata.journal").alias("journal"), g("$.error").alias("error"))
 
 
-@query(f"WITH {_J}, s AS (SELECT * FROM o WHERE t->>'$.error' IS NULL AND json_type(t, '$.stats') = 'OBJECT') SELECT count(*) AS results, sum(CAST(t->>'$.stats.rigor_score' AS INTEGER)) AS score_sum, count(*) FILTER (WHERE json_array_length(t, '$.stats.p_values') > 0) AS with_p FROM s")
+@query(f"WITH {_J}, s AS (SELECT * FROM o WHERE t->>'$.error' IS NULL AND json_type(t, '$.stats') = 'OBJECT') SELECT count(*) AS results, CAST(sum(CAST(t->>'$.stats.rigor_score' AS INTEGER)) AS BIGINT) AS score_sum, count(*) FILTER (WHERE json_array_length(t, '$.stats.p_values') > 0) AS with_p FROM s")
 def jsonl_results(spark, d):
     """Result lines of the extraction files (errors and malformed lines left out): number, scores, lines with p-values."""
     lines = table(spark, d, "extraction_jsonl").select(F.try_parse_json("line_text").alias("v")).where("v is not null").where(F.schema_of_variant("v").startswith("OBJECT"))
@@ -207,7 +225,7 @@ def structured_findings_count(spark, d):
     return spread(table(spark, d, "articles").select("id", "title", "abstract", "body")).select("id", reduce(lambda a, b: a + b, counts.values()).alias("findings"))
 
 
-@query("WITH " + _W + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS pattern, sum(len({_hits('text', [p])})) AS findings FROM w" for n, (p, _) in P.STRUCTURED.items()) + ") WHERE findings > 0")
+@query("WITH " + _W + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS pattern, CAST(sum(len({_hits('text', [p])})) AS BIGINT) AS findings FROM w" for n, (p, _) in P.STRUCTURED.items()) + ") WHERE findings > 0")
 def structured_findings(spark, d):
     """Findings with exact offsets, counted by pattern."""
     return structured.findings(spread(table(spark, d, "articles").select("id", "title", "abstract", "body"))).groupBy("pattern").agg(F.count(F.lit(1)).alias("findings"))
@@ -224,7 +242,7 @@ def table_section_count(spark, d):
     return table(spark, d, "articles").where("body is not null").select("id", structured.table_section_count(F.col("body")).alias("sections"))
 
 
-@query("SELECT sum(n) AS sections FROM (SELECT " + " + ".join(f"len({_hits('body', [p], dotall=True)})" for p in P.TABLE_MARKS) + " AS n FROM articles WHERE body <> '')")
+@query("SELECT CAST(sum(n) AS BIGINT) AS sections FROM (SELECT " + " + ".join(f"len({_hits('body', [p], dotall=True)})" for p in P.TABLE_MARKS) + " AS n FROM articles WHERE body <> '')")
 def table_sections(spark, d):
     """Table sections with their surroundings, counted."""
     return structured.table_sections(table(spark, d, "articles")).agg(F.count(F.lit(1)).alias("sections"))
@@ -451,7 +469,7 @@ def processing_stats(spark, d):
     return progress.processing_stats(table(spark, d, "articles"), table(spark, d, "llm_processing_status"))
 
 
-@query("SELECT coalesce(sum(confidence_intervals), 0) AS confidence_intervals, coalesce(sum(p_values), 0) AS p_values, coalesce(sum(sample_sizes), 0) AS sample_sizes, coalesce(sum(effect_sizes), 0) AS effect_sizes, count(*) AS rows FROM llm_article_status WHERE error_message IS NULL")
+@query("SELECT CAST(coalesce(sum(confidence_intervals), 0) AS BIGINT) AS confidence_intervals, CAST(coalesce(sum(p_values), 0) AS BIGINT) AS p_values, CAST(coalesce(sum(sample_sizes), 0) AS BIGINT) AS sample_sizes, CAST(coalesce(sum(effect_sizes), 0) AS BIGINT) AS effect_sizes, count(*) AS rows FROM llm_article_status WHERE error_message IS NULL")
 def extraction_counts(spark, d):
     return progress.extraction_counts(table(spark, d, "llm_article_status"))
 
@@ -480,7 +498,7 @@ def instance_stats(spark, d):
     return _fleet(spark, d)
 
 
-@query(f"WITH {_INST} SELECT instance, round(greatest(0.0, 1.0 - least(0.1 * (errors % 4), 0.5) - 0.2 * (instance % 3)), 6) AS score FROM i ORDER BY 2 DESC, 1 LIMIT 1")
+@query(f"WITH {_INST} SELECT instance, CAST(round(greatest(0.0, 1.0 - least(0.1 * (errors % 4), 0.5) - 0.2 * (instance % 3)), 6) AS DOUBLE) AS score FROM i ORDER BY 2 DESC, 1 LIMIT 1")
 def best_instance(spark, d):
     i = _fleet(spark, d).select("instance", (F.col("errors") % 4).alias("errors"), (F.col("instance") % 3).alias("load"))
     return progress.best(i, progress.health_score(), "instance").select("instance", "score")
@@ -649,7 +667,7 @@ def merge_summary(spark, d):
     return merge.merge_summary(merge.article_counts(fx(spark, d)))
 
 
-@query(f"WITH {FX}, {_MA} SELECT CASE WHEN r AND l THEN 'both' WHEN l THEN 'llm_only' WHEN r THEN 'regex_only' ELSE 'none' END AS joined, count(*) AS articles, sum(ci) AS ci, sum(p) AS p, sum(n) AS n, sum(effect) AS effect FROM ma GROUP BY 1")
+@query(f"WITH {FX}, {_MA} SELECT CASE WHEN r AND l THEN 'both' WHEN l THEN 'llm_only' WHEN r THEN 'regex_only' ELSE 'none' END AS joined, count(*) AS articles, CAST(sum(ci) AS BIGINT) AS ci, CAST(sum(p) AS BIGINT) AS p, CAST(sum(n) AS BIGINT) AS n, CAST(sum(effect) AS BIGINT) AS effect FROM ma GROUP BY 1")
 def merge_stats(spark, d):
     return merge.merge_stats(merge.article_counts(fx(spark, d)))
 
@@ -723,7 +741,7 @@ def audit_high(spark, d):
     return audit.audit_high(_of_band(spark, d, "high"))
 
 
-@query(f"WITH {X}, {_AH}, s AS (SELECT count(*) AS articles, sum(found) AS found, sum(checked) AS checked, coalesce(round(100.0 * sum(found) / nullif(sum(checked), 0), 6), 0.0) AS accuracy FROM h) SELECT *, CASE WHEN accuracy >= 90 THEN 'EXCELLENT' WHEN accuracy >= 80 THEN 'GOOD' WHEN accuracy >= 70 THEN 'ACCEPTABLE' ELSE 'NEEDS IMPROVEMENT' END AS grade FROM s")
+@query(f"WITH {X}, {_AH}, s AS (SELECT count(*) AS articles, CAST(sum(found) AS BIGINT) AS found, CAST(sum(checked) AS BIGINT) AS checked, coalesce(round(100.0 * sum(found) / nullif(sum(checked), 0), 6), 0.0) AS accuracy FROM h) SELECT *, CASE WHEN accuracy >= 90 THEN 'EXCELLENT' WHEN accuracy >= 80 THEN 'GOOD' WHEN accuracy >= 70 THEN 'ACCEPTABLE' ELSE 'NEEDS IMPROVEMENT' END AS grade FROM s")
 def audit_summary(spark, d):
     return audit.audit_summary(audit.audit_high(_of_band(spark, d, "high")))
 
@@ -747,7 +765,7 @@ def audit_medium(spark, d):
     return audit.audit_medium(_of_band(spark, d, "medium"))
 
 
-@query(f"WITH {X}, {_AH.replace('h AS', 'l AS').replace('BETWEEN 60 AND 100', 'BETWEEN 1 AND 30')} SELECT count(*) AS articles, sum(found) AS found, sum(checked) AS checked, coalesce(round(100.0 * sum(found) / nullif(sum(checked), 0), 6), 0.0) AS accuracy, CASE WHEN coalesce(100.0 * sum(found) / nullif(sum(checked), 0), 0) >= 90 THEN 'EXCELLENT' WHEN coalesce(100.0 * sum(found) / nullif(sum(checked), 0), 0) >= 75 THEN 'GOOD' ELSE 'NEEDS IMPROVEMENT' END AS grade FROM l")
+@query(f"WITH {X}, {_AH.replace('h AS', 'l AS').replace('BETWEEN 60 AND 100', 'BETWEEN 1 AND 30')} SELECT count(*) AS articles, CAST(sum(found) AS BIGINT) AS found, CAST(sum(checked) AS BIGINT) AS checked, coalesce(round(100.0 * sum(found) / nullif(sum(checked), 0), 6), 0.0) AS accuracy, CASE WHEN coalesce(100.0 * sum(found) / nullif(sum(checked), 0), 0) >= 90 THEN 'EXCELLENT' WHEN coalesce(100.0 * sum(found) / nullif(sum(checked), 0), 0) >= 75 THEN 'GOOD' ELSE 'NEEDS IMPROVEMENT' END AS grade FROM l")
 def audit_low_presence(spark, d):
     """The presence audit over the low band, graded by the medium scale."""
     return audit.audit_summary(audit.audit_high(_of_band(spark, d, "low")), "medium")
