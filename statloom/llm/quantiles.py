@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statloom.runtime import written
+
 #: Values a compactor's section has.
 SECTION = 64
 #: Sections of a new compactor; the number doubles as a compactor is used more.
@@ -297,12 +299,13 @@ def shifted_groups(scores: DataFrame, group: str = "pub_year", whole: str = "jou
     Sketches by piece are merged to groups and those to wholes; the proven bounds of both medians leave out every
     group that can't qualify. Only the rest, and their wholes, are counted exactly.
     """
-    by_group = merged(piece_sketches(scores, [whole, group], value, piece, k), [whole, group], k, keep_pieces=False)
+    # both are asked twice; they are small against the scores
+    by_group = written(merged(piece_sketches(scores, [whole, group], value, piece, k), [whole, group], k, keep_pieces=False), "group-sketches")
     g = percentiles(by_group, [whole, group], [0.5], k).where(F.col("n") >= least)
     w = percentiles(merged(by_group.select(whole, "sketches"), [whole], k, keep_pieces=False), [whole], [0.5], k)
     w = w.select(whole, F.col("p50_low").alias("_low"), F.col("p50_high").alias("_high"))
     near = g.join(w, whole).where((F.col("p50_high") - F.col("_low") >= shift) | (F.col("_high") - F.col("p50_low") >= shift))
-    near = near.select(whole, group)
+    near = written(near.select(whole, group), "near-groups")
     wholes = near.select(whole).distinct()
     counts = scores.join(wholes, whole, "left_semi").groupBy(whole, group, value).count()
     med = lambda *by: counts.groupBy(*by).agg(F.sum("count").alias("n"), F.percentile(value, F.lit(0.5), F.col("count")).alias("median"))
