@@ -107,10 +107,11 @@ def _python_patterns():
     bad = _cls(variant | hidden | space, esc)
     marks = _cls(composing(), esc)
     other = "[" + "".join(f"\\p{{{s}}}" for s in OTHER_SCRIPTS) + f"--[{UNIT_GREEK}]]"
-    segment = regex.compile(f"[\\p{{L}}]?[{bad}{marks}]+\\p{{M}}*", regex.V1)
+    segment = regex.compile(f"[{bad}{marks}]+\\p{{M}}*", regex.V1)
+    pair = regex.compile(f"{other}(?:(?=\\p{{Latin}})|(?<=\\p{{Latin}}.))", regex.V1)
     mixed = regex.compile(f"[\\p{{L}}\\p{{M}}]*(?:\\p{{Latin}}{other}|{other}\\p{{Latin}})[\\p{{L}}\\p{{M}}]*", regex.V1)
     joins = regex.compile(r"[\p{Arabic}\p{Devanagari}\p{Bengali}\p{Gurmukhi}\p{Gujarati}\p{Oriya}\p{Tamil}\p{Telugu}\p{Kannada}\p{Malayalam}\p{Sinhala}\p{Khmer}\p{Mongolian}\p{Extended_Pictographic}]")
-    return segment, mixed, joins, variant, hidden, space
+    return segment, pair, mixed, joins, variant, hidden, space
 
 
 @functools.cache
@@ -120,17 +121,19 @@ def _plain(p: int) -> str:
 
 def canonical(text: str) -> tuple[str, int]:
     """The text in its one form and the number of unstable segments it had."""
-    segment, mixed, joins, variant, hidden, space = _python_patterns()
+    segment, pair, mixed, joins, variant, hidden, space = _python_patterns()
     count = 0
-
-    def one(m) -> str:
-        nonlocal count
-        s = m.group()
-        out, cases = [], 0
-        for i, c in enumerate(s):
+    pieces, at = [], 0
+    for m in segment.finditer(text):
+        s = m.start()
+        # boundary context: the letter that a mark at the segment's start belongs to
+        base = 1 if s > at and text[s - 1].isalpha() else 0
+        pieces.append(text[at : s - base])
+        out, cases = [text[s - base : s]], 0
+        for i, c in enumerate(m.group()):
             p = ord(c)
             if p in hidden:
-                if p in (0x200C, 0x200D, 0xFE0F) and joins.match(text[max(0, m.start() + i - 1) : m.start() + i]):
+                if p in (0x200C, 0x200D, 0xFE0F) and joins.match(text[max(0, s + i - 1) : s + i]):
                     out.append(c)
                     continue
                 cases += 1
@@ -144,14 +147,18 @@ def canonical(text: str) -> tuple[str, int]:
                 out.append(c)
         new = unicodedata.normalize("NFC", joined := "".join(out))
         count += bool(cases or new != joined)
-        return new
+        pieces.append(new)
+        at = m.end()
+    done = "".join((*pieces, text[at:])) if at else text
 
     def word(m) -> str:
         nonlocal count
         count += 1
         return "".join(LOOKALIKES.get(c, c) for c in m.group())
 
-    return mixed.sub(word, segment.sub(one, text)), count
+    if pair.search(done):
+        done = mixed.sub(word, done)
+    return done, count
 
 
 def unstable(c: Column) -> Column:

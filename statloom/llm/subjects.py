@@ -292,9 +292,11 @@ def fit(docs: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFram
     pick = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)  # bounded, so it may be broadcast
     # one pass over the corpus; what is kept of it is small
     picked = written(docs.select("doc_id", "text").where("text is not null").join(F.broadcast(pick), "doc_id"), "labelled")
+    picked = picked.withColumn("plain", F.when(~chars.unstable(F.col("text")), reduced(F.col("text"))))
     upto = F.sum(F.length("text")).over(Window.partitionBy().orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most max_labelled rows
-    rows = picked.withColumn("upto", upto).where(F.col("upto") <= max_chars).collect()
-    labelled = [(reduced_of(r["text"]), sorted(r["codes"])) for r in sorted(rows, key=lambda r: r["doc_id"])]
+    few = picked.withColumn("upto", upto).where(F.col("upto") <= max_chars)
+    rows = few.select("doc_id", "codes", "plain", F.when(F.col("plain").isNull(), F.col("text")).alias("text")).collect()
+    labelled = [(r["plain"] if r["plain"] is not None else reduced_of(r["text"]), sorted(r["codes"])) for r in sorted(rows, key=lambda r: r["doc_id"])]
     passages = [] if items is None else [reduced_of(r[0]) for r in items.select("passage").where("passage is not null").distinct().orderBy(F.xxhash64("passage")).limit(MAX_PASSAGES).collect()]
     return train(labelled, passages, codes)
 
