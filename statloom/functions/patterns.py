@@ -8,20 +8,15 @@ from __future__ import annotations
 
 CATEGORIES = ("p_values", "sample_sizes", "confidence_intervals", "effect_sizes", "statistical_tests", "power_analysis", "corrections")
 
-_NUM = r"0?\.?\d+"
-_EXP = r"(?:\.\d+)?(?:[eE][-+]?\d+)?"
-_CMP = "[<>=≤≥]"
-_LOOSE = r"[\d.-]+"
-_PAIR = rf"{_LOOSE}\s*[,;]\s*{_LOOSE}"
-
+#: The patterns as implemented, ignoring case.
 IMPLEMENTED = {
     "p_values": [
-        rf"[Pp]\s*{_CMP}\s*{_NUM}{_EXP}",
-        rf"[Pp]\s*\(\s*{_CMP}\s*{_NUM}{_EXP}\s*\)",
-        rf"[Pp][-\s]?value[s]?\s*{_CMP}\s*{_NUM}{_EXP}",
+        r"[Pp]\s*[<>=≤≥]\s*0?\.?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?",
+        r"[Pp]\s*\(\s*[<>=≤≥]\s*0?\.?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?\s*\)",
+        r"[Pp][-\s]?value[s]?\s*[<>=≤≥]\s*0?\.?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?",
         r"[Pp]\s*=\s*NS",
         r"[Pp]\s*=\s*n\.?s\.?",
-        rf"significance\s+at\s+[Pp]\s*{_CMP}\s*{_NUM}",
+        r"significance\s+at\s+[Pp]\s*[<>=≤≥]\s*0?\.?\d+",
     ],
     "sample_sizes": [
         r"[nN]\s*=\s*[\d,]+",
@@ -31,32 +26,32 @@ IMPLEMENTED = {
         r"total\s+[nN]\s*=\s*[\d,]+",
     ],
     "confidence_intervals": [
-        rf"\d+(?:\.\d+)?%?\s*CI[\s:]+\[?{_PAIR}\]?",
-        rf"\d+(?:\.\d+)?%?\s*confidence\s+interval[\s:]+\[?{_PAIR}\]?",
-        rf"CI\s*\d+%?\s*[=:]\s*\[?{_LOOSE}\s*(?:to|-|–|—)\s*{_LOOSE}\]?",
-        rf"\[{_PAIR}\]\s*\(?(?:95|99)%?\s*CI\)?",
+        r"\d+(?:\.\d+)?%?\s*CI[\s:]+\[?[\d.-]+\s*[,;]\s*[\d.-]+\]?",
+        r"\d+(?:\.\d+)?%?\s*confidence\s+interval[\s:]+\[?[\d.-]+\s*[,;]\s*[\d.-]+\]?",
+        r"CI\s*\d+%?\s*[=:]\s*\[?[\d.-]+\s*(?:to|-|–|—)\s*[\d.-]+\]?",
+        r"\[[\d.-]+\s*[,;]\s*[\d.-]+\]\s*\(?(?:95|99)%?\s*CI\)?",
     ],
     "effect_sizes": [
-        rf"Cohen'?s?\s*d\s*[=:]\s*{_LOOSE}",
-        rf"d\s*=\s*{_LOOSE}\s*\(?(?:small|medium|large)?\)?",
-        rf"OR\s*[=:]\s*{_LOOSE}(?:\s*\[{_PAIR}\])?",
-        rf"RR\s*[=:]\s*{_LOOSE}(?:\s*\[{_PAIR}\])?",
-        rf"HR\s*[=:]\s*{_LOOSE}(?:\s*\[{_PAIR}\])?",
-        rf"r\s*[=]\s*[+-]?{_NUM}",
-        rf"R\^?2\s*[=]\s*{_NUM}",
-        rf"β\s*[=]\s*{_LOOSE}",
-        rf"beta\s*[=]\s*{_LOOSE}",
+        r"Cohen'?s?\s*d\s*[=:]\s*[\d.-]+",
+        r"d\s*=\s*[\d.-]+\s*\(?(?:small|medium|large)?\)?",
+        r"OR\s*[=:]\s*[\d.-]+(?:\s*\[[\d.-]+\s*[,;]\s*[\d.-]+\])?",
+        r"RR\s*[=:]\s*[\d.-]+(?:\s*\[[\d.-]+\s*[,;]\s*[\d.-]+\])?",
+        r"HR\s*[=:]\s*[\d.-]+(?:\s*\[[\d.-]+\s*[,;]\s*[\d.-]+\])?",
+        r"r\s*[=]\s*[+-]?0?\.?\d+",
+        r"R\^?2\s*[=]\s*0?\.?\d+",
+        r"β\s*[=]\s*[\d.-]+",
+        r"beta\s*[=]\s*[\d.-]+",
     ],
     "statistical_tests": [
-        rf"t\s*\(\s*\d+(?:\.\d+)?\s*\)\s*[=]\s*{_LOOSE}",
+        r"t\s*\(\s*\d+(?:\.\d+)?\s*\)\s*[=]\s*[\d.-]+",
         r"t[-\s]?test",
         r"paired[-\s]?samples?\s+t[-\s]?test",
-        rf"F\s*\(\s*\d+\s*,\s*\d+\s*\)\s*[=]\s*{_LOOSE}",
+        r"F\s*\(\s*\d+\s*,\s*\d+\s*\)\s*[=]\s*[\d.-]+",
         "ANOVA",
         "ANCOVA",
         "MANOVA",
-        rf"χ2?\s*\(\s*\d+\s*\)\s*[=]\s*{_LOOSE}",
-        rf"chi[-\s]?squared?\s*[=]\s*{_LOOSE}",
+        r"χ2?\s*\(\s*\d+\s*\)\s*[=]\s*[\d.-]+",
+        r"chi[-\s]?squared?\s*[=]\s*[\d.-]+",
         r"Mann[-\s]?Whitney",
         "Wilcoxon",
         r"Kruskal[-\s]?Wallis",
@@ -67,105 +62,208 @@ IMPLEMENTED = {
         r"Kolmogorov[-\s]?Smirnov",
     ],
     "power_analysis": [
-        rf"power\s*[=:]\s*{_NUM}",
-        rf"statistical\s+power\s*[=:]\s*{_NUM}",
-        rf"achieved\s+power\s*[=:]\s*{_NUM}",
+        r"power\s*[=:]\s*0?\.?\d+",
+        r"statistical\s+power\s*[=:]\s*0?\.?\d+",
+        r"achieved\s+power\s*[=:]\s*0?\.?\d+",
         r"post[-\s]?hoc\s+power",
-        rf"1\s*-\s*β\s*[=:]\s*{_NUM}",
+        r"1\s*-\s*β\s*[=:]\s*0?\.?\d+",
     ],
     "corrections": [
         r"Bonferroni[-\s]?(?:corrected|adjusted)",
         r"False\s+Discovery\s+Rate",
         r"FDR[-\s]?(?:corrected|adjusted)",
         r"Benjamini[-\s]?Hochberg",
-        rf"q[-\s]?value\s*[<>=]\s*{_NUM}",
+        r"q[-\s]?value\s*[<>=]\s*0?\.?\d+",
     ],
 }
 
-_DEC = r"0?\.\d+"
-_SIGNED = r"-?\d+\.?\d*"
-_RANGE = rf"[\[\(]?\s*{_SIGNED}\s*[-,to]\s*{_SIGNED}[\]\)]?"
-
+#: The patterns as documented, case counting.
 DOCUMENTED = {
     "p_values": [
-        rf"[pP]\s*{_CMP}\s*{_DEC}",
-        rf"[pP]\s*=\s*{_DEC}",
-        rf"[pP]-value[s]?\s*[:<>=≤≥]\s*{_DEC}",
-        rf"[pP]\s*\([^)]*\)\s*[<>=]\s*{_DEC}",
-        rf"[pP]\s*value\s+of\s+{_DEC}",
-        rf"significant\s+at\s+[pP]\s*[<>=]\s*{_DEC}",
-        rf"[pP]\s*\(\s*two-tailed\s*\)\s*[<>=]\s*{_DEC}",
-    ],
-    "sample_sizes": [r"[nN]\s*=\s*\d+", r"sample\s+size\s*[:=]\s*\d+", r"\d+\s+participants?", r"\d+\s+subjects?", r"\d+\s+patients?", r"\d+\s+cases?\s+and\s+\d+\s+controls?"],
-    "confidence_intervals": [rf"95%?\s*CI[\s:]+{_RANGE}", rf"CI\s*[\[\(]{_SIGNED}\s*,\s*{_SIGNED}[\]\)]", rf"confidence\s+interval[\s:]+{_RANGE}"],
+        r"[pP]\s*[<>=≤≥]\s*0?\.\d+",
+        r"[pP]\s*=\s*0?\.\d+",
+        r"[pP]-value[s]?\s*[:<>=≤≥]\s*0?\.\d+",
+        r"[pP]\s*\([^)]*\)\s*[<>=]\s*0?\.\d+",
+        r"[pP]\s*value\s+of\s+0?\.\d+",
+        r"significant\s+at\s+[pP]\s*[<>=]\s*0?\.\d+",
+        r"[pP]\s*\(\s*two-tailed\s*\)\s*[<>=]\s*0?\.\d+",
+    ],
+    "sample_sizes": [
+        r"[nN]\s*=\s*\d+",
+        r"sample\s+size\s*[:=]\s*\d+",
+        r"\d+\s+participants?",
+        r"\d+\s+subjects?",
+        r"\d+\s+patients?",
+        r"\d+\s+cases?\s+and\s+\d+\s+controls?",
+    ],
+    "confidence_intervals": [
+        r"95%?\s*CI[\s:]+[\[\(]?\s*-?\d+\.?\d*\s*[-,to]\s*-?\d+\.?\d*[\]\)]?",
+        r"CI\s*[\[\(]-?\d+\.?\d*\s*,\s*-?\d+\.?\d*[\]\)]",
+        r"confidence\s+interval[\s:]+[\[\(]?\s*-?\d+\.?\d*\s*[-,to]\s*-?\d+\.?\d*[\]\)]?",
+    ],
     "effect_sizes": [
-        rf"Cohen's\s*d\s*=\s*{_SIGNED}",
-        rf"[dg]\s*=\s*{_SIGNED}",
-        rf"η²\s*=\s*{_DEC}",
-        rf"[rR]²?\s*=\s*-?{_DEC}",
+        r"Cohen's\s*d\s*=\s*-?\d+\.?\d*",
+        r"[dg]\s*=\s*-?\d+\.?\d*",
+        r"η²\s*=\s*0?\.\d+",
+        r"[rR]²?\s*=\s*-?0?\.\d+",
         r"odds?\s+ratio\s*[\[\(]?OR[\]\)]?\s*[=:]\s*\d+\.?\d*",
         r"hazard\s+ratio\s*[\[\(]?HR[\]\)]?\s*[=:]\s*\d+\.?\d*",
     ],
-    "statistical_tests": ["t-test", "Mann-Whitney", "Wilcoxon", "ANOVA", "ANCOVA", "chi-square", "χ²", r"Fisher['s]?\s+exact", "Kruskal-Wallis", "regression", "correlation", "Pearson", "Spearman"],
-    "power_analysis": [rf"power\s*[=:]\s*{_DEC}", rf"statistical\s+power\s+of\s+{_DEC}", r"\d+%\s+power"],
-    "corrections": ["Bonferroni", "Holm", "FDR", r"false\s+discovery\s+rate", "Benjamini-Hochberg", "Tukey", "Dunnett"],
+    "statistical_tests": [
+        "t-test",
+        "Mann-Whitney",
+        "Wilcoxon",
+        "ANOVA",
+        "ANCOVA",
+        "chi-square",
+        "χ²",
+        r"Fisher['s]?\s+exact",
+        "Kruskal-Wallis",
+        "regression",
+        "correlation",
+        "Pearson",
+        "Spearman",
+    ],
+    "power_analysis": [
+        r"power\s*[=:]\s*0?\.\d+",
+        r"statistical\s+power\s+of\s+0?\.\d+",
+        r"\d+%\s+power",
+    ],
+    "corrections": [
+        "Bonferroni",
+        "Holm",
+        "FDR",
+        r"false\s+discovery\s+rate",
+        "Benjamini-Hochberg",
+        "Tukey",
+        "Dunnett",
+    ],
 }
 
 #: Profile -> (catalogue, ignore case).
 CATALOGUES = {"implemented": (IMPLEMENTED, True), "documented": (DOCUMENTED, False)}
 
+#: Points a category gives.
 WEIGHTS = {
     "implemented": {"p_values": 25, "sample_sizes": 25, "confidence_intervals": 20, "effect_sizes": 20, "statistical_tests": 10},
     "documented": {"p_values": 30, "confidence_intervals": 20, "effect_sizes": 15, "sample_sizes": 10, "statistical_tests": 10, "power_analysis": 10, "corrections": 5},
 }
 
-_P = r"(\d+\.?\d*)"
-#: name -> (pattern with groups, type, type where names decide as they stand).
+#: Name -> (pattern with groups, type).
 STRUCTURED = {
-    "ci_parentheses": (rf"{_P}\s*\({_P}\s*[,-]\s*{_P}\)", "confidence_interval"),
-    "ci_brackets": (rf"\[{_P}\s*[,-]\s*{_P}\]", "confidence_interval"),
-    "ci_to": (rf"{_P}\s+to\s+{_P}", "confidence_interval"),
-    "ci_between": (rf"between\s+{_P}\s+and\s+{_P}", "confidence_interval"),
-    "ci_explicit": (rf"(CI|confidence\s+interval)[:\s]+{_P}\s*[,-]\s*{_P}", "confidence_interval"),
-    "p_value_exact": (rf"[Pp]\s*[=<>≤≥]\s*{_P}", "p_value"),
-    "p_value_text": (rf"(significant|significance)\s+at\s+{_P}\s+level", "p_value"),
+    "ci_parentheses": (r"(\d+\.?\d*)\s*\((\d+\.?\d*)\s*[,-]\s*(\d+\.?\d*)\)", "confidence_interval"),
+    "ci_brackets": (r"\[(\d+\.?\d*)\s*[,-]\s*(\d+\.?\d*)\]", "confidence_interval"),
+    "ci_to": (r"(\d+\.?\d*)\s+to\s+(\d+\.?\d*)", "confidence_interval"),
+    "ci_between": (r"between\s+(\d+\.?\d*)\s+and\s+(\d+\.?\d*)", "confidence_interval"),
+    "ci_explicit": (r"(CI|confidence\s+interval)[:\s]+(\d+\.?\d*)\s*[,-]\s*(\d+\.?\d*)", "confidence_interval"),
+    "p_value_exact": (r"[Pp]\s*[=<>≤≥]\s*(\d+\.?\d*)", "p_value"),
+    "p_value_text": (r"(significant|significance)\s+at\s+(\d+\.?\d*)\s+level", "p_value"),
     "sample_size": (r"[nN]\s*=\s*(\d+)", "sample_size"),
     "participants": (r"(\d+)\s+(participants?|patients?|subjects?|individuals?|cases?)", "sample_size"),
-    "cohens_d": (rf"Cohen's\s+d\s*=\s*{_P}", "effect_size"),
-    "odds_ratio": (rf"(OR|odds\s+ratio)\s*[=:]\s*{_P}", "effect_size"),
-    "correlation": (rf"[rR]\s*=\s*[+-]?{_P}", "effect_size"),
-    "t_test": (rf"t\s*\(\s*(\d+)\s*\)\s*=\s*{_P}", "statistical_test"),
-    "f_test": (rf"F\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)\s*=\s*{_P}", "statistical_test"),
-    "chi_square": (rf"χ²\s*\(\s*(\d+)\s*\)\s*=\s*{_P}", "statistical_test"),
+    "cohens_d": (r"Cohen's\s+d\s*=\s*(\d+\.?\d*)", "effect_size"),
+    "odds_ratio": (r"(OR|odds\s+ratio)\s*[=:]\s*(\d+\.?\d*)", "effect_size"),
+    "correlation": (r"[rR]\s*=\s*[+-]?(\d+\.?\d*)", "effect_size"),
+    "t_test": (r"t\s*\(\s*(\d+)\s*\)\s*=\s*(\d+\.?\d*)", "statistical_test"),
+    "f_test": (r"F\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)\s*=\s*(\d+\.?\d*)", "statistical_test"),
+    "chi_square": (r"χ²\s*\(\s*(\d+)\s*\)\s*=\s*(\d+\.?\d*)", "statistical_test"),
 }
 #: Names whose type changes where every name holding "ci" is an interval.
 COMPAT_TYPES = {"participants": "confidence_interval"}
 
+#: Marks of tables and figures.
 TABLE_MARKS = [r"Table\s+\d+[:\.]", r"TABLE\s+\d+", r"\|.*\|.*\|", "┌─.*─┐", r"<table.*?>.*?</table>"]
 FIGURE_MARKS = [r"Figure\s+\d+[:\.].*?(?=Figure\s+\d+|Table\s+\d+|$)", r"FIGURE\s+\d+.*?(?=FIGURE\s+\d+|TABLE\s+\d+|$)", r"Fig\.\s+\d+.*?(?=Fig\.\s+\d+|Table\s+\d+|$)"]
 #: Characters before and after a table mark that belong to its section.
 TABLE_WINDOW = (100, 500)
 
+#: Looser patterns of the three audits.
 AUDIT_A = {
-    "p_values": [rf"[Pp]\s*{_CMP}\s*{_NUM}", rf"[Pp][-\s]?value[s]?\s*{_CMP}\s*{_NUM}"],
-    "sample_sizes": [r"[nN]\s*=\s*[\d,]+", r"sample\s+size\s*:?\s*[\d,]+"],
-    "confidence_intervals": [rf"\d+%?\s*CI[\s:]+\[?{_PAIR}\]?"],
-    "effect_sizes": [rf"Cohen'?s?\s*d\s*[=:]\s*{_LOOSE}", rf"OR\s*[=:]\s*{_LOOSE}", rf"RR\s*[=:]\s*{_LOOSE}"],
-    "t_tests": [rf"t\s*\(\s*\d+\s*\)\s*[=]\s*{_LOOSE}", r"t[-\s]?test"],
+    "p_values": [
+        r"[Pp]\s*[<>=≤≥]\s*0?\.?\d+",
+        r"[Pp][-\s]?value[s]?\s*[<>=≤≥]\s*0?\.?\d+",
+    ],
+    "sample_sizes": [
+        r"[nN]\s*=\s*[\d,]+",
+        r"sample\s+size\s*:?\s*[\d,]+",
+    ],
+    "confidence_intervals": [
+        r"\d+%?\s*CI[\s:]+\[?[\d.-]+\s*[,;]\s*[\d.-]+\]?",
+    ],
+    "effect_sizes": [
+        r"Cohen'?s?\s*d\s*[=:]\s*[\d.-]+",
+        r"OR\s*[=:]\s*[\d.-]+",
+        r"RR\s*[=:]\s*[\d.-]+",
+    ],
+    "t_tests": [
+        r"t\s*\(\s*\d+\s*\)\s*[=]\s*[\d.-]+",
+        r"t[-\s]?test",
+    ],
 }
 AUDIT_B = {
-    "p_values": [rf"p\s*[<>=]\s*{_DEC}", rf"P\s*[<>=]\s*{_DEC}", r"significance.*0\.\d+", r"significant\s+at\s+0\.\d+", r"p-value.*0\.\d+"],
-    "sample_sizes": [r"[nN]\s*=\s*\d+", r"\d+\s+patients", r"\d+\s+subjects", r"\d+\s+participants", r"sample.*\d+", r"recruited\s+\d+", r"enrolled\s+\d+"],
-    "confidence_intervals": [r"95%\s*CI", r"99%\s*CI", r"confidence\s+interval", r"CI\s*:?\s*\[", r"CI\s*:?\s*\("],
-    "effect_sizes": [rf"d\s*=\s*{_LOOSE}", r"[Ee]ffect\s+size", r"OR\s*[:=]", r"HR\s*[:=]", r"RR\s*[:=]", r"[Cc]orrelation.*r\s*="],
-    "statistical_tests": ["t-test", "ANOVA", "[Cc]hi-square", "[Mm]ann-[Ww]hitney", "[Ww]ilcoxon", "[Kk]ruskal", "regression", "[Ff]isher.*exact"],
+    "p_values": [
+        r"p\s*[<>=]\s*0?\.\d+",
+        r"P\s*[<>=]\s*0?\.\d+",
+        r"significance.*0\.\d+",
+        r"significant\s+at\s+0\.\d+",
+        r"p-value.*0\.\d+",
+    ],
+    "sample_sizes": [
+        r"[nN]\s*=\s*\d+",
+        r"\d+\s+patients",
+        r"\d+\s+subjects",
+        r"\d+\s+participants",
+        r"sample.*\d+",
+        r"recruited\s+\d+",
+        r"enrolled\s+\d+",
+    ],
+    "confidence_intervals": [
+        r"95%\s*CI",
+        r"99%\s*CI",
+        r"confidence\s+interval",
+        r"CI\s*:?\s*\[",
+        r"CI\s*:?\s*\(",
+    ],
+    "effect_sizes": [
+        r"d\s*=\s*[\d.-]+",
+        r"[Ee]ffect\s+size",
+        r"OR\s*[:=]",
+        r"HR\s*[:=]",
+        r"RR\s*[:=]",
+        r"[Cc]orrelation.*r\s*=",
+    ],
+    "statistical_tests": [
+        "t-test",
+        "ANOVA",
+        "[Cc]hi-square",
+        "[Mm]ann-[Ww]hitney",
+        "[Ww]ilcoxon",
+        "[Kk]ruskal",
+        "regression",
+        "[Ff]isher.*exact",
+    ],
 }
 AUDIT_C = {
-    "p_values": [rf"[Pp]\s*[<>=]\s*{_DEC}"],
-    "sample_sizes": [r"[nN]\s*=\s*\d+"],
-    "confidence_intervals": [r"95%\s*CI", r"confidence\s+interval"],
-    "effect_sizes": [r"OR\s*[:=]", r"HR\s*[:=]", r"RR\s*[:=]"],
-    "statistical_tests": ["t-test", "ANOVA", "chi-square", "regression"],
+    "p_values": [
+        r"[Pp]\s*[<>=]\s*0?\.\d+",
+    ],
+    "sample_sizes": [
+        r"[nN]\s*=\s*\d+",
+    ],
+    "confidence_intervals": [
+        r"95%\s*CI",
+        r"confidence\s+interval",
+    ],
+    "effect_sizes": [
+        r"OR\s*[:=]",
+        r"HR\s*[:=]",
+        r"RR\s*[:=]",
+    ],
+    "statistical_tests": [
+        "t-test",
+        "ANOVA",
+        "chi-square",
+        "regression",
+    ],
 }
 #: How far into a text the audits look, and how many items they check.
 AUDIT_CHARS = {"count_match": 50_000, "presence": 100_000, "missed_low": 100_000, "missed_medium": 50_000}
