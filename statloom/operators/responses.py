@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions import dialect
-from statloom.functions.patterns import IMPLEMENTED
+from statloom.functions.patterns import IMPLEMENTED, STRUCTURED
 from statloom.operators import nested
 
 
@@ -30,6 +31,17 @@ class RecordedClient:
         return self.answers[prompt]
 
 
+class PatternClient:
+    """Answers every prompt with the findings that patterns see in it: an offline stand-in for a model."""
+
+    def __init__(self):
+        self.patterns = [(t, dialect.python(p)) for p, t in STRUCTURED.values()]
+
+    def complete(self, prompt: str) -> str:
+        hits = [{"type": t, "value": m.groups()[-1], "raw_text": m.group()} for t, r in self.patterns for m in r.finditer(prompt)]
+        return json.dumps({"findings": hits})
+
+
 ANSWERED = "batch_id string, answer string, status string, attempts int, error string"
 
 

@@ -548,6 +548,16 @@ def parse_findings(spark, d):
     return responses.parsed_findings(table(spark, d, "llm_responses")).groupBy("type", "location").agg(F.count(F.lit(1)).alias("findings"), F.round(F.sum("confidence"), 6).alias("confidence"))
 
 
+@query()
+def model_pipeline(spark, d):
+    """Batches, prompts, calls (to the offline client), answers and findings, end to end: findings by type."""
+    a = table(spark, d, "articles")
+    p = batching.prompts(a, batching.pack_batches(a), "Return JSON only.")
+    p = p.select(F.xxhash64("group_key", "slot", "batch_no").cast("string").alias("batch_id"), "prompt")
+    answers = responses.call_model(p, responses.PatternClient).where("status = 'completed'").select(F.col("batch_id").cast("long").alias("response_id"), F.col("answer").alias("payload"))
+    return responses.parsed_findings(answers).groupBy("type").agg(F.count(F.lit(1)).alias("findings"))
+
+
 # ---- validation ----------------------------------------------------------------------------------------------------
 
 _DEC = r"length(regexp_extract(CAST(num AS VARCHAR), '\.(\d+)', 1))"
@@ -803,6 +813,26 @@ def raw_interval_hits(spark, d):
     return responses.raw_interval_hits(table(spark, d, "llm_responses")).select("response_id", F.size("intervals").alias("intervals"))
 
 
+@query(f"WITH {X} SELECT count(*) AS results, CAST(sum(rigor_score) AS BIGINT) AS score_sum, CAST(sum(len(p_values)) AS BIGINT) AS p_values, count(pmc_id) AS with_pmc_id FROM x")
+def jsonl_round_trip(spark, d):
+    """Extraction written as compressed JSON lines by run and read again."""
+    x = extract.extract(spread(arts(spark, d).select("id", *readers.METADATA, "text")))
+    path = scratch(spark, "jsonl")
+    sinks.write_extraction(extract.output_records(x), path, "run")
+    back = readers.results_only(readers.extraction_lines(spark, path))
+    return back.agg(F.count(F.lit(1)).alias("results"), F.sum("stats.rigor_score").alias("score_sum"), F.sum(F.size("stats.p_values")).alias("p_values"), F.count("metadata.pmc_id").alias("with_pmc_id"))
+
+
+@query()
+def output_inventory(spark, d):
+    """Files and bytes of the newest of two runs' folders."""
+    x = extract.extract(spread(arts(spark, d).select("id", *readers.METADATA, "text")))
+    path = scratch(spark, "runs")
+    for run in ("r1", "r2"):
+        sinks.write_extraction(extract.output_records(x), path, run)
+    return readers.inventory(spark, path, "*.json*").select(F.regexp_extract("folder", r"[^/]*$", 0).alias("folder"), "files", "bytes")
+
+
 # ---- streaming -----------------------------------------------------------------------------------------------------
 
 
