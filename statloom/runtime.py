@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 UNI = "(?U)"
 
 
+def _half_memory(most_gb: int) -> str:
+    """Half of the machine's memory, at most so many GB: the other half is for Python workers."""
+    have = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2**30
+    return f"{max(1, min(most_gb, int(have / 2)))}g"
+
+
 def local_session(app: str = "statloom", cpus: int = 8, **conf: str) -> SparkSession:
     """A local session with the settings the tests and the bench use."""
     b = (
@@ -22,7 +28,7 @@ def local_session(app: str = "statloom", cpus: int = 8, **conf: str) -> SparkSes
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
+        .config("spark.driver.memory", conf.pop("driver_memory", None) or _half_memory(12))
     )
     for k, v in conf.items():
         b = b.config(k, v)
