@@ -461,7 +461,7 @@ def path_scores(nodes: list[Node]) -> dict[str, float]:
     return {k: a / n for k, (a, n) in smooth.items()}
 
 
-#: A path is content from this share of its document's mean score.
+#: A path is content from this share of the mean score of its document's running text.
 THRESHOLD = 0.1
 
 
@@ -471,7 +471,9 @@ def select_content(nodes: list[Node], threshold: float = THRESHOLD) -> list[Node
     if not nodes:
         return []
     scores = path_scores(nodes)
-    cut = threshold * sum(scores[n.path] for n in nodes) / len(nodes)
+    # of running text: long code or tables say nothing about what a paragraph must have
+    text = [n for n in nodes if n.kind == "paragraph"] or nodes
+    cut = threshold * sum(scores[n.path] for n in text) / len(text)
     for n in nodes:
         parts = n.path.split("/")
         n.keep = (scores[n.path] >= cut or n.kind in ELEMENTS or n.kind == "table_row") and not any(x in ASIDE for x in parts)

@@ -67,6 +67,11 @@ def test_content_paths():
     assert scores["div/p"] > 3 * scores["nav/ul/li"]
 
 
+def test_long_code_drops_no_text():
+    body = "<div><p>Short text here.</p></div><pre>" + "x = y ** 2, z;\n" * 5000 + "</pre>"
+    assert [n.kind for n in m.select_content(m.parse(body).nodes)] == ["paragraph", "code_block"]
+
+
 def test_long_document_is_parsed_whole():
     body = "\n\n".join(f"## H{i}\n\nText {i} with words.\n\n- item $x_{i}$" for i in range(20_000))
     assert kinds(body) == {"heading": 20_000, "list_item": 20_000, "formula": 20_000}
