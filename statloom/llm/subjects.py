@@ -78,8 +78,28 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
+#: Characters that are hashed at once; more are taken in parts, which bounds the memory of what stands in between.
+SPLIT_CHARS = 1_000_000
+
+
 def split_words(texts: list[str]) -> Words:
     """Words of reduced texts. A line that doesn't end as a sentence (a title, a heading) is not whole."""
+    if len(texts) > 1 and sum(map(len, texts)) > SPLIT_CHARS:
+        cuts, n = [0], 0
+        for i, t in enumerate(texts):
+            if n and n + len(t) > SPLIT_CHARS:
+                cuts.append(i)
+                n = 0
+            n += len(t)
+        parts = [(a, _split(texts[a:b])) for a, b in zip(cuts, [*cuts[1:], len(texts)], strict=True)]
+        words = np.cumsum([0, *(len(w.hashes) for _, w in parts)])
+        sentences = np.cumsum([0, *(len(w.starts) for _, w in parts)])
+        join = lambda f: np.concatenate([f(i, a, w) for i, (a, w) in enumerate(parts)])
+        return Words(join(lambda i, a, w: w.hashes), join(lambda i, a, w: w.sentence + sentences[i]), join(lambda i, a, w: w.starts + words[i]), join(lambda i, a, w: w.text + a), join(lambda i, a, w: w.whole))
+    return _split(texts)
+
+
+def _split(texts: list[str]) -> Words:
     parts = [b" " + t.encode() + b"\n" for t in texts]
     b = np.frombuffer(b"".join(parts) + b" ", dtype=np.uint8)
     ends_of = np.cumsum(np.array([len(p) for p in parts], dtype=np.int64)) if parts else np.zeros(0, np.int64)
@@ -160,13 +180,13 @@ class Models:
         of_word, of_pair, of_before = self.words.find(w.hashes), self.pairs.find(pair), self.words.find(before)
         uni, bi = np.zeros((len(self.words.keys), n)), np.zeros((len(self.pairs.keys), n))
         hist, start = np.zeros((len(self.words.keys), n)), np.zeros((1, n))
-        per = weights[w.sentence]
         known = of_before >= 0
         for c in range(n):
-            uni[:, c] = np.bincount(of_word, per[:, c], len(uni))
-            bi[:, c] = np.bincount(of_pair, per[:, c], len(bi))
-            hist[:, c] = np.bincount(of_before[known], per[known, c], len(hist))
-            start[0, c] = per[~known, c].sum()
+            per = weights[w.sentence, c]
+            uni[:, c] = np.bincount(of_word, per, len(uni))
+            bi[:, c] = np.bincount(of_pair, per, len(bi))
+            hist[:, c] = np.bincount(of_before[known], per[known], len(hist))
+            start[0, c] = per[~known].sum()
         word_of_pair, hist_of_pair = np.zeros(len(bi), np.int64), np.full(len(bi), -1)
         word_of_pair[of_pair], hist_of_pair[of_pair] = of_word, of_before
 

@@ -122,6 +122,19 @@ def test_no_labels(spark, corpus):
     assert sb.document_subjects(df, sb.fit(df, labels, codes)).count() == 0
 
 
+def test_parts_are_one_whole():
+    texts = [f"word{i} alpha beta. gamma{i % 7} delta\n" * (1 + i % 5) for i in range(200)] + ["", "end"]
+    whole = sb.split_words(texts)
+    most = sb.SPLIT_CHARS
+    try:
+        sb.SPLIT_CHARS = 500
+        parts = sb.split_words(texts)
+    finally:
+        sb.SPLIT_CHARS = most
+    for f in ("hashes", "sentence", "starts", "text", "whole"):
+        assert (getattr(whole, f) == getattr(parts, f)).all()
+
+
 def test_words_hash_alike():
     w = sb.split_words(["alpha beta. alpha\n", "beta gamma alpha!"])
     assert w.hashes[0] == w.hashes[2] == w.hashes[5] and w.hashes[1] == w.hashes[3] and len(set(w.hashes)) == 3
