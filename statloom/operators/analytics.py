@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.patterns import CATEGORIES
@@ -61,23 +61,14 @@ def score_histogram(x: DataFrame) -> DataFrame:
     return x.groupBy("rigor_score").agg(F.count(F.lit(1)).alias("articles"))
 
 
-def bucket_column(score: Column, profile: str) -> Column:
-    return F.coalesce(*[F.when(score.between(lo, hi), F.lit(label)) for label, lo, hi in BUCKETS[profile]])
-
-
 def score_buckets(x: DataFrame, profile: str = "code") -> DataFrame:
-    """Articles per bucket; empty buckets are shown with 0."""
-    spark = x.sparkSession
-    labels = spark.createDataFrame([(i, b[0]) for i, b in enumerate(BUCKETS[profile])], "pos int, bucket string")
-    per = x.groupBy(bucket_column(F.col("rigor_score"), profile).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    j = labels.join(per, "bucket", "left").select("pos", "bucket", F.coalesce("n", F.lit(0)).alias("articles"))
-    total = F.sum("articles").over(Window.partitionBy())  # a handful of rows
-    return j.select("pos", "bucket", "articles", percent(F.col("articles"), total).alias("pct"))
-
-
-def cumulative(buckets: DataFrame) -> DataFrame:
-    """Adds the running share; a handful of rows, so one partition."""
-    w = Window.partitionBy().orderBy("pos")
-    total = F.sum("articles").over(Window.partitionBy())
-    run = F.sum("articles").over(w)
-    return buckets.withColumn("cumulative_pct", percent(run, total))
+    """Articles per bucket, with the running number; empty buckets are shown with 0. One aggregation to one row, which is
+    then turned into the buckets' rows."""
+    buckets = BUCKETS[profile]
+    s = F.col("rigor_score")
+    one = x.agg(*[F.count_if(s.between(lo, hi)).alias(f"b{i}") for i, (_, lo, hi) in enumerate(buckets)])
+    n = [F.col(f"b{i}") for i in range(len(buckets))]
+    total = sum(n[1:], n[0])
+    rows = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(b[0]).alias("bucket"), n[i].alias("articles"), sum(n[1 : i + 1], n[0]).alias("upto"), total.alias("total")) for i, b in enumerate(buckets)])
+    r = one.select(F.explode(rows).alias("r")).select("r.*")
+    return r.select("pos", "bucket", "articles", percent(F.col("articles"), F.col("total")).alias("pct"), percent(F.col("upto"), F.col("total")).alias("cumulative_pct"))

@@ -301,12 +301,12 @@ def _bucket_sql(profile: str, cumulative: bool) -> str:
 
 @query(_bucket_sql("code", False))
 def score_buckets(spark, d):
-    return analytics.score_buckets(scores(spark, d))
+    return analytics.score_buckets(scores(spark, d)).drop("cumulative_pct")
 
 
 @query(_bucket_sql("documented", True))
 def score_buckets_cumulative(spark, d):
-    return analytics.cumulative(analytics.score_buckets(scores(spark, d), "documented"))
+    return analytics.score_buckets(scores(spark, d), "documented")
 
 
 # ---- predicates and choice ----------------------------------------------------------------------------------------

@@ -174,7 +174,7 @@ def test_empty_analytics(spark):
     x = spark.createDataFrame([], "id long, journal string, pub_year int, rigor_score int")
     assert analytics.score_totals(x).first()["with_pct"] == 0.0
     assert [r["articles"] for r in analytics.score_buckets(x).collect()] == [0] * 6
-    assert analytics.cumulative(analytics.score_buckets(x, "documented")).count() == 5
+    assert [r["cumulative_pct"] for r in analytics.score_buckets(x, "documented").collect()] == [0.0] * 5
     assert analytics.top_journals(x).count() == 0
 
 
