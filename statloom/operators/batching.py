@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.functions import dialect
-from statloom.functions.patterns import CONTENT_FLAGS, SIZE_CLASSES, TARGET_TOKENS
+from statloom.functions.patterns import CONTENT_FLAGS, SIZE_CLASSES, STRUCTURED, TARGET_TOKENS
 from statloom.operators.structured import figure_captions, table_section_count
 
 
@@ -103,17 +107,73 @@ def round_robin(ranked: DataFrame, rank: str, k: int) -> DataFrame:
     return ranked.withColumn("instance", F.pmod(F.col(rank), F.lit(k)))
 
 
-def prompt_block() -> Column:
-    """One article's part of a prompt: abstract up to 500 and body up to 2,000 characters, as a prompt holds them."""
-    return F.concat(F.lit("Article "), F.coalesce("pmc_id", F.lit("")), F.lit("\nTitle: "), _text("title"), F.lit("\nAbstract: "), F.left(_text("abstract"), F.lit(500)), F.lit("\nBody: "), F.left(_text("body"), F.lit(2000)))
+def _cuts(text: str, most: int, spans: list[tuple[int, int]]) -> Iterator[str]:
+    """The text in pieces of at most `most` characters, which joined give the text. A piece ends behind white space where it
+    can, and never inside a span: a span longer than a piece makes its piece as long."""
+    starts = [s for s, _ in spans]
+
+    def inside(at: int) -> tuple[int, int] | None:
+        k = bisect_left(starts, at) - 1
+        return spans[k] if k >= 0 and spans[k][1] > at else None
+
+    begin = 0
+    while len(text) - begin > most:
+        end = begin + most
+        at = end
+        while at > begin and (not text[at - 1].isspace() or inside(at)):
+            at -= 1
+        if at == begin:
+            at = end
+            if span := inside(end):
+                at = span[0] if span[0] > begin else span[1]
+        yield text[begin:at]
+        begin = at
+    if begin < len(text):
+        yield text[begin:]
+
+
+def _spans(text: str, patterns: Sequence[re.Pattern]) -> list[tuple[int, int]]:
+    """Where statistics stand, overlapping ones joined."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(m.span() for r in patterns for m in r.finditer(text)):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def text_pieces(text: Column, most: int) -> Column:
+    """The whole text as an array of pieces of at most `most` characters, cut where no statistic is cut in two; null stays."""
+    patterns = [p for p, _ in STRUCTURED.values()]
+
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        rx = [dialect.python(p) for p in patterns]
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else list(_cuts(t, most, _spans(t, rx))))
 
+    return F.pandas_udf(cut, "array<string>")(text)
 
-def prompts(articles: DataFrame, packed: DataFrame, template: str) -> DataFrame:
-    """One prompt per batch: its articles' blocks in order, then the template. A batch holds at most 50 articles."""
-    j = packed.join(articles.select("id", prompt_block().alias("block")), "id")
-    blocks = F.array_sort(F.collect_list(F.struct("pos_in_batch", "block")))
-    g = j.groupBy("group_key", "slot", "batch_no").agg(blocks.alias("b"))
-    return g.select("group_key", "slot", "batch_no", F.size("b").alias("articles"), F.concat(F.array_join(F.transform("b", lambda x: x["block"]), "\n\n"), F.lit("\n\n" + template)).alias("prompt"))
+
+def prompt_text() -> Column:
+    """One article's title, abstract and body as prompts hold them: whole."""
+    return F.concat(F.lit("Title: "), _text("title"), F.lit("\nAbstract: "), _text("abstract"), F.lit("\nBody: "), _text("body"))
+
+
+def prompts(articles: DataFrame, packed: DataFrame, template: str, target: int = TARGET_TOKENS) -> DataFrame:
+    """Prompts of the batches: their articles' blocks in order, then the template. A batch holds at most 50 articles.
+
+    Texts are sent whole: an article of more than target tokens goes on in further prompts of its batch (part 1, 2, ...),
+    each piece behind the article's id. No text is sent twice, so findings may be counted over all prompts.
+    """
+    j = packed.join(articles.select("id", "pmc_id", prompt_text().alias("text")), "id")
+    long = F.col("tokens") > target
+    j = j.withColumn("cut", text_pieces(F.when(long, F.col("text")), 4 * target))
+    j = j.select("group_key", "slot", "batch_no", "pos_in_batch", "pmc_id", F.posexplode(F.when(long, F.col("cut")).otherwise(F.array("text"))).alias("part", "piece"))
+    begin = F.when(F.col("part") > 0, F.lit(" (continued)\n")).otherwise(F.lit("\n"))
+    block = F.concat(F.lit("Article "), F.coalesce("pmc_id", F.lit("")), begin, "piece")
+    g = j.groupBy("group_key", "slot", "batch_no", "part").agg(F.array_sort(F.collect_list(F.struct("pos_in_batch", block.alias("block")))).alias("b"))
+    return g.select("group_key", "slot", "batch_no", "part", F.size("b").alias("articles"), F.concat(F.array_join(F.transform("b", lambda x: x["block"]), "\n\n"), F.lit("\n\n" + template)).alias("prompt"))
 
 
 def llm_prepare(articles: DataFrame) -> DataFrame:

@@ -535,7 +535,7 @@ def pack_batches(spark, d):
 @query()
 def prompt_build(spark, d):
     a = table(spark, d, "articles")
-    return batching.prompts(a, batching.pack_batches(a), "Return JSON only.").select("group_key", "slot", "batch_no", "articles", F.length("prompt").alias("prompt_length"))
+    return batching.prompts(a, batching.pack_batches(a), "Return JSON only.").select("group_key", "slot", "batch_no", "part", "articles", F.length("prompt").alias("prompt_length"))
 
 
 @query()
@@ -553,7 +553,7 @@ def model_pipeline(spark, d):
     """Batches, prompts, calls (to the offline client), answers and findings, end to end: findings by type."""
     a = table(spark, d, "articles")
     p = batching.prompts(a, batching.pack_batches(a), "Return JSON only.")
-    p = p.select(F.xxhash64("group_key", "slot", "batch_no").cast("string").alias("batch_id"), "prompt")
+    p = p.select(F.xxhash64("group_key", "slot", "batch_no", "part").cast("string").alias("batch_id"), "prompt")
     answers = responses.call_model(p, responses.PatternClient).where("status = 'completed'").select(F.col("batch_id").cast("long").alias("response_id"), F.col("answer").alias("payload"))
     return responses.parsed_findings(answers).groupBy("type").agg(F.count(F.lit(1)).alias("findings"))
 
