@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.functions import dialect
-from statloom.functions.patterns import CONTENT_FLAGS, SIZE_CLASSES, STRUCTURED, TARGET_TOKENS
-from statloom.operators.structured import figure_captions, table_section_count
+from statloom.functions.patterns import CONTENT_FLAGS, FIGURE_MARKS, SIZE_CLASSES, STRUCTURED, TABLE_MARKS, TARGET_TOKENS
+from statloom.operators.structured import figure_captions, table_section_count, table_windows
+
+#: Characters of a prepared piece, and of a long body's beginning.
+PIECE_CHARS, HEAD_CHARS = 50_000, 10_000
 
 
 def _text(c: str) -> Column:
@@ -176,11 +179,35 @@ def prompts(articles: DataFrame, packed: DataFrame, template: str, target: int =
     return g.select("group_key", "slot", "batch_no", "part", F.size("b").alias("articles"), F.concat(F.array_join(F.transform("b", lambda x: x["block"]), "\n\n"), F.lit("\n\n" + template)).alias("prompt"))
 
 
+def _prepared(body: Column) -> Column:
+    """Pieces of a long body: its beginning with all table sections and figure captions behind it, then the rest."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        rx = [dialect.python(p) for p, _ in STRUCTURED.values()]
+        tables, figures = ([dialect.python(p, dotall=True) for p in marks] for marks in (TABLE_MARKS, FIGURE_MARKS))
+
+        def pieces(text: str | None) -> list[str] | None:
+            if text is None:
+                return None
+            head = next(_cuts(text, HEAD_CHARS, _spans(text, rx)))
+            parts = [head, *[f"\n\n[TABLE SECTION]\n{text[s:e]}\n" for s, e in table_windows(text, tables)]]
+            parts += [f"\n\n[FIGURE CAPTION]\n{m.group()}\n" for r in figures for m in r.finditer(text)]
+            return [p for t in ("".join(parts), text[len(head) :]) for p in _cuts(t, PIECE_CHARS, _spans(t, rx))]
+
+        for texts in batches:
+            yield texts.map(pieces)
+
+    return F.pandas_udf(run, "array<string>")(body)
+
+
 def llm_prepare(articles: DataFrame) -> DataFrame:
-    """What a model gets of an article: bodies over 50,000 characters are cut to the first 10,000 with the figure
-    captions (ten at most, 500 characters each) behind them; flags and counts of tables and figures."""
+    """What a model gets of an article, with flags and counts of tables and figures: the body, where it is not over 50,000
+    characters. A longer one comes in pieces of at most as many: first about 10,000 characters with all table sections and
+    whole figure captions behind them (which repeat text of the body), then the rest of the body; no piece ends inside a
+    statistic."""
     body = _text("body")
-    figs = figure_captions(body)
-    extra = F.array_join(F.transform(F.slice(figs, 1, 10), lambda f: F.concat(F.lit("\n\n[FIGURE CAPTION]\n"), F.left(f, F.lit(500)))), "")
-    trimmed = F.when(F.length(body) > 50_000, F.concat(F.left(body, F.lit(10_000)), extra)).otherwise(body)
-    return articles.select("id", "pmc_id", "title", "abstract", trimmed.alias("body"), table_section_count(body).alias("table_count"), F.size(figs).alias("figure_count")).withColumns({"has_tables": F.col("table_count") > 0, "has_figures": F.col("figure_count") > 0})
+    long = F.length(body) > PIECE_CHARS
+    counted = articles.select("id", "pmc_id", "title", "abstract", body.alias("body"), table_section_count(body).alias("table_count"), F.size(figure_captions(body)).alias("figure_count"), _prepared(F.when(long, body)).alias("cut"))
+    pieces = F.when(F.length("body") > PIECE_CHARS, F.col("cut")).otherwise(F.array("body"))
+    out = counted.select("id", "pmc_id", "title", "abstract", F.posexplode(pieces).alias("piece", "body"), "table_count", "figure_count")
+    return out.withColumns({"has_tables": F.col("table_count") > 0, "has_figures": F.col("figure_count") > 0})

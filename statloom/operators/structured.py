@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -77,6 +78,13 @@ def figure_captions(text: Column) -> Column:
     return F.concat(*[hits(F.coalesce(text, F.lit("")), [p], dotall=True) for p in FIGURE_MARKS])
 
 
+def table_windows(text: str, marks: Sequence[re.Pattern]) -> Iterator[tuple[int, int]]:
+    """Bounds of every table section: a mark with the text around it, by pattern, then place."""
+    for r in marks:
+        for m in r.finditer(text):
+            yield max(0, m.start() - TABLE_WINDOW[0]), min(len(text), m.end() + TABLE_WINDOW[1])
+
+
 SECTION = "id long, kind string, start int, end int, section string"
 
 
@@ -88,10 +96,8 @@ def table_sections(articles: DataFrame, col: str = "body") -> DataFrame:
         for pdf in batches:
             out = []
             for rid, text in zip(pdf["id"].to_list(), pdf["txt"], strict=True):
-                for r in rx:
-                    for m in r.finditer(text):
-                        s, e = max(0, m.start() - TABLE_WINDOW[0]), min(len(text), m.end() + TABLE_WINDOW[1])
-                        out.append((rid, "table", s, e, text[s:e]))
+                for s, e in table_windows(text, rx):
+                    out.append((rid, "table", s, e, text[s:e]))
             yield pd.DataFrame(out, columns=["id", "kind", "start", "end", "section"])
 
     return articles.select(F.col("id").cast("long").alias("id"), F.col(col).alias("txt")).where("txt <> ''").mapInPandas(run, SECTION)

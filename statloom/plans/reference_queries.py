@@ -540,7 +540,7 @@ def prompt_build(spark, d):
 
 @query()
 def llm_prepare(spark, d):
-    return batching.llm_prepare(table(spark, d, "articles")).select("id", F.length("body").alias("body_length"), "table_count", "figure_count", "has_tables", "has_figures")
+    return batching.llm_prepare(table(spark, d, "articles")).select("id", "piece", F.length("body").alias("body_length"), "table_count", "figure_count", "has_tables", "has_figures")
 
 
 @query()

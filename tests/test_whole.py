@@ -42,3 +42,19 @@ def test_no_cut_inside_a_statistic():
         pieces = list(batching._cuts(text, most, spans))
         assert "".join(pieces) == text and any("12 to 34" in p for p in pieces)
         assert all(len(p) <= max(most, len("12 to 34")) for p in pieces)
+
+
+def test_prepared_bodies_keep_tables_captions_and_the_rest(spark):
+    fill = "some words here. " * 1000
+    body = fill + "Table 1: p = 0.02 in column one. " + fill + "".join(f"Figure {k}. " + f"caption {k} " * 90 for k in range(1, 13)) + fill + "n = 77 at the end"
+    short = "Table 2. n = 5"
+    rows = [(1, "PMC1", "t", "a", body, "J"), (2, "PMC2", "t", "a", short, "J"), (3, None, None, None, None, None)]
+    got = batching.llm_prepare(spark.createDataFrame(rows, ARTICLE)).orderBy("id", "piece").collect()
+    mine = [r["body"] for r in got if r["id"] == 1]
+    assert len(body) > 50_000 and [r["piece"] for r in got] == [*range(len(mine)), 0, 0]
+    assert all(len(p) <= 50_000 for p in mine) and [r["body"] for r in got if r["id"] > 1] == [short, ""]
+    joined = "".join(mine)
+    head, extra = joined.split("\n\n[TABLE SECTION]\n", 1)
+    assert body.startswith(head) and len(head) > 9_900 and joined.endswith(body[len(head) :])
+    assert "Table 1: p = 0.02" in extra[:700]
+    assert extra.count("[FIGURE CAPTION]") == got[0]["figure_count"] and all(f"[FIGURE CAPTION]\nFigure {k}. " + f"caption {k} " * 90 in extra for k in range(1, 13))
