@@ -2,9 +2,10 @@
 
 Texts are brought to one form (characters, case, markup, punctuation, spacing). The q-grams that begin at word
 starts are looked up in the index of the items' q-grams; hits are counted in overlapping bands of diagonals
-(document offset less item offset). By the q-gram lemma a stretch of `words` words with at most `edits` edits keeps
-a known number of its q-grams in one band, so bands below that are dropped without losing any; the rest are
-verified by an alignment inside the band. Documents are handled where they lie: nothing is shuffled.
+(document offset less item offset). Edits of words move what follows by any number of characters, but by one word each:
+where edits are allowed, hits are also counted in bands of word diagonals as wide as the edits. By the q-gram lemma a
+stretch of `words` words with at most `edits` edits keeps a known number of its q-grams in one band, so bands below
+that are dropped without losing any; the rest are verified by an alignment inside the band. Documents are handled where they lie: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ Q = 16
 WORDS = 13
 #: Width of a band of character diagonals; bands overlap by half.
 BAND = 32
+#: What one step of an alignment's score weighs; the equal words are counted below it.
+UNIT = 1 << 28
 #: Characters of passages that one index may hold; more items are taken in blocks, each held against all documents.
 BLOCK_CHARS = 20_000_000
 FOUND = "doc_id long, item_id long, run_words int, aligned_words int, edits int"
@@ -73,7 +76,7 @@ class ItemIndex:
     """The q-grams of the items' passages, with the lemma's threshold of each item."""
 
     def __init__(self, items: list[tuple[int, str]], words: int = WORDS, edits: int = 0):
-        self.words = words
+        self.words, self.edits = words, edits
         self.ids = np.array([i for i, _ in items], dtype=np.int64)
         self.item_words = [t.split(" ") for _, t in items]
         b, starts = _joined([t for _, t in items])
@@ -140,23 +143,26 @@ class ItemIndex:
         in_words = word - first_word[doc] - self.word[posting]
         pair = doc * len(self.ids) + item
         found: dict[int, set[tuple[int, int]]] = {}
-        for shift in (0, BAND // 2):
-            band = (diagonal + shift) // BAND
+        bands = [(diagonal + shift) // BAND for shift in (0, BAND // 2)]
+        if self.edits:  # any edits + 1 neighbouring word diagonals share one of these
+            bands += [(in_words + shift) // (2 * self.edits) for shift in (0, self.edits)]
+        for n_band, band in enumerate(bands):
             o = np.lexsort((band, pair))
             cuts = np.flatnonzero((np.diff(pair[o]) != 0) | (np.diff(band[o]) != 0)) + 1
             at = np.concatenate([[0], cuts])
             size = np.diff(np.append(at, len(o)))
             lo, hi = np.minimum.reduceat(in_words[o], at), np.maximum.reduceat(in_words[o], at)
             for k in np.flatnonzero(size >= self.least[item[o[at]]]).tolist():
-                p = int(pair[o[at[k]]])
-                found.setdefault(p, set()).add((int(lo[k]), int(hi[k])))
+                ranges = found.setdefault(int(pair[o[at[k]]]), set())
+                if n_band < 2 or not any(a <= lo[k] and hi[k] <= z for a, z in ranges):
+                    ranges.add((int(lo[k]), int(hi[k])))
         out = []
         split: dict[int, list[str]] = {}
-        for p, bands in found.items():
+        for p, ranges in found.items():
             d, i = divmod(p, len(self.ids))
             if d not in split:
                 split[d] = texts[d].split(" ")
-            best = max(self._align(split[d], self.item_words[i], lo, hi) for lo, hi in bands)
+            best = max(self._align(split[d], self.item_words[i], lo, hi, max(2, self.edits)) for lo, hi in ranges)
             out.append((d, int(i), *best))
         return out
 
@@ -173,21 +179,21 @@ class ItemIndex:
         region[a - lo : z - lo] = [codes.get(w, -1) for w in doc[a:z]]
         steps = np.arange(width)
         run = np.zeros(width, dtype=np.int64)
-        # score * 1024 + equal words: the better score, then the longer alignment
+        # score * UNIT + equal words: the better score, then the longer alignment
         row = np.zeros(width + 1, dtype=np.int64)
         best_run = best = 0
         for j, w in enumerate(it):
             eq = region[j : j + width] == w
             run = (run + 1) * eq
-            step = np.maximum(row[:-1] + np.where(eq, 1025, -1024), row[1:] - 1024)
+            step = np.maximum(row[:-1] + np.where(eq, UNIT + 1, -UNIT), row[1:] - UNIT)
             step = np.maximum(step, 0)
             # a gap in the item: from the left, one off a step
-            step = np.maximum(np.maximum.accumulate(step + 1024 * steps) - 1024 * steps, 0)
+            step = np.maximum(np.maximum.accumulate(step + UNIT * steps) - UNIT * steps, 0)
             row[:-1] = step
             row[-1] = 0
             best_run, best = max(best_run, int(run.max())), max(best, int(step.max()))
-        equal = best % 1024 if best >= 0 else 0
-        return best_run, equal, max(0, equal - best // 1024)
+        equal = best % UNIT if best >= 0 else 0
+        return best_run, equal, max(0, equal - best // UNIT)
 
 
 def leaked(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", passage_col="passage", words: int = WORDS, edits: int = 0) -> DataFrame:
