@@ -1,10 +1,11 @@
 """Markup residue in documents: clean text that keeps headings, list items, code blocks and formulas.
 
-A body may mix HTML, Markdown, wiki and LaTeX. It is parsed into leaf nodes, each with its root-to-leaf tag path (the
-other dialects' blocks get paths of their own, as if they were tags). By tag path the text length and punctuation of
-its nodes are aggregated, the two ratios are smoothed over the node sequence and fused, and paths below a threshold of
-the document are left out as not being content; elements standing between content nodes are kept whatever their
-length, as a heading is short by nature. Each document is handled where it lies: nothing is shuffled.
+A body may mix HTML, Markdown, wiki and LaTeX. It is parsed into leaf nodes, each with its root-to-leaf tag path (with
+the classes its tags state; the other dialects' blocks get paths of their own, as if they were tags). By tag path the
+length of the nodes' own text (that of links is not the page's own) and its punctuation are aggregated, the two ratios
+are fused and smoothed over the node sequence, and paths below a threshold of the document are no content: menus, link
+lists and footers, in whatever tags they stand. A heading is short by nature and stands or falls with its section.
+Each document is handled where it lies: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -26,17 +27,15 @@ INLINE_TAGS = "a b i u s em strong span sub sup br code kbd samp var small big f
 HIDDEN_TAGS = "head style script title meta link noscript template"
 _KNOWN = frozenset((BLOCK_TAGS + " " + INLINE_TAGS + " " + HIDDEN_TAGS).split())
 _BLOCK = frozenset(BLOCK_TAGS.split())
-#: Elements that hold no page content.
-ASIDE = frozenset(("nav", "footer", "aside", "form", "header"))
 
 _ATTRS = r"(?:\s(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)?"
 _TAG = re.compile(rf"<(/?)([A-Za-z][A-Za-z0-9]*)({_ATTRS})/?>")
 _CODE = re.compile(r"```|~~~|\\begin\{(verbatim|lstlisting|minted|Verbatim|alltt)\*?\}|<(pre|syntaxhighlight|source)\b" + _ATTRS + ">", re.I)
-_ESCAPED = re.compile(r"&lt;/?(?:h[1-6]|p|div|ul|ol|li|pre|code|table|tr|td|b|i|em|strong|span|a|br|math|sup|sub|html|body|head|syntaxhighlight|ref)\b[^\n]*?&gt;", re.I)
+_ESCAPED = re.compile(r"&(?:amp;)*lt;/?(?:h[1-6]|p|div|ul|ol|li|pre|code|table|tr|td|b|i|em|strong|span|a|br|math|sup|sub|html|body|head|syntaxhighlight|ref)\b[^\n]*?&(?:amp;)*gt;", re.I)
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|nbsp|lt|gt|amp|quot|apos|ndash|mdash|hellip|le|ge|times|plusmn|micro|deg|alpha|beta|eta|chi|mu|[A-Za-z]{2,8}[0-9]{0,2});")
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(head|style|script|title|noscript|template)\b" + _ATTRS + r">.*?(?:</\1\s*>|\Z)", re.I | re.S)
 _MATH = re.compile(
-    r"\$\$(?!\s*\$).+?\$\$|\$(?![\s$])(?:[^$\n\\]|\\.|\n(?!\s*\n)){1,300}?\$|\\\(.+?\\\)|\\\[.+?\\\]"
+    r"\$\$(?!\s*\$).+?\$\$|\$(?![\s$])(?:[^$\n\\]|\\.|\n(?!\s*\n))+?\$|\\\(.+?\\\)|\\\[.+?\\\]"
     r"|\\begin\{(equation|align|gather|multline|eqnarray|displaymath|math|alignat|flalign)(\*?)\}.*?\\end\{\1\2\}|<math\b[^<>]*>.*?</math\s*>",
     re.S | re.I,
 )
@@ -44,14 +43,15 @@ _MATH = re.compile(
 _NO_TEXT = "cite|citep|citet|ref|eqref|label|footnote|footnotemark|pageref|includegraphics|bibliography|bibliographystyle|usepackage|documentclass|vspace|hspace|input|include|title|author|date"
 _TEX_GONE = re.compile(rf"~?\\(?:{_NO_TEXT})\*?(?:\[[^\]\n]*\])?\{{[^{{}}]*\}}")
 _TEX_CMD = re.compile(r"\\(?:[A-Za-z]+\*?(?=\{)|(?:item|maketitle|noindent|par|centering|hline|newline|linebreak|newpage|clearpage|tableofcontents|toprule|midrule|bottomrule|small|large|it|bf|em|tt)\b)")
-_TEX_ARG = re.compile(r"\\([A-Za-z]+)\*?(?:\[[^\]\n]*\])?\{([^{}]*)\}")
+_TEX_BRACE = re.compile(r"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{|\\.|[{}]", re.S)
 _TEX_FONT = re.compile(r"\{\\(?:em|it|bf|tt|sc|rm|sl|itshape|bfseries|ttfamily)\b\s*([^{}]*)\}")
 _TEX_ESC = re.compile(r"\\([%$&#_{}])")
 _SECTION = re.compile(r"\s*\\(?:part|chapter|section|subsection|subsubsection|paragraph|subparagraph)\*?(?:\[[^\]\n]*\])?\{((?:[^{}]|\{[^{}]*\})*)\}")
 _ENV = re.compile(r"\s*\\(begin|end)\{([A-Za-z]+\*?)\}(?:\[[^\]\n]*\])?(?:\{[^{}\n]*\})?")
 _WIKI_HEAD = re.compile(r"\s*(={2,6})\s*([^=\s].*?)\s*\1\s*$")
 _ATX = re.compile(r" {0,3}(#{1,6})[ \t]+(\S.*)$")
-_ITEM = re.compile(r"\s*(?:[-+•]|\*+|\d{1,3}[.)])[ \t]+(\S.*)$")
+_ITEM = re.compile(r"\s*(?:[-+•]|\*+|(\d+)[.)])[ \t]+(\S.*)$")
+_CLASS = re.compile(r"\bclass\s*=\s*(?:\"\s*([\w-]+)|'\s*([\w-]+)|([\w-]+))", re.I)
 _RULER = re.compile(r"(?:=+|-{3,})\s*$")
 _ROW = re.compile(r"\s*\|.*\|\s*$")
 
@@ -84,7 +84,12 @@ class Node:
     kind: str
     text: str
     level: int = 0
-    keep: bool = True
+    linked: int = 0
+
+    @property
+    def leaf(self) -> str:
+        """The path down to the leaf: a text that stands wholly in a link has the link's."""
+        return f"{self.path}/a" if self.linked and self.linked >= len(self.text) else self.path
 
 
 @dataclass
@@ -134,11 +139,13 @@ def _code_blocks(t: str) -> tuple[str, list[tuple[str, str]]]:
 
 def _formulas(t: str) -> tuple[str, list[str]]:
     out, found, at = [], [], 0
+    ticks = seen = 0  # back ticks of the line up to here
     for m in iter(lambda: _MATH.search(t, at), None):
         s, e, f = m.start(), m.end(), m.group()
+        line = t.rfind("\n", seen, s)
+        ticks, seen = (t.count("`", line + 1, s) if line >= 0 else ticks + t.count("`", seen, s)), s
         money = f[0] == "$" and f[1] != "$" and (f[-2].isspace() or t[e : e + 1].isdigit())
-        tick = t.count("`", t.rfind("\n", 0, s) + 1, s) % 2 == 1
-        if money or tick or s and t[s - 1] == "\\":
+        if money or ticks % 2 or s and t[s - 1] == "\\":
             out.append(t[at : s + 1])
             at = s + 1
             continue
@@ -160,29 +167,47 @@ def _bare_formula(f: str) -> str:
     return f[2:-2].strip()
 
 
+class _Tag(str):
+    """A tag's name, with the label that paths have: name.class"""
+
+    label = ""
+
+
 class _Parser:
     def __init__(self):
         self.p = Parsed()
         self.stack: list[str] = []
-        self.open: Node | None = None
 
     def path(self, leaf: str = "") -> str:
-        return "/".join([*self.stack, leaf] if leaf else self.stack) or "text"
+        tags = [getattr(x, "label", x) for x in self.stack]
+        return "/".join([*tags, leaf] if leaf else tags) or "text"
 
     def emit(self, kind: str, text: str, leaf: str, level: int = 0) -> None:
         self.p.nodes.append(Node(self.path(leaf), kind, text, level))
 
 
+def _bare_arguments(t: str) -> str:
+    """The text with every command that has a braced argument replaced by the argument, however deep; other braces stay."""
+    open_at, gone = [], []
+    for m in _TEX_BRACE.finditer(t):
+        c = m.group()
+        if c == "}":
+            if open_at and (start := open_at.pop()):
+                gone += [start, m.span()]
+        elif c[-1] == "{" and (c == "{" or len(c) > 2):
+            open_at.append(None if c == "{" else m.span())
+    out, at = [], 0
+    for s, e in sorted(gone):
+        out.append(t[at:s])
+        at = e
+    return "".join(out) + t[at:]
+
+
 def _inline(t: str, p: Parsed) -> str:
     """The text of one node without its inline marks."""
     if "\\" in t:
         u = _TEX_FONT.sub(r"\1", _TEX_GONE.sub("", t))
-        for _ in range(3):
-            v = _TEX_ARG.sub(r"\2", u)
-            if v == u:
-                break
-            u = v
-        u = _TEX_CMD.sub("", u)
+        u = _TEX_CMD.sub("", _bare_arguments(u))
         u = _TEX_ESC.sub(r"\1", u)
         if u != t:
             p.marked = True
@@ -206,13 +231,11 @@ def parse(body: str) -> Parsed:
     p = q.p
     t = body.replace("\r\n", "\n").replace("\x02", "").replace("\x03", "")
     t, blocks = _code_blocks(t)
-    for _ in range(3):  # escaped once, or more often, too many
-        if "&lt;" not in t or not _ESCAPED.search(t):
-            break
-        t = html.unescape(body if _ == 0 else whole)
-        whole = t
+    whole = body
+    while "lt;" in t and _ESCAPED.search(t):  # escaped once, or more often, too many
+        whole = html.unescape(whole)
         p.marked = True
-        t, blocks = _code_blocks(t.replace("\r\n", "\n").replace("\x02", "").replace("\x03", ""))
+        t, blocks = _code_blocks(whole.replace("\r\n", "\n").replace("\x02", "").replace("\x03", ""))
     if blocks:
         p.marked = True
     if "<" in t:
@@ -263,11 +286,21 @@ def _html(t: str, q: _Parser) -> None:
     p = q.p
     at, pieces = 0, []
     head = None
+    in_link, linked = False, 0
 
     def flush() -> None:
-        nonlocal head
+        nonlocal head, linked
         s = "".join(pieces)
         pieces.clear()
+        first, own, linked = len(p.nodes), linked, 0
+        put(s)
+        if own:  # what stands in links, in equal parts of all that the piece became
+            part = min(1.0, own / max(1, len(" ".join(s.split()))))
+            for n in p.nodes[first:]:
+                n.linked = math.ceil(part * len(n.text))
+
+    def put(s: str) -> None:
+        nonlocal head
         if head is not None:
             text = _inline(_marks_out(s, q), p)
             q.emit(head, text, "", int(q.stack[-1][1]) if q.stack and q.stack[-1][:1] == "h" and q.stack[-1][1:].isdigit() else 1)
@@ -281,10 +314,14 @@ def _html(t: str, q: _Parser) -> None:
             continue
         p.marked = True
         pieces.append(t[at : m.start()])
+        if in_link:
+            linked += len(" ".join(pieces[-1].split()))
         at = m.end()
         if name not in _BLOCK:
             if name == "br":
                 pieces.append(" ")
+            elif name == "a":
+                in_link = not m.group(1)
             continue
         if m.group(1):
             flush()
@@ -302,12 +339,17 @@ def _html(t: str, q: _Parser) -> None:
         elif name in ("p", "tr", "td", "th") and q.stack and q.stack[-1] == name:
             q.stack.pop()
         if name not in ("hr",):
-            q.stack.append(name)
+            tag = _Tag(name)
+            c = _CLASS.search(m.group(3)) if "class" in m.group(3).lower() else None
+            tag.label = f"{name}.{c[1] or c[2] or c[3]}" if c else name
+            q.stack.append(tag)
         if len(name) == 2 and name[0] == "h" and name[1].isdigit():
             head = "heading"
         elif name == "li":
             head = "list_item"
     pieces.append(t[at:])
+    if in_link:
+        linked += len(" ".join(pieces[-1].split()))
     flush()
 
 
@@ -411,10 +453,10 @@ def _lines(t: str, q: _Parser) -> None:
         if c == "%" and not s[1:2].isdigit():
             p.marked = True
             continue
-        if (c in "-+*•" or c.isdigit()) and (m := _ITEM.match(line)):
-            flush()
+        if (c in "-+*•" or c.isdigit()) and (m := _ITEM.match(line)) and not (held and len(m.group(1) or "") > 3):
+            flush()  # a long number that begins a line within a paragraph is a year or the like
             p.marked = True
-            q.emit("list_item", _inline(m.group(1), p), "md/li", len(line) - len(line.lstrip()))
+            q.emit("list_item", _inline(m.group(2), p), "md/li", len(line) - len(line.lstrip()))
             continue
         if c == "{" and s.startswith("{|") or c == "|" and (s.startswith(("|-", "|}", "|+")) or _ROW.match(s) or "||" in s or "table" in q.stack or s.startswith("| ")):
             flush()
@@ -435,19 +477,20 @@ def _lines(t: str, q: _Parser) -> None:
 
 
 def path_scores(nodes: list[Node]) -> dict[str, float]:
-    """Fused, smoothed tag-path ratio of every path: text and punctuation per node of the path."""
+    """Fused, smoothed tag-path ratio of every path. The ratio of text is the logarithm of its own characters per node of
+    the path (lengths are skewed), times their share of all its characters; that of punctuation its marks per node. They are
+    fused by weighting the one with the other."""
     sums: dict[str, list[float]] = {}
     for n in nodes:
-        s = sums.setdefault(n.path, [0.0, 0.0, 0.0])
-        s[0] += len(n.text)
-        s[1] += sum(map(n.text.count, _PUNCT))
-        s[2] += 1
-    text = {k: a / n for k, (a, _, n) in sums.items()}
-    punct = {k: b / n for k, (_, b, n) in sums.items()}
-    fused = {k: text[k] * (1 + punct[k]) for k in sums}
+        s = sums.setdefault(n.leaf, [0.0, 0.0, 0.0, 0.0])
+        s[0] += max(0, len(n.text) - n.linked)
+        s[1] += len(n.text)
+        s[2] += sum(map(n.text.count, _PUNCT)) if n.linked < len(n.text) else 0
+        s[3] += 1
+    fused = {k: math.log1p(own / n) * (own / max(1, size)) * (1 + math.log1p(marks / n)) for k, (own, size, marks, n) in sums.items()}
     # smoothing: a node's ratio with those of its neighbours in reading order, weighted by distance
-    seq = [fused[n.path] for n in nodes]
-    weights = [math.exp(-d * d / 2) for d in range(3)]
+    seq = [fused[n.leaf] for n in nodes]
+    weights = [math.exp(-3 * d * d) for d in range(3)]
     smooth: dict[str, list[float]] = {}
     for i, n in enumerate(nodes):
         total = norm = 0.0
@@ -455,29 +498,48 @@ def path_scores(nodes: list[Node]) -> dict[str, float]:
             if 0 <= i + d < len(seq):
                 total += weights[abs(d)] * seq[i + d]
                 norm += weights[abs(d)]
-        s = smooth.setdefault(n.path, [0.0, 0.0])
+        s = smooth.setdefault(n.leaf, [0.0, 0.0])
         s[0] += total / norm
         s[1] += 1
     return {k: a / n for k, (a, n) in smooth.items()}
 
 
 #: A path is content from this share of the mean score of its document's running text.
-THRESHOLD = 0.1
+THRESHOLD = 0.15
+
+
+def _section(nodes: list[Node], keep: list[bool], i: int) -> bool | None:
+    """Whether the section of heading i holds content; None if it holds nothing. It ends at a heading of the same or a higher
+    level, and where the element ends that the heading stands in."""
+    inside = nodes[i].path.split("/")[: -1 if nodes[i].path.rsplit("/", 1)[-1][:1] == "h" and not nodes[i].path.endswith(("wiki/h", "md/h")) else -2]
+    within = "/".join(inside)
+    some = None
+    for j in range(i + 1, len(nodes)):
+        n = nodes[j]
+        if n.kind == "heading" and n.level <= nodes[i].level or within and n.path != within and not n.path.startswith(within + "/"):
+            break
+        if n.kind != "heading":
+            if keep[j]:
+                return True
+            some = False
+    return some
 
 
 def select_content(nodes: list[Node], threshold: float = THRESHOLD) -> list[Node]:
-    """The content nodes, in order: those of paths that reach the threshold, and all elements between them; nothing of
-    navigation, forms, page headers and footers that lies below it."""
+    """The content nodes, in order: those of paths that reach the threshold, and all code and formulas. A heading is content
+    if anything of its section is; one with nothing below it if its path reaches the threshold or what it follows is content."""
     if not nodes:
         return []
     scores = path_scores(nodes)
     # of running text: long code or tables say nothing about what a paragraph must have
-    text = [n for n in nodes if n.kind == "paragraph"] or nodes
-    cut = threshold * sum(scores[n.path] for n in text) / len(text)
-    for n in nodes:
-        parts = n.path.split("/")
-        n.keep = (scores[n.path] >= cut or n.kind in ELEMENTS or n.kind == "table_row") and not any(x in ASIDE for x in parts)
-    return [n for n in nodes if n.keep]
+    text = [n for n in nodes if n.kind == "paragraph" and n.linked < len(n.text)] or nodes
+    cut = threshold * sum(scores[n.leaf] for n in text) / len(text)
+    keep = [n.kind in ("code_block", "formula") or scores[n.leaf] >= cut for n in nodes]
+    for i, n in enumerate(nodes):
+        if n.kind == "heading":
+            some = _section(nodes, keep, i)
+            keep[i] = some if some is not None else keep[i] or i > 0 and keep[i - 1]
+    return [n for n, k in zip(nodes, keep, strict=True) if k]
 
 
 def render(nodes: list[Node]) -> str:
