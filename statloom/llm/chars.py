@@ -27,14 +27,24 @@ from pyspark.sql import types as T
 VARIANT_TAGS = ("<wide>", "<narrow>", "<font>", "<circle>", "<initial>", "<medial>", "<final>", "<isolated>")
 #: Signs of a meaning of their own that normalization would lose (units; besides all powers and fractions).
 KEPT_SIGNS = "µ℃℉ΩKÅ…‑"
-#: Letters of other scripts that look like the Latin letter below them.
-LOOKALIKES = dict(
-    zip(
-        "АВЕЅІЈКМНОРСТУХаеѕіјорсухԁԛԝһ" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονι",
-        "ABESIJKMHOPCTYXaesijopcyxdqwh" + "ABEZHIKMNOPTYXovi",
-        strict=True,
+#: Letters of other scripts and, below them, the Latin letters they look like, after the Unicode consortium's
+#: public table of confusable characters (case kept; small letters in the form of a capital count as that letter). Greek
+#: letters that are symbols in scientific words (as in TNF-alpha) are no look-alikes.
+LOOKALIKES = {
+    a: b
+    for letters, latin in (
+        ("АВЕЅІЈКМНОРСТУХѴҮӀԌԜЬ", "ABESIJKMHOPCTYXVYIGWb"),  # Cyrillic
+        ("авгеҽѕіӏјкмнорстухүһѵѡԁԛԝꙇ", "abreesiljkmhopctyxyhvwdqwi"),
+        ("ΑΒΕϜΖΗΙͿΚΜϺΝΟΡΤΥΧ", "ABEFZHIJKMMNOPTYX"),  # Greek
+        ("ϳονι", "jovi"),
+        ("ՍՏՕաոռսցհզքօ", "USOwnnughqfo"),  # Armenian
+        ("ᎠᎡᎢᎩᎪᎫᎬᎳᎷᎻᎽᏀᏃᏒᏔᏕᏙᏚᏞᏟᏢᏦᏳᏴ", "DRTYAJEWMHYGZRWSVSLCPKGB"),  # Cherokee
+        ("ꭵꮁꮃꮓꮩꮪꮯᎥᏂᏏᏧ", "irwzvscihbd"),
+        ("ⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⳐ", "HIKMNOPCTYXL"),  # Coptic
+        ("ⲅⲟⲣⲥ", "ropc"),
     )
-)
+    for a, b in zip(letters, latin, strict=True)
+}
 #: Scripts with letters that look like Latin ones.
 OTHER_SCRIPTS = ("Cyrillic", "Greek", "Armenian", "Cherokee", "Coptic")
 #: Greek letters that stand before or behind a Latin letter as part of a unit.

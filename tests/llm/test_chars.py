@@ -18,6 +18,20 @@ def test_unstable(text, want):
     assert chars.canonical(got) == (want, 0)
 
 
+@pytest.mark.parametrize("text, want", [("кitten", "kitten"), ("гun", "run"), ("Ꭺbc", "Abc"), ("mеthоd", "method"), ("sоաer", "sower"), ("Ⲕey", "Key"), ("нouse", "house")])
+def test_look_alikes_of_all_scripts(text, want):
+    assert chars.canonical(text) == (want, 1) and chars.canonical(want) == (want, 0)
+
+
+def test_every_look_alike_is_settled_at_once():
+    assert len(chars.LOOKALIKES) > 120
+    for c, latin in chars.LOOKALIKES.items():
+        assert latin.isascii() and chars.canonical(f"a{c}a") == (f"a{latin}a", 1)
+        assert chars.canonical(f"{c}{c}") == (f"{c}{c}", 0)  # a word of its own script stays
+    for word in ("TNFα", "IFNγ", "NFκB"):
+        assert chars.canonical(word)[0] == word
+
+
 @pytest.mark.parametrize("text", STABLE)
 def test_stable(text):
     assert chars.canonical(text) == (text, 0)
