@@ -5,13 +5,18 @@ starts are looked up in the index of the items' q-grams; hits are counted in ove
 (document offset less item offset). Edits of words move what follows by any number of characters, but by one word each:
 where edits are allowed, hits are also counted in bands of word diagonals as wide as the edits. By the q-gram lemma a
 stretch of `words` words with at most `edits` edits keeps a known number of its q-grams in one band, so bands below
-that are dropped without losing any; the rest are verified by an alignment inside the band. Documents are handled where they lie: nothing is shuffled.
+that are dropped without losing any; the rest are verified by an alignment inside the band, of many pairs at once: where
+no edit is allowed, along its diagonals. Documents are handled where they lie: nothing is shuffled.
+
+Memory is bounded whatever texts share: documents are taken by characters, their hits by number, and a document with more
+hits than that by ranges of items. Passages that are copies of each other are searched for once.
 """
 
 from __future__ import annotations
 
 import functools
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm import chars
+from statloom.llm.subjects import powers
+from statloom.runtime import written
 
 Q = 16
 WORDS = 13
@@ -29,6 +36,8 @@ BAND = 32
 UNIT = 1 << 28
 #: Characters of passages that one index may hold; more items are taken in blocks, each held against all documents.
 BLOCK_CHARS = 20_000_000
+#: Characters of documents, hits of q-grams, and cells of alignments that are handled at once.
+TEXT_CHARS, HITS, CELLS = 1_000_000, 2_000_000, 1_000_000
 FOUND = "doc_id long, item_id long, run_words int, aligned_words int, edits int"
 
 #: What counts as markup between or around words.
@@ -60,140 +69,228 @@ def _grams(b: np.ndarray, at: np.ndarray) -> np.ndarray:
     return h * np.uint64(0xD6E8FEB86659FD93)
 
 
-def _word_starts(b: np.ndarray) -> np.ndarray:
+def _words(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin, and a hash of each."""
     space = b == 32
-    return np.flatnonzero(~space[1:] & space[:-1]) + 1
+    s = np.flatnonzero(~space[1:] & space[:-1]) + 1
+    e = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    up, down = powers(max(1 << 16, 1 << int(len(b)).bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], dtype=np.uint64)])
+    h = (sums[e] - sums[s]) * down[s]
+    h ^= h >> np.uint64(31)
+    return s, h * np.uint64(0xD6E8FEB86659FD93)
 
 
 def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All texts in one byte array, with room for a q-gram between them, and where each begins."""
     parts = [b" " + t.encode() + b" " * (Q + 1) for t in texts]
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    return np.frombuffer(b"".join(parts) + b" " * Q, dtype=np.uint8), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    return np.frombuffer(b"".join(parts) + b" " * Q, dtype=np.uint8), np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+
+
+def _flat(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[k], first[k] + 1, ... n[k] of each, one after another."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive entries of at most `most` in sum; an entry beyond that is a range of its own."""
+    upto, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        z = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + most, side="right")))
+        yield a, z
+        a = z
+
+
+def _sorted(p: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The three arrays of small numbers from 0, in their order; by one sort of one number where they fit in it."""
+    if not len(p):
+        return p, x, y
+    bp, bx, by = (int(v.max()).bit_length() for v in (p, x, y))
+    if bp + bx + by > 63:
+        o = np.lexsort((y, x, p))
+        return p[o], x[o], y[o]
+    k = np.sort((p << (bx + by)) | (x << by) | y)
+    return k >> (bx + by), (k >> by) & ((1 << bx) - 1), k & ((1 << by) - 1)
 
 
 class ItemIndex:
-    """The q-grams of the items' passages, with the lemma's threshold of each item."""
+    """The q-grams of the items' passages, with the lemma's threshold of each different passage."""
 
     def __init__(self, items: list[tuple[int, str]], words: int = WORDS, edits: int = 0):
         self.words, self.edits = words, edits
-        self.ids = np.array([i for i, _ in items], dtype=np.int64)
-        self.item_words = [t.split(" ") for _, t in items]
-        b, starts = _joined([t for _, t in items])
-        ws = _word_starts(b)
+        of_text: dict[str, list[int]] = {}
+        for i, t in items:
+            of_text.setdefault(t, []).append(i)
+        texts = list(of_text) or [""]  # an index of nothing finds nothing
+        self.copies = np.array([len(of_text.get(t, ())) for t in texts], dtype=np.int64)
+        self.ids = np.array([i for v in of_text.values() for i in v], dtype=np.int64)
+        self.first_id = np.cumsum(self.copies) - self.copies
+        b, starts = _joined(texts)
+        ws, self.hashes = _words(b)
         item = np.searchsorted(starts, ws, side="right") - 1
-        first_word = np.searchsorted(ws, starts)
-        length = np.array([len(t.encode()) for _, t in items], dtype=np.int64)
-        offset = ws - starts[item] - 1
-        whole = offset + Q <= length[item]
+        self.first = np.searchsorted(ws, starts)
+        self.size = np.diff(np.append(self.first, len(ws)))
+        length = np.array([len(t.encode()) for t in texts], dtype=np.int64)
+        offset = ws - starts[item] - 1 if len(ws) else ws
+        whole = offset + Q <= length[item] if len(ws) else np.zeros(0, bool)
         g = _grams(b, ws[whole])
         o = np.argsort(g, kind="stable")
         self.grams, first = np.unique(g[o], return_index=True)
         self.cut = np.append(first, len(g)).astype(np.int64)
         self.item = item[whole][o].astype(np.int64)
         self.offset = offset[whole][o]
-        self.word = (np.arange(len(ws)) - first_word[item])[whole][o]
+        self.word = (np.arange(len(ws)) - self.first[item])[whole][o] if len(ws) else offset
+        # postings of a q-gram are in order of items: this finds those of a range of items
+        self.place = np.repeat(np.arange(len(self.grams)), np.diff(self.cut)) * (len(texts) + 1) + self.item
         self.bits = np.zeros(1 << 22, dtype=bool)
         self.bits[(self.grams >> np.uint64(42)).astype(np.int64)] = True
-        self.least = np.array([self._threshold(w, edits) for w in self.item_words], dtype=np.int64)
-
-    def _threshold(self, ws: list[str], edits: int) -> int:
-        """Fewest q-grams that any stretch of `words` words keeps, less those that the edits can destroy."""
-        sizes = [len(w.encode()) + 1 for w in ws]
-        n = min(self.words, len(ws))
-        least, destroyed = 10**9, 1
-        for s in range(len(ws) - n + 1):
-            total = sum(sizes[s : s + n]) - 1
-            at = inside = 0
-            for k in range(n):
-                inside += at + Q <= total
-                at += sizes[s + k]
-            least = min(least, inside)
-        for s in range(len(ws)):  # starts whose q-gram reaches one place: those within Q bytes before it
-            at = k = 0
-            while s + k < len(ws) and at < Q + sizes[s]:
-                at += sizes[s + k]
-                k += 1
-            destroyed = max(destroyed, k)
-        return max(1, least - edits * destroyed) if least < 10**9 else 1
+        self.least = np.array([self._threshold(offset[f : f + n], length[k]) for k, (f, n) in enumerate(zip(self.first, self.size, strict=True))], dtype=np.int64)
+
+    def _threshold(self, at: np.ndarray, length: int) -> int:
+        """Fewest q-grams that any stretch of `words` words keeps, less those that the edits can destroy. at: where the
+        words of a passage begin."""
+        if not len(at):
+            return 1
+        n = min(self.words, len(at))
+        end = np.append(at[1:] - 1, length)
+        first = np.arange(len(at) - n + 1)
+        inside = np.searchsorted(at, end[first + n - 1] - Q, side="right") - first
+        # word starts whose q-gram reaches one word: those within Q bytes before its end
+        destroyed = int((np.searchsorted(at, at + Q + (end - at) + 1, side="left") - np.arange(len(at))).max())
+        return max(1, int(inside.min()) - self.edits * destroyed)
 
     def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, longest run of words, aligned words, edits) of every pair that passes the filter."""
-        if not texts or not len(self.ids):
-            return []
+        """(text, place of the item in ids, longest run of words, aligned words, edits) of every pair that passes the filter."""
+        return [tuple(map(int, r)) for part in self.search(texts) for r in zip(*part, strict=True)]
+
+    def search(self, texts: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
+        """The same as arrays, part by part."""
+        if not texts or not len(self.grams):
+            return
+        for a, z in _parts(np.array([len(t) + 1 for t in texts]), TEXT_CHARS):
+            for doc, item, *figures in self._search(texts[a:z]):
+                n = self.copies[item]
+                yield np.repeat(doc + a, n), _flat(self.first_id[item], n), *(np.repeat(x, n) for x in figures)
+
+    def _search(self, texts: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
         b, starts = _joined(texts)
-        ws = _word_starts(b)
-        ws = ws[ws + Q <= len(b)]
+        ws, hashes = _words(b)
+        first = np.searchsorted(ws, starts)
+        size = np.diff(np.append(first, len(ws)))
         h = _grams(b, ws)
         maybe = np.flatnonzero(self.bits[(h >> np.uint64(42)).astype(np.int64)])
         g = h[maybe]
         slot = np.searchsorted(self.grams, g)
         slot[slot == len(self.grams)] = 0
-        same = self.grams[slot] == g if len(self.grams) else np.zeros(0, bool)
+        same = self.grams[slot] == g
         maybe, slot = maybe[same], slot[same]
         if not len(maybe):
-            return []
+            return
+        doc = np.searchsorted(starts, ws[maybe], side="right") - 1
+        of_doc = np.searchsorted(doc, np.arange(len(texts) + 1))
         n = self.cut[slot + 1] - self.cut[slot]
-        word = np.repeat(maybe, n)
-        posting = np.repeat(self.cut[slot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        doc = np.searchsorted(starts, ws[word], side="right") - 1
-        first_word = np.searchsorted(ws, starts)
-        item = self.item[posting]
-        diagonal = ws[word] - starts[doc] - 1 - self.offset[posting] + (1 << 20)
-        in_words = word - first_word[doc] - self.word[posting]
-        pair = doc * len(self.ids) + item
-        found: dict[int, set[tuple[int, int]]] = {}
-        bands = [(diagonal + shift) // BAND for shift in (0, BAND // 2)]
-        if self.edits:  # any edits + 1 neighbouring word diagonals share one of these
-            bands += [(in_words + shift) // (2 * self.edits) for shift in (0, self.edits)]
-        for n_band, band in enumerate(bands):
-            o = np.lexsort((band, pair))
-            cuts = np.flatnonzero((np.diff(pair[o]) != 0) | (np.diff(band[o]) != 0)) + 1
-            at = np.concatenate([[0], cuts])
-            size = np.diff(np.append(at, len(o)))
-            lo, hi = np.minimum.reduceat(in_words[o], at), np.maximum.reduceat(in_words[o], at)
-            for k in np.flatnonzero(size >= self.least[item[o[at]]]).tolist():
-                ranges = found.setdefault(int(pair[o[at[k]]]), set())
-                if n_band < 2 or not any(a <= lo[k] and hi[k] <= z for a, z in ranges):
-                    ranges.add((int(lo[k]), int(hi[k])))
+        sums = np.concatenate([[0], np.cumsum(n)])
+        for a, z in _parts(sums[of_doc[1:]] - sums[of_doc[:-1]], HITS):
+            at = slice(of_doc[a], of_doc[z])
+            total, items = int(n[at].sum()), len(self.size)
+            ranges = -(-total // HITS) if z - a == 1 else 1
+            for k in range(ranges):  # a document of very many hits: some items after others
+                lo, hi = self.cut[slot[at]], self.cut[slot[at] + 1]
+                if ranges > 1:
+                    key = slot[at] * (items + 1)
+                    lo, hi = (np.searchsorted(self.place, key + items * x // ranges) for x in (k, k + 1))
+                m = hi - lo
+                if m.sum():
+                    word, posting = np.repeat(maybe[at], m), _flat(lo, m)
+                    found = self._bands(np.repeat(doc[at], m), self.item[posting], ws[word] - starts[np.repeat(doc[at], m)] - 1 - self.offset[posting], word - first[np.repeat(doc[at], m)] - self.word[posting])
+                    yield from self._verified(*found, hashes, first, size)
+
+    def _bands(self, doc: np.ndarray, item: np.ndarray, diagonal: np.ndarray, in_words: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(doc, item, first and last word diagonal) of the bands that hold enough hits; where no edit is allowed, of each
+        word diagonal in them."""
+        pair, least_word = doc * len(self.size) + item, in_words.min()
+        diagonal, in_words = diagonal - diagonal.min(), in_words - least_word
         out = []
-        split: dict[int, list[str]] = {}
-        for p, ranges in found.items():
-            d, i = divmod(p, len(self.ids))
-            if d not in split:
-                split[d] = texts[d].split(" ")
-            best = max(self._align(split[d], self.item_words[i], lo, hi, max(2, self.edits)) for lo, hi in ranges)
-            out.append((d, int(i), *best))
-        return out
-
-    @staticmethod
-    def _align(doc: list[str], item: list[str], lo: int, hi: int, slack: int = 2) -> tuple[int, int, int]:
-        """Inside the band of word diagonals lo-slack..hi+slack: the longest run of equal words, and of the best local
-        alignment (+1 an equal word, -1 an edit) its equal words and edits."""
-        lo, hi = lo - slack, hi + slack
-        width = hi - lo + 1
-        codes: dict[str, int] = {}
-        it = [codes.setdefault(w, len(codes)) for w in item]
-        a, z = max(0, lo), min(len(doc), len(item) + hi)
-        region = np.full(len(item) + width, -1, dtype=np.int64)
-        region[a - lo : z - lo] = [codes.get(w, -1) for w in doc[a:z]]
-        steps = np.arange(width)
-        run = np.zeros(width, dtype=np.int64)
+        p, x, w = _sorted(pair, diagonal, in_words)
+        bands = [(p, w, (x + shift) // BAND) for shift in (0, BAND // 2)]
+        if self.edits:  # any edits + 1 neighbouring word diagonals share one of these
+            p, w, _ = _sorted(pair, in_words, np.zeros_like(pair))
+            bands += [(p, w, (w + shift) // (2 * self.edits)) for shift in (0, self.edits)]
+        for p, w, band in bands:
+            new = np.ones(len(p), dtype=bool)
+            new[1:] = (p[1:] != p[:-1]) | (band[1:] != band[:-1])
+            at = np.flatnonzero(new)
+            many = np.diff(np.append(at, len(p))) >= self.least[p[at] % len(self.size)]
+            if self.edits:
+                out.append((p[at][many], np.minimum.reduceat(w, at)[many], np.maximum.reduceat(w, at)[many]))
+            else:
+                held = np.repeat(many, np.diff(np.append(at, len(p))))
+                out.append((p[held], w[held], w[held]))
+        p, lo, hi = _sorted(*(np.concatenate(x) for x in zip(*out, strict=True)))
+        new = np.ones(len(p), dtype=bool)
+        new[1:] = (p[1:] != p[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+        p, lo, hi = p[new], lo[new] + least_word, hi[new] + least_word
+        return p // len(self.size), p % len(self.size), lo, hi
+
+    def _verified(self, doc, item, lo, hi, hashes, first, size) -> Iterator[tuple[np.ndarray, ...]]:
+        """(doc, item, run, aligned, edits) of each pair's best band."""
+        cost = self.size[item] * (hi - lo + 1)
+        pair = doc * len(self.size) + item
+        left = None
+        for a, z in _parts(cost, CELLS):
+            args = (doc[a:z], item[a:z], lo[a:z], hi[a:z], hashes, first, size)
+            figures = self._aligned(*args) if self.edits else self._runs(*args)
+            rows = np.stack([pair[a:z], *figures])
+            rows = rows if left is None else np.concatenate([left, rows], axis=1)
+            rows = rows[:, np.lexsort(rows[::-1])]
+            best = rows[:, np.append(np.diff(rows[0]) != 0, True)]
+            # the last pair may go on in the next part
+            best, left = (best[:, :-1], best[:, -1:]) if z < len(doc) else (best, None)
+            if best.shape[1]:
+                yield best[0] // len(self.size), best[0] % len(self.size), *best[1:]
+
+    def _runs(self, doc, item, diagonal, _, hashes, first, size):
+        """The longest run of equal words on one diagonal of each pair: its alignment without edits."""
+        n = self.size[item]
+        starts = np.cumsum(n) - n
+        j = _flat(np.zeros_like(n), n)
+        at = j + np.repeat(diagonal, n)
+        inside = (at >= 0) & (at < np.repeat(size[doc], n))
+        place = np.where(inside, at + np.repeat(first[doc], n), 0)
+        equal = inside & (hashes[place] == self.hashes[j + np.repeat(self.first[item], n)])
+        upto = np.cumsum(equal)
+        base = np.where(equal, -1, upto)
+        base[starts] = np.maximum(base[starts], upto[starts] - equal[starts])
+        run = np.maximum.reduceat(upto - np.maximum.accumulate(base), starts)
+        return run, run, np.zeros_like(run)
+
+    def _aligned(self, doc, item, lo, hi, hashes, first, size):
+        """Inside the band of word diagonals lo-slack..hi+slack of each pair: the longest run of equal words, and of the best
+        local alignment (+1 an equal word, -1 an edit) its equal words and edits."""
+        slack = max(2, self.edits)
+        lo, width, n = lo - slack, hi - lo + 1 + 2 * slack, self.size[item]
+        steps = np.arange(int(width.max()))
+        inside = steps < width[:, None]
+        run = np.zeros(inside.shape, dtype=np.int64)
         # score * UNIT + equal words: the better score, then the longer alignment
-        row = np.zeros(width + 1, dtype=np.int64)
-        best_run = best = 0
-        for j, w in enumerate(it):
-            eq = region[j : j + width] == w
+        row = np.zeros((len(doc), len(steps) + 1), dtype=np.int64)
+        best_run, best = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+        for j in range(int(n.max())):
+            at = lo[:, None] + steps + j
+            there = inside & (at >= 0) & (at < size[doc][:, None]) & (j < n)[:, None]
+            word = self.hashes[np.minimum(self.first[item] + j, len(self.hashes) - 1)]
+            eq = there & (hashes[np.where(there, at + first[doc][:, None], 0)] == word[:, None])
             run = (run + 1) * eq
-            step = np.maximum(row[:-1] + np.where(eq, UNIT + 1, -UNIT), row[1:] - UNIT)
+            step = np.maximum(row[:, :-1] + np.where(eq, UNIT + 1, -UNIT), row[:, 1:] - UNIT)
             step = np.maximum(step, 0)
             # a gap in the item: from the left, one off a step
-            step = np.maximum(np.maximum.accumulate(step + UNIT * steps) - UNIT * steps, 0)
-            row[:-1] = step
-            row[-1] = 0
-            best_run, best = max(best_run, int(run.max())), max(best, int(step.max()))
-        equal = best % UNIT if best >= 0 else 0
-        return best_run, equal, max(0, equal - best // UNIT)
+            step = np.maximum(np.maximum.accumulate(step + UNIT * steps, axis=1) - UNIT * steps, 0)
+            step *= inside & (j < n)[:, None]
+            row[:, :-1] = step
+            best_run, best = np.maximum(best_run, run.max(axis=1)), np.maximum(best, step.max(axis=1))
+        equal = best % UNIT
+        return best_run, equal, np.maximum(0, equal - best // UNIT)
 
 
 def leaked(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", passage_col="passage", words: int = WORDS, edits: int = 0) -> DataFrame:
@@ -209,6 +306,8 @@ def leaked(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text",
     raw = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("txt"))
     # only texts with unstable characters are put into form in Python
     ready = raw.withColumn("odd", chars.unstable(F.col("txt"))).select("id", F.when(~F.col("odd"), plain_words(F.col("txt"))).alias("plain"), F.when(F.col("odd"), F.col("txt")).alias("odd"))
+    if blocks > 1:
+        ready = written(ready, "leak-texts")  # brought into form once, not once a block
     out = None
     for k in range(blocks):
         block = picked.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == k).select(item_col, passage_col).distinct().collect()
@@ -220,6 +319,8 @@ def leaked(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text",
 
 
 def _searcher(blob, words: int, edits: int):
+    names = [c.split(" ")[0] for c in FOUND.split(", ")]
+
     def search(batches):
         index = None
         for pdf in batches:
@@ -227,8 +328,8 @@ def _searcher(blob, words: int, edits: int):
                 index = _index(blob, words, edits)
             texts = [p if p is not None else plain_words_of(o) for p, o in zip(pdf["plain"], pdf["odd"], strict=True)]
             ids = pdf["id"].to_numpy()
-            rows = [(ids[d], index.ids[i], run, equal, wrong) for d, i, run, equal, wrong in index.leaks(texts)]
-            yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in FOUND.split(", ")])
+            for doc, item, *figures in index.search(texts):
+                yield pd.DataFrame(dict(zip(names, (ids[doc], index.ids[item], *figures), strict=True)))
 
     return search
 

@@ -71,7 +71,7 @@ _B_INV = pow(_B, -1, 1 << 64)
 
 
 @functools.cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         up = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _B, np.uint64)]))
         down = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _B_INV, np.uint64)]))
@@ -107,7 +107,7 @@ def _split(texts: list[str]) -> Words:
     edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
     s, e = edge[::2], edge[1::2]
     cut = np.flatnonzero(sep & (b != 32))
-    up, down = _powers(max(1 << 16, 1 << int(len(b)).bit_length()))
+    up, down = powers(max(1 << 16, 1 << int(len(b)).bit_length()))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], dtype=np.uint64)])
     h = (sums[e] - sums[s]) * down[s]
     h ^= h >> np.uint64(31)
