@@ -37,18 +37,27 @@ def p7_canonical_contexts(spark, d):
     return t.agg(F.count_distinct("context").alias("before"), F.count_distinct("canonical").alias("after"), F.sum("segments").alias("segments"))
 
 
-def _scores(spark, d):
-    return written(quantiles.valid_scores(table(spark, d, "extraction_scores")), "valid-scores")
+def p3_found(spark, d):
+    scores = table(spark, d, "extraction_scores")
+    return quantiles.named(quantiles.shifted_groups(written(quantiles.valid_scores(scores), "valid-scores")), scores)
 
 
-def p3_found(spark, d):
-    return quantiles.shifted_groups(_scores(spark, d))
+def _tail(spark, d, qs, high):
+    scores = table(spark, d, "extraction_scores")
+    by = ["journal_key", "pub_year"]
+    s = quantiles.piece_sketches(quantiles.valid_scores(scores), by, "rigor_score", "run_day", high=high)
+    return quantiles.named(quantiles.percentiles(s, by, qs, high=high), scores)
 
 
 def p3_percentiles(spark, d):
-    """Median, 90th and 99th percentile of the scores by journal and year, from sketches by run day."""
-    s = quantiles.piece_sketches(quantiles.valid_scores(table(spark, d, "extraction_scores")), ["journal", "pub_year"], "rigor_score", "run_day")
-    return quantiles.percentiles(s, ["journal", "pub_year"], [0.5, 0.9, 0.99])
+    """Median, 90th, 99th and 99.9th percentile of the scores by journal and year, from sketches by run day; the high ranks
+    are protected."""
+    return _tail(spark, d, [0.5, 0.9, 0.99, 0.999], True)
+
+
+def p3_low_tail(spark, d):
+    """The lowest percentiles likewise, with the low ranks protected."""
+    return _tail(spark, d, [0.001, 0.01, 0.1], False)
 
 
 def _packed(spark, d):
@@ -132,7 +141,7 @@ def p10_composition(spark, d):
     return subjects.composition(subjects.document_subjects(table(spark, d, "documents"), _subject_model(spark, d)))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_percentiles, p5_found, p5_batches, p5_fill, p6_found, p6_survivors, p6_judged, p6_quality, p7_found, p7_canonical_contexts, p8_found, p8_altered, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_percentiles, p3_low_tail, p5_found, p5_batches, p5_fill, p6_found, p6_survivors, p6_judged, p6_quality, p7_found, p7_canonical_contexts, p8_found, p8_altered, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
 
 
 #: The characters of problem 7 as SQL sees them, as ranges of code points written out here, apart from the operator's own

@@ -3,8 +3,12 @@
 A sketch is a stack of compactors; an item of level h stands for 2^h values. A full compactor sorts its items,
 protects those of one tail and thins out a number of sections at the other end, which follows a schedule, so that
 ranks near the protected tail keep a multiplicative error. Sketches of partitions or days are merged level by
-level. Each thinning of level h shifts any rank by 2^h at most; the sum of these is kept in the sketch and is a
-proven bound for the rank error of every answer.
+level.
+
+A thinning of level h shifts the rank of a value by 2^h at most, and only of values inside what it thins: not beyond the
+thinned value next to the protected tail. Thinnings reach the deeper the rarer they are, so for each level and depth
+the sketch keeps their number and how far they have reached. The sum over those that reach a value is a proven bound
+of its rank's error, which falls towards the protected tail.
 """
 
 from __future__ import annotations
@@ -19,8 +23,10 @@ from pyspark.sql import functions as F
 
 from statloom.runtime import written
 
-#: Values a compactor's section has.
-SECTION = 64
+#: Values a compactor's section has: the proven error near the protected tail is about 1 % of the ranks beyond.
+SECTION = 256
+#: Values that a task's growing sketches may hold before they are handed on.
+HELD = 4_000_000
 #: Sections of a new compactor; the number doubles as a compactor is used more.
 SECTIONS = 3
 
@@ -28,14 +34,32 @@ SECTIONS = 3
 class RankSketch:
     """Relative-rank sketch of doubles. high=True protects the high ranks, else the low ones."""
 
-    __slots__ = ("k", "high", "levels", "states", "error", "n", "low", "top")
+    __slots__ = ("k", "high", "levels", "states", "reach", "n", "low", "top")
 
     def __init__(self, k: int = SECTION, high: bool = True):
-        self.k, self.high, self.n, self.error = k, high, 0, 0
+        self.k, self.high, self.n = k, high, 0
+        #: (level, depth) -> (thinnings, the value nearest the protected tail that they reached)
+        self.reach: dict[tuple[int, int], tuple[int, float]] = {}
         self.levels: list[np.ndarray] = [np.empty(0)]
         self.states: list[int] = [0]
         self.low, self.top = np.inf, -np.inf
 
+    @property
+    def error(self) -> int:
+        """Bound of the error of any rank; 0 while nothing was thinned out."""
+        return sum(n << h for (h, _), (n, _) in self.reach.items())
+
+    def errors(self, values: np.ndarray) -> np.ndarray:
+        """Bound of the error of each value's rank (the number of values up to it)."""
+        out = np.zeros(len(values), dtype=np.int64)
+        for (h, _), (n, far) in self.reach.items():
+            out += np.where(values < far if self.high else values >= far, n << h, 0)
+        return out
+
+    def _reached(self, h: int, depth: int, n: int, far: float) -> None:
+        have, at = self.reach.get((h, depth), (0, far))
+        self.reach[h, depth] = (have + n, max(at, far) if self.high else min(at, far))
+
     def _capacity(self, h: int) -> int:
         uses = self.states[h]
         return 2 * self.k * (SECTIONS << max(0, (uses.bit_length() - SECTIONS + 1) // 2))
@@ -52,7 +76,8 @@ class RankSketch:
 
     def merge(self, other: RankSketch) -> None:
         self.n += other.n
-        self.error += other.error
+        for (h, depth), (n, far) in other.reach.items():
+            self._reached(h, depth, n, far)
         self.low, self.top = min(self.low, other.low), max(self.top, other.top)
         while len(self.levels) < len(other.levels):
             self.levels.append(np.empty(0))
@@ -83,7 +108,7 @@ class RankSketch:
                 self.levels[h + 1] = np.concatenate([self.levels[h + 1], thin[coin::2]])
                 self.levels[h] = rest
                 self.states[h] = state + 1
-                self.error += 1 << h
+                self._reached(h, min(15, gone // self.k), 1, float(thin[-1] if self.high else thin[0]))
             h += 1
 
     def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
@@ -109,21 +134,48 @@ class RankSketch:
         lo = self.at_rank(np.floor(at))
         return lo if at == np.floor(at) else lo + (self.at_rank(np.floor(at) + 1) - lo) * (at - np.floor(at))
 
+    def ranks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The different values kept, the estimated rank of each and the bound of its error."""
+        v, upto = self._sorted()
+        last = np.append(v[1:] != v[:-1], True) if len(v) else np.zeros(0, bool)
+        v, upto = v[last], upto[last]
+        return v, upto, self.errors(v)
+
     def bounds(self, q: float) -> tuple[float, float]:
         """Values between which the exact quantile surely lies."""
+        if not self.n:
+            return float("nan"), float("nan")
         at = q * (self.n - 1) + 1
-        return self.at_rank(np.floor(at) - self.error), self.at_rank(np.ceil(at) + self.error)
+        v, rank, error = self.ranks()
+        # a value's true rank is at least rank - error: the first to reach the upper place is no less than the exact one
+        enough = np.flatnonzero(rank - error >= np.ceil(at))
+        high = float(v[enough[0]]) if len(enough) else float(self.top)
+        # all values up to one whose rank is surely below the lower place are less than the exact one
+        below = np.flatnonzero(rank + error < np.floor(at))
+        low = float(v[below[-1]]) if len(below) else float(self.low)
+        if len(below) and not error[below[-1]] and not self.error:
+            low = float(v[below[-1] + 1])  # nothing thinned out: the next value is the exact one
+        return max(low, float(self.low)), min(high, float(self.top))
+
+    def rank_error(self, q: float) -> int:
+        """Bound of the rank error of the answer for q."""
+        return int(self.errors(np.array([self.quantile(q)]))[0]) if self.n else 0
 
     def dumps(self) -> bytes:
-        head = struct.pack("<HBqqddB", self.k, self.high, self.n, self.error, self.low, self.top, len(self.levels))
-        return head + b"".join(struct.pack("<qI", s, len(x)) + np.asarray(x, dtype="<f8").tobytes() for s, x in zip(self.states, self.levels, strict=True))
+        head = struct.pack("<HBqddBH", self.k, self.high, self.n, self.low, self.top, len(self.levels), len(self.reach))
+        reach = b"".join(struct.pack("<BBqd", h, depth, n, far) for (h, depth), (n, far) in sorted(self.reach.items()))
+        return head + reach + b"".join(struct.pack("<qI", s, len(x)) + np.asarray(x, dtype="<f8").tobytes() for s, x in zip(self.states, self.levels, strict=True))
 
     @classmethod
     def loads(cls, blob: bytes, at: int = 0) -> tuple[RankSketch, int]:
-        k, high, n, error, low, top, m = struct.unpack_from("<HBqqddB", blob, at)
+        k, high, n, low, top, m, r = struct.unpack_from("<HBqddBH", blob, at)
         s = cls(k, bool(high))
-        s.n, s.error, s.low, s.top, s.levels, s.states = n, error, low, top, [], []
-        at += struct.calcsize("<HBqqddB")
+        s.n, s.low, s.top, s.levels, s.states = n, low, top, [], []
+        at += struct.calcsize("<HBqddBH")
+        for _ in range(r):
+            h, depth, count, far = struct.unpack_from("<BBqd", blob, at)
+            s.reach[h, depth] = (count, far)
+            at += struct.calcsize("<BBqd")
         for _ in range(m):
             state, size = struct.unpack_from("<qI", blob, at)
             at += struct.calcsize("<qI")
@@ -138,7 +190,7 @@ def _bundle(pieces: dict[int, RankSketch]) -> bytes:
     out = []
     for p in sorted(pieces):
         s = pieces[p]
-        if not s.error:  # nothing thinned out: the values alone
+        if not s.reach:  # nothing thinned out: the values alone
             v = s.levels[0] if len(s.levels) == 1 else np.concatenate(s.levels)
             out.append(struct.pack("<iI", p, len(v)) + np.asarray(v, dtype="<f8").tobytes())
         else:
@@ -202,6 +254,9 @@ def piece_sketches(df: DataFrame, groups: Sequence[str], value: str, piece: str
                     cut = [a, *(a + 1 + np.flatnonzero(np.diff(p[a:b]))).tolist(), b]
                     for x, y in zip(cut[:-1], cut[1:], strict=True):
                         own.setdefault(int(p[x]), RankSketch(k, high)).add(v[x:y])
+            if sum(len(x) for own in held.values() for sk in own.values() for x in sk.levels) > HELD:
+                rows += [(*key, _bundle(sk)) for key, sk in held.items()]
+                held.clear()
             yield pd.DataFrame(rows, columns=[*names, "sketches"])
         yield pd.DataFrame([(*key, _bundle(s)) for key, s in held.items()], columns=[*names, "sketches"])
 
@@ -260,11 +315,12 @@ def _same(a: list, b: list) -> bool:
 
 
 def percentiles(sketches: DataFrame, groups: Sequence[str], qs: Sequence[float], k: int = SECTION, high: bool = True) -> DataFrame:
-    """(groups..., n, rank_error, p<q>..., p<q>_low, p<q>_high): the percentiles over all pieces of a group, the proven
-    bound of their rank error, and the values between which the exact ones lie."""
+    """(groups..., n, rank_error, and for each q: p<q>, p<q>_rank_error, p<q>_low, p<q>_high): the percentiles over all pieces
+    of a group, the proven bounds of the rank error (of any answer, and of each), and the values between which the exact
+    ones lie."""
     names = list(groups)
     cols = [f"p{round(q * 1000) / 10:g}".replace(".", "_") for q in qs]
-    schema = ", ".join(f"`{g}` {sketches.schema[g].dataType.simpleString()}" for g in names) + ", n long, rank_error long, " + ", ".join(f"{c} double, {c}_low double, {c}_high double" for c in cols)
+    schema = ", ".join(f"`{g}` {sketches.schema[g].dataType.simpleString()}" for g in names) + ", n long, rank_error long, " + ", ".join(f"{c} double, {c}_rank_error long, {c}_low double, {c}_high double" for c in cols)
 
     def ask(batches):
         for pdf in batches:
@@ -273,18 +329,31 @@ def percentiles(sketches: DataFrame, groups: Sequence[str], qs: Sequence[float],
                 whole = RankSketch(k, high)
                 for s in unbundle(blob, k, high).values():
                     whole.merge(s)
-                answers = [x for q in qs for x in (whole.quantile(q), *whole.bounds(q))]
+                answers = [x for q in qs for x in (whole.quantile(q), whole.rank_error(q), *whole.bounds(q))]
                 out.append((*key, whole.n, whole.error, *answers))
-            yield pd.DataFrame(out, columns=[*names, "n", "rank_error", *(x for c in cols for x in (c, f"{c}_low", f"{c}_high"))])
+            yield pd.DataFrame(out, columns=[*names, "n", "rank_error", *(x for c in cols for x in (c, f"{c}_rank_error", f"{c}_low", f"{c}_high"))])
 
     return sketches.select(*names, "sketches").mapInPandas(ask, schema)
 
 
 def valid_scores(scores: DataFrame) -> DataFrame:
-    """Each id once, of its valid rows the first scored: (journal, pub_year, run_day, rigor_score)."""
+    """Each id once, of its valid rows the first scored: (journal_key, pub_year, run_day, rigor_score). The key, a 64-bit hash
+    of the name, and numbers alone are shuffled; named() puts the names back."""
     ok = scores.where("id is not null and journal is not null and pub_year between 1900 and 2025 and rigor_score between 0 and 100")
-    first = F.min(F.struct("scored_at", "journal", "pub_year", F.coalesce("run_day", F.lit(0)).alias("run_day"), "rigor_score")).alias("r")
-    return ok.groupBy("id").agg(first).select("r.journal", "r.pub_year", "r.run_day", "r.rigor_score")
+    day = F.coalesce("run_day", F.lit(0)).cast("int").alias("run_day")
+    first = F.min(F.struct("scored_at", journal_key().alias("journal_key"), F.col("pub_year").cast("short").alias("pub_year"), F.col("rigor_score").cast("short").alias("rigor_score"), day)).alias("r")
+    r = ok.groupBy("id").agg(first)
+    return r.select("r.journal_key", F.col("r.pub_year").cast("int").alias("pub_year"), "r.run_day", F.col("r.rigor_score").cast("int").alias("rigor_score"))
+
+
+def journal_key() -> Column:
+    return F.xxhash64("journal")
+
+
+def named(rows: DataFrame, scores: DataFrame) -> DataFrame:
+    """rows with the journals' names in place of their keys."""
+    names = scores.where("journal is not null").groupBy(journal_key().alias("journal_key")).agg(F.min("journal").alias("journal"))
+    return rows.join(names, "journal_key").select("journal", *[c for c in rows.columns if c != "journal_key"])
 
 
 def exact_median(df: DataFrame, groups: Sequence[str], value: Column | str) -> DataFrame:
@@ -293,22 +362,24 @@ def exact_median(df: DataFrame, groups: Sequence[str], value: Column | str) -> D
     return counts.groupBy(*groups).agg(F.sum("count").alias("n"), F.percentile(value, F.lit(0.5), F.col("count")).alias("median"))
 
 
-def shifted_groups(scores: DataFrame, group: str = "pub_year", whole: str = "journal", value: str = "rigor_score", piece: str = "run_day", least: int = 30, shift: float = 20, k: int = SECTION) -> DataFrame:
+def shifted_groups(scores: DataFrame, group: str = "pub_year", whole: str = "journal_key", value: str = "rigor_score", piece: str = "run_day", least: int = 30, shift: float = 20, k: int = SECTION) -> DataFrame:
     """(whole, group) whose median lies at least shift from the median of all of whole, with at least `least` values.
 
-    Sketches by piece are merged to groups and those to wholes; the proven bounds of both medians leave out every
-    group that can't qualify. Only the rest, and their wholes, are counted exactly.
+    Sketches by piece are merged to groups and those to wholes; the proven bounds of both medians settle which groups
+    qualify and which can't. Only those they leave open, and their wholes, are counted exactly.
     """
     # both are asked twice; they are small against the scores
     by_group = written(merged(piece_sketches(scores, [whole, group], value, piece, k), [whole, group], k, keep_pieces=False), "group-sketches")
     g = percentiles(by_group, [whole, group], [0.5], k).where(F.col("n") >= least)
     w = percentiles(merged(by_group.select(whole, "sketches"), [whole], k, keep_pieces=False), [whole], [0.5], k)
     w = w.select(whole, F.col("p50_low").alias("_low"), F.col("p50_high").alias("_high"))
-    near = g.join(w, whole).where((F.col("p50_high") - F.col("_low") >= shift) | (F.col("_high") - F.col("p50_low") >= shift))
-    near = written(near.select(whole, group), "near-groups")
-    wholes = near.select(whole).distinct()
-    counts = scores.join(wholes, whole, "left_semi").groupBy(whole, group, value).count()
-    med = lambda *by: counts.groupBy(*by).agg(F.sum("count").alias("n"), F.percentile(value, F.lit(0.5), F.col("count")).alias("median"))
-    exact = med(whole, group).join(near, [whole, group], "left_semi").where(F.col("n") >= least)
+    apart = lambda near, far: F.greatest(F.col(f"p50_{far}") - F.col(f"_{near}"), F.col(f"_{far}") - F.col(f"p50_{near}"))
+    near = g.join(w, whole).where(apart("low", "high") >= shift)
+    near = written(near.select(whole, group, (apart("high", "low") >= shift).alias("sure")), "near-groups")
+    undecided = near.where("not sure").select(whole, group)
+    counts = scores.join(undecided.select(whole).distinct(), whole, "left_semi").groupBy(whole, group, value).count()
+    med = lambda *by: counts.groupBy(*by).agg(F.percentile(value, F.lit(0.5), F.col("count")).alias("median"))
     total = med(whole).select(whole, F.col("median").alias("_whole"))
-    return exact.join(total, whole).where(F.abs(F.col("median") - F.col("_whole")) >= shift).select(whole, group)
+    exact = med(whole, group).join(undecided, [whole, group], "left_semi").join(total, whole)
+    settled = exact.where(F.abs(F.col("median") - F.col("_whole")) >= shift)
+    return near.where("sure").select(whole, group).unionByName(settled.select(whole, group))
