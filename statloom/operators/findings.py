@@ -5,31 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.runtime import strip
+from statloom.runtime import WHITE, once, strip
 
 
 def type_name(c: Column) -> Column:
     """'P-values', 'p_value' and 'p value' are one type."""
-    return F.regexp_replace(F.regexp_replace(F.lower(strip(c)), r"(?U)[\s_\-\p{Z}]+", "_"), "s$", "")
+    joined = F.regexp_replace(F.translate(F.lower(strip(c)), WHITE + "-", "_" * (len(WHITE) + 1)), "__+", "_")
+    return F.when(joined.endswith("s"), F.left(joined, F.length(joined) - 1)).otherwise(joined)
+
+
+def stated(kind: str, parsed: str) -> dict[str, Column]:
+    """What a parsed JSON value of a kind states: lo, hi and level of an interval, else num; the type of an effect as it is
+    written. An interval may be {lower, upper}, a pair, or either inside {value}; a number may stand alone, as text, or
+    inside {value}. What can't be read is null."""
+    at = lambda path, kind="double": F.try_variant_get(parsed, path, kind)
+    ci = F.col(kind) == "confidence_interval"
+    return {
+        "lo": F.when(ci, F.coalesce(at("$.lower"), at("$.value.lower"), at("$[0]"), at("$.value[0]"))),
+        "hi": F.when(ci, F.coalesce(at("$.upper"), at("$.value.upper"), at("$[1]"), at("$.value[1]"))),
+        "level": F.when(ci, F.coalesce(at("$.level"), at("$.value.level"), at("$[2]"))),
+        "num": F.when(~ci, F.coalesce(at("$.value"), at("$.value.value"), at("$"))),
+        "type_text": F.when(F.col(kind) == "effect_size", F.lower(at("$.type", "string"))),
+    }
+
+
+def parsed(rows: DataFrame, type_col: str = "statistic_type", value_col: str = "value", kind: str = "kind") -> DataFrame:
+    """rows with kind and what the value states (see stated), each JSON text parsed once."""
+    r = once(rows, **{kind: type_name(F.col(type_col)), "_parsed": F.try_parse_json(value_col)})
+    return once(r, **stated(kind, "_parsed")).drop("_parsed")
 
 
 def typed(rows: DataFrame, type_col: str = "statistic_type", value_col: str = "value") -> DataFrame:
-    """Adds kind, lo, hi, level (intervals), num (all others), name (effects). An interval may be {lower, upper}, a pair,
-    or either inside {value}; a number may stand alone, as text, or inside {value}. What can't be read is null."""
-    v = F.try_parse_json(value_col)
-    at = lambda path, kind="double": F.try_variant_get(v, path, kind)
-    kind = type_name(F.col(type_col))
-    ci = kind == "confidence_interval"
-    return rows.withColumns(
-        {
-            "kind": kind,
-            "lo": F.when(ci, F.coalesce(at("$.lower"), at("$.value.lower"), at("$[0]"), at("$.value[0]"))),
-            "hi": F.when(ci, F.coalesce(at("$.upper"), at("$.value.upper"), at("$[1]"), at("$.value[1]"))),
-            "level": F.when(ci, F.coalesce(at("$.level"), at("$.value.level"), at("$[2]"))),
-            "num": F.when(~ci, F.coalesce(at("$.value"), at("$.value.value"), at("$"))),
-            "name": F.when(kind == "effect_size", F.regexp_replace(F.lower(at("$.type", "string")), r"[\s\-]+", "_")),
-        }
-    )
+    """Adds kind, lo, hi, level (intervals), num (all others), name (effects); see stated."""
+    p = parsed(rows, type_col, value_col)
+    return p.withColumn("name", F.regexp_replace("type_text", r"[\s\-]+", "_")).drop("type_text")
 
 
 def by_extractor(f: DataFrame) -> DataFrame:

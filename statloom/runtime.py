@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Java flags that give the meaning of \s \d \w and of letter case in Unicode.
 UNI = "(?U)"
+#: All characters of white space in Unicode.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 def _half_memory(most_gb: int) -> str:
@@ -76,6 +78,13 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def once(df: DataFrame, **exprs: Column) -> DataFrame:
+    """df with further columns that are computed once a row, however often they are used: they come out of a generator,
+    through which neither filters nor projections are copied down."""
+    rows = F.explode(F.array(F.struct(*[c.alias(n) for n, c in exprs.items()]))).alias("__once")
+    return df.select("*", rows).select(*df.columns, *[F.col(f"__once.{n}").alias(n) for n in exprs])
+
+
 def blank(c: Column) -> Column:
     """True where the text is null or holds nothing but white space."""
     return c.isNull() | ~c.rlike(UNI + r"[^\s\p{Z}]")
@@ -88,7 +97,7 @@ def squeeze(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """The text without outer white space."""
-    return F.regexp_replace(c, UNI + r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def env_dir() -> str:
