@@ -10,16 +10,20 @@ value) occurs; the rows are aggregated to these counts once and the iterations r
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.runtime import blank, strip
+from statloom.operators.findings import parsed
+from statloom.runtime import blank, once, strip
 
 #: Texts that stand for no value, and the sources from most to least trusted; all others count as missing.
 PLACEHOLDERS = ("n/a", "unknown", "-", "null", "none")
 SOURCE_ORDER = ("both", "llm", "regex")
 FIELDS = ("source", "context", "location", "confidence")
+#: Microseconds of the last instant of the year 9999.
+LAST = 253_402_300_799_999_999
 #: The model's sources: with three or more, sensitivity and specificity are identified without any labelled row.
 MODEL_SOURCES = (*SOURCE_ORDER, "missing")
 
@@ -37,26 +41,14 @@ def is_cut(c: Column) -> Column:
     return strip(c).rlike(r"(\.\.\.|\[\.\.\.\]|…|\[…\])$")
 
 
-def type_key(c: Column) -> Column:
-    """A type's name whatever its case, separators or number: 'P-values' and 'p_value' are one."""
-    return F.regexp_replace(F.regexp_replace(word(c), r"(?U)[\s_\-\p{Z}]+", "_"), "s$", "")
-
-
 def with_keys(rows: DataFrame) -> DataFrame:
     """Adds type_key and what the value states: lo and hi of an interval, else num; name of an effect. Numbers are
     doubles, equal whatever their notation. Rows that state nothing readable get null in all four."""
-    v = F.try_parse_json("value")
-    at = lambda path, kind="double": F.try_variant_get(v, path, kind)
-    t = type_key(F.col("statistic_type"))
-    lo = F.coalesce(at("$.lower"), at("$.value.lower"), at("$[0]"), at("$.value[0]"))
-    hi = F.coalesce(at("$.upper"), at("$.value.upper"), at("$[1]"), at("$.value[1]"))
-    num = F.coalesce(at("$.value"), at("$.value.value"), at("$"))
-    name = F.regexp_replace(F.lower(at("$.type", "string")), r"(?U)[\s_\-\p{Z}]+", "")
-    interval, effect = t == "confidence_interval", t == "effect_size"
-    zero = lambda c: c + F.lit(0.0)  # noqa: E731  one zero
-    return rows.withColumns({"type_key": t, "lo": F.when(interval, zero(lo)), "hi": F.when(interval, zero(hi)), "num": F.when(~interval, zero(num)), "name": F.when(effect, name)}).withColumn(
-        "states", F.when(interval, F.col("lo").isNotNull() & F.col("hi").isNotNull()).otherwise(F.col("num").isNotNull() & (~effect | F.col("name").isNotNull()))
-    )
+    p = parsed(rows, kind="type_key")
+    interval, effect = F.col("type_key") == "confidence_interval", F.col("type_key") == "effect_size"
+    p = p.withColumns({c: F.col(c) + F.lit(0.0) for c in ("lo", "hi", "num")})  # one zero
+    p = p.withColumn("name", F.regexp_replace("type_text", r"(?U)[\s_\-\p{Z}]+", "")).drop("type_text", "level")
+    return p.withColumn("states", F.when(interval, F.col("lo").isNotNull() & F.col("hi").isNotNull()).otherwise(F.col("num").isNotNull() & (~effect | F.col("name").isNotNull())))
 
 
 KEY = ("pmc_id", "type_key", "lo", "hi", "num", "name")
@@ -67,7 +59,7 @@ def keyed(rows: DataFrame) -> DataFrame:
 
     Two 64-bit hashes with different seeds: at 10^11 findings the chance of any clash is below 10^-16."""
     k = with_keys(rows).where(F.col("states") & F.col("pmc_id").isNotNull() & F.col("type_key").isNotNull())
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in KEY]
+    parts = [x for c in KEY for x in (F.col(c).isNull(), F.col(c))]
     return k.withColumns({"g1": F.xxhash64(*parts), "g2": F.xxhash64(F.lit(7), *parts)}).drop(*[c for c in KEY if c != "pmc_id"], "states")
 
 
@@ -84,17 +76,24 @@ def best_rows(rows: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
     Only minima are kept per group, so partial aggregation bounds what is shuffled, whatever a group's size.
     """
     k = keyed(rows)
-    base = [source_rank(F.col("source")), F.coalesce(-F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(2**62)), -F.col("id")]
+    # one number orders a field's candidates: 3 bits of cut and source, 59 of time from the last to the first, 64 of id
+    age = F.coalesce(F.lit(LAST) - F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(2**59 - 1))
+    wide = lambda c, digits: c.cast(f"decimal({digits},0)")
+    back = F.lit(Decimal(2**63 - 1)) - wide(F.col("id"), 20)
     ok = {
         "source": usable_text(F.col("source")),
         "context": usable_text(F.col("context")),
         "location": usable_text(F.col("location")),
         "confidence": F.coalesce(F.col("confidence").between(0, 1), F.lit(False)),
     }
-    first = {"context": is_cut(F.col("context")).cast("int")}
-    best = [F.min(F.when(ok[f], F.struct(first.get(f, F.lit(0)).alias("c"), base[0].alias("s"), base[1].alias("t"), base[2].alias("i")))).alias(f) for f in fields]
+    place = wide(F.col("_rank") * F.lit(2**59) + age, 19) * F.lit(Decimal(2**64)) + back
+    late = F.lit(Decimal(2**125))
+    k = once(k, _rank=source_rank(F.col("source")).cast("long")).withColumn("_place", place)
+    order = {"context": F.when(is_cut(F.col("context")), F.col("_place") + late).otherwise(F.col("_place"))}
+    best = [F.min(F.when(ok[f], wide(order.get(f, F.col("_place")), 38))).alias(f) for f in fields]
     groups = k.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("group_id"), *best).where("n > 1")
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"), (-F.col(f"{f}.i")).alias("from_id")) for f in fields])
+    from_id = lambda f: (F.lit(Decimal(2**63 - 1)) - F.pmod(F.col(f), F.lit(Decimal(2**64)))).cast("long")
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), from_id(f).alias("from_id")) for f in fields])
     return groups.select("group_id", F.explode(pairs).alias("p")).select("group_id", "p.field", "p.from_id").where("from_id is not null")
 
 
