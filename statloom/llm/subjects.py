@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm import chars
@@ -26,10 +26,10 @@ from statloom.runtime import written
 
 #: Labelled documents, taken by hash of their id, that models are trained on.
 MAX_LABELLED = 3000
-#: Characters of these documents together; those beyond it in the order of the hash are left out.
+#: Characters of these documents together: in the order of the hash, one that would lift the sum over it is passed over.
 MAX_CHARS = 20_000_000
-#: Held-out passages that their model is trained on.
-MAX_PASSAGES = 2000
+#: Characters of held-out passages. All of them are trained on; more are refused, never left out.
+MAX_PASSAGE_CHARS = 20_000_000
 #: Pseudo-counts with which a bigram falls back on the unigram, and a unigram on the uniform model.
 KAPPA, ALPHA = 1000.0, 3.0
 #: Gain or loss of a single word, in nats, that may be chance and is taken off every word's.
@@ -305,20 +305,55 @@ def calibrated(model: SubjectClassifier, labelled: list[tuple[str, list[str]]],
 
 
 def fit(docs: DataFrame, labels: DataFrame, subjects: DataFrame, items: DataFrame | None = None, max_labelled: int = MAX_LABELLED, max_chars: int = MAX_CHARS) -> SubjectClassifier:
-    """Trains on the driver from at most max_labelled labelled documents of max_chars characters and MAX_PASSAGES
-    passages. Documents of several rows with one id are one row each."""
+    """Trains on the driver from at most max_labelled labelled documents of max_chars characters, and all held-out passages.
+
+    Of several rows of one id the shortest text is taken, and of those the first by hash. Lengths are looked at before any
+    text is fetched, so what the driver gets is bounded whatever the documents are. Labels of which no document fits the
+    bound, and passages beyond MAX_PASSAGE_CHARS, raise ValueError; without any labels there is a model of nothing.
+    """
     codes = sorted({r[0] for r in subjects.select("subject_code").where("subject_code is not null").distinct().collect()})
     own = labels.where(F.col("subject_code").isin(codes)).groupBy("doc_id").agg(F.collect_set("subject_code").alias("codes"))
     pick = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)  # bounded, so it may be broadcast
     # one pass over the corpus; what is kept of it is small
     picked = written(docs.select("doc_id", "text").where("text is not null").join(F.broadcast(pick), "doc_id"), "labelled")
-    picked = picked.withColumn("plain", F.when(~chars.unstable(F.col("text")), reduced(F.col("text"))))
-    upto = F.sum(F.length("text")).over(Window.partitionBy().orderBy(F.xxhash64("doc_id"), "doc_id"))  # at most max_labelled rows
-    few = picked.withColumn("upto", upto).where(F.col("upto") <= max_chars)
+    which = F.struct(F.length("text").alias("n"), F.xxhash64("text").alias("h"))
+    left, taken, over = max_chars, [], 0
+    for r in picked.groupBy("doc_id").agg(F.min(which).alias("r")).orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "r.n", "r.h").collect():
+        if r["n"] <= left:
+            left -= r["n"]
+            taken.append((r["doc_id"], r["h"]))
+        else:
+            over += 1
+    if over and not taken:
+        raise ValueError(f"no labelled document has at most max_chars = {max_chars} characters: there is nothing to train on")
+    chosen = docs.sparkSession.createDataFrame(taken, "doc_id long, h long")  # at most max_labelled rows
+    few = picked.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id"])
+    few = few.withColumn("plain", F.when(~chars.unstable(F.col("text")), reduced(F.col("text"))))
     rows = few.select("doc_id", "codes", "plain", F.when(F.col("plain").isNull(), F.col("text")).alias("text")).collect()
     labelled = [(r["plain"] if r["plain"] is not None else reduced_of(r["text"]), sorted(r["codes"])) for r in sorted(rows, key=lambda r: r["doc_id"])]
-    passages = [] if items is None else [reduced_of(r[0]) for r in items.select("passage").where("passage is not null").distinct().orderBy(F.xxhash64("passage")).limit(MAX_PASSAGES).collect()]
-    return train(labelled, passages, codes)
+    return train(labelled, _passages(items), codes)
+
+
+def _passages(items: DataFrame | None) -> list[str]:
+    if items is None:
+        return []
+    p = items.select("passage").where("passage is not null").distinct()
+    size = p.agg(F.coalesce(F.sum(F.length("passage")), F.lit(0)).alias("n")).first()["n"]
+    if size > MAX_PASSAGE_CHARS:
+        raise ValueError(f"{size} characters of held-out passages are more than MAX_PASSAGE_CHARS = {MAX_PASSAGE_CHARS}")
+    return [reduced_of(t) for t in sorted(r[0] for r in p.collect())]
+
+
+_models: dict = {}
+
+
+def _unpickled(blob) -> SubjectClassifier:
+    """Once in a worker, not once a task."""
+    key = hash(blob.value)
+    if key not in _models:
+        _models.clear()
+        _models[key] = pickle.loads(blob.value)
+    return _models[key]
 
 
 FOUND = "doc_id long, subject_code string, share double"
@@ -332,7 +367,7 @@ def document_subjects(docs: DataFrame, model: SubjectClassifier, id_col: str = "
     ready = raw.withColumn("odd", chars.unstable(F.col("txt"))).select("id", F.when(~F.col("odd"), reduced(F.col("txt"))).alias("plain"), F.when(F.col("odd"), F.col("txt")).alias("odd"))
 
     def score(batches):
-        m = pickle.loads(blob.value)
+        m = _unpickled(blob)
         for pdf in batches:
             out = []
             ids = pdf["id"].to_list()

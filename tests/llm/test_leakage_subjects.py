@@ -122,6 +122,31 @@ def test_no_labels(spark, corpus):
     assert sb.document_subjects(df, sb.fit(df, labels, codes)).count() == 0
 
 
+def test_long_and_repeated_labelled_documents(spark, corpus):
+    """A document beyond the bound is passed over and not the rest with it; any number of rows of an id are one; a bound
+    that no document meets is an error."""
+    docs, truth, items = corpus
+    long = [(d, "x " * 150_000) for d in range(600, 640)]
+    df = spark.createDataFrame(docs[:200] + long + docs[:5] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, c, "a") for d in range(200) for c in truth[d]] + [(d, "bio", "a") for d in range(600, 640)], "doc_id long, subject_code string, annotator string")
+    codes = spark.createDataFrame([(c, c) for c in TOPICS], "subject_code string, description string")
+    passages = spark.createDataFrame(items, "item_id long, passage string")
+    model = sb.fit(df, labels, codes, passages, max_chars=sum(len(t) for _, t in docs[:200]))
+    test = spark.createDataFrame(docs[200:], "doc_id long, text string")
+    got = {tuple(r) for r in sb.document_subjects(test, model).select("doc_id", "subject_code").collect()}
+    want = {(d, c) for d in range(200, 600) for c in truth[d]}
+    assert len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.95 * len(got)
+    with pytest.raises(ValueError, match="max_chars"):
+        sb.fit(df, labels, codes, passages, max_chars=5)
+    few = sb.MAX_PASSAGE_CHARS
+    try:
+        sb.MAX_PASSAGE_CHARS = 10
+        with pytest.raises(ValueError, match="MAX_PASSAGE_CHARS"):
+            sb.fit(df, labels, codes, passages)
+    finally:
+        sb.MAX_PASSAGE_CHARS = few
+
+
 def test_parts_are_one_whole():
     texts = [f"word{i} alpha beta. gamma{i % 7} delta\n" * (1 + i % 5) for i in range(200)] + ["", "end"]
     whole = sb.split_words(texts)
