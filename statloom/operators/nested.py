@@ -233,8 +233,9 @@ def flatten(df: DataFrame, id_col: str, json_col: str, items: Callable[[str | No
 
 
 def variant_table(items: DataFrame, name: str) -> DataFrame:
-    """One subtype's table: the supertype's keys and only the fields that the subtype has."""
-    keys = ["record_id", "parent_pos", "kind", "item_pos"]
+    """One subtype's table: the supertype's keys (with the record's table, where items have it) and only the fields that the
+    subtype has."""
+    keys = [c for c in ("table_name", "record_id", "parent_pos", "kind", "item_pos") if c in items.columns]
     fields = {"intervals": ["lower", "upper", "level"], "numbers": ["number", "text"], "matches": ["text"], "others": ["item_json"]}[name]
     states = {"intervals": ["interval", "interval_in", "pair"], "numbers": ["number", "number_in", "effect"], "matches": ["match", "text"]}
     known = [s for x in states.values() for s in x]

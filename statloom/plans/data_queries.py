@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from statloom.operators import incremental as inc
 from statloom.operators import nested
-from statloom.runtime import scratch, table
+from statloom.runtime import scratch, strip, table
 
 
 def _items(spark, d):
@@ -19,7 +19,22 @@ def p2_found(spark, d):
 
 def p2_intervals(spark, d):
     """The intervals' own table, of all three sources: bounds and level typed, keys and parent links kept."""
-    return nested.variant_table(_items(spark, d).drop("table_name"), "intervals")
+    return nested.variant_table(_items(spark, d), "intervals")
+
+
+def p2_numbers(spark, d):
+    """The table of single numbers: p-values, sample sizes and effects stated as numbers."""
+    return nested.variant_table(_items(spark, d), "numbers")
+
+
+def p2_matches(spark, d):
+    """The table of matched texts."""
+    return nested.variant_table(_items(spark, d), "matches")
+
+
+def p2_others(spark, d):
+    """The table of what fits no other subtype, as JSON."""
+    return nested.variant_table(_items(spark, d), "others")
 
 
 def p2_shape_counts(spark, d):
@@ -32,18 +47,16 @@ def p4_found(spark, d):
 
 
 def p4_next_run(spark, d):
-    """What a second run still has to do after one run that failed for some of the due articles: those alone."""
-    articles = table(spark, d, "articles")
-    store = inc.StateStore(spark, scratch(spark, "p4-runs"))
-    current = inc.article_versions(articles)
-    store.publish(inc.state_from_logs(current, table(spark, d, "llm_processing_status"), table(spark, d, "llm_article_status")))
-    due = inc.changed_keys(current, store.read())
-    failed = F.pmod(F.length("key") + F.ascii(F.right("key", F.lit(1))), F.lit(4)) == 0
-    inc.commit(store, current, due.where(~failed), due.where(failed))
-    return inc.changed_keys(current, store.read()).select(F.col("key").alias("pmc_id"))
+    """What a second run still has to do after one run in which the articles failed that have failed before (rows of status
+    failed in llm_article_status, whenever): those alone."""
+    status = table(spark, d, "llm_article_status")
+    run, versions = inc.due_run(spark, table(spark, d, "articles"), table(spark, d, "llm_processing_status"), status, scratch(spark, "p4-runs"))
+    ever = status.where(F.lower(strip(F.col("status"))) == "failed").select(inc.spelled(F.col("pmc_id")).alias("key")).distinct()
+    run.commit(run.due.join(ever, "key", "left_anti"), run.due.join(ever, "key", "left_semi"))
+    return inc.begin(run.store, inc.keyed_hashes(versions)).due.select(F.col("key").alias("pmc_id"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_intervals, p2_shape_counts, p4_found, p4_next_run)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_intervals, p2_numbers, p2_matches, p2_others, p2_shape_counts, p4_found, p4_next_run)}
 
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _P4 = rf"""
@@ -89,5 +102,5 @@ FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM e) WHERE json_type(a[i])
 ORACLES = {
     "p2_found": _P2,
     "p4_found": f"WITH {_P4} SELECT pmc_id FROM due",
-    "p4_next_run": f"WITH {_P4} SELECT pmc_id FROM due WHERE (length(pmc_id) + ascii(right(pmc_id, 1))) % 4 = 0",
+    "p4_next_run": f"WITH {_P4} SELECT pmc_id FROM due WHERE pmc_id IN (SELECT pmc_id FROM failed)",
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,21 +43,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a table that spread() may move, whatever the cluster's size.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """df over all cores, where its files make far fewer splits than there are cores (a few small or unsplittable files);
-    otherwise df as it is. For work that costs more than moving the rows."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() * 2 <= cores else df
+    """df over all cores, where it is small (by the planner's estimate) and its files make far fewer splits than there are
+    cores (a few small or unsplittable files); otherwise df as it is. For work that costs more than moving the rows. A table
+    beyond SPREAD_BYTES is never moved: its splits are set by spark.sql.files.maxPartitionBytes."""
+    try:
+        plan = df._jdf.queryExecution()
+    except AttributeError:  # a remote session doesn't show its plans
+        return df
+    if int(plan.optimizedPlan().stats().sizeInBytes().toString()) > SPREAD_BYTES:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan.toRdd().getNumPartitions() * 2 <= cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it; a local one only where none is set (tests)."""
+    """The folder all executors share, as the session names it. Where it names none, a local one for a local session, which
+    goes with the process; on a cluster that is an error, as every machine would write to a folder of its own."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if set_dir:
         return set_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not hasattr(shared_dir, "local"):
-        shared_dir.local = "file://" + tempfile.mkdtemp(prefix="statloom-")
+        folder = tempfile.mkdtemp(prefix="statloom-")
+        atexit.register(shutil.rmtree, folder, True)
+        shared_dir.local = "file://" + folder
     return shared_dir.local
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,11 +64,16 @@ def model_results(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """The last row of every key by the given columns (null comes first), e.g. a later file over an earlier one. A maximum,
-    not a window: partial aggregation keeps a key with a third of all rows small."""
-    rest = [c for c in df.columns if c != key and c not in order]
-    m = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_m"))
-    return m.select(key, *[F.col(f"_m.{c}").alias(c) for c in (*order, *rest)]).select(*df.columns)
+    """The last row of every key by the given columns (null comes first), e.g. a later file over an earlier one."""
+    return latest_by(df, [key], order)
+
+
+def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The last row of every combination of keys. A maximum, not a window: partial aggregation keeps a key with a third of all
+    rows small."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    m = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_m"))
+    return m.select(*keys, *[F.col(f"_m.{c}").alias(c) for c in (*order, *rest)]).select(*df.columns)
 
 
 def inventory(spark: SparkSession, path: str, glob: str = "*.jsonl*") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,15 +38,20 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     return j.select(*[pick(c).alias(c) for c in cols])
 
 
-def foreach_batch_upsert(path: str, keys: list[str], update: list[str] | None = None):
-    """A foreachBatch function that keeps a table of versions below path: each batch writes the next version whole and
-    then renames the pointer to it, so that a batch that is run again changes nothing."""
+def foreach_batch_upsert(path: str, keys: list[str], update: list[str] | None = None, order: Sequence[str] = ()):
+    """A foreachBatch function that keeps a table of versions below path: of several rows of a key in a batch the last by the
+    columns in order (null first), then by the others, counts. Each batch writes the next version whole and then makes it valid in one step that
+    also names the batch, so that a batch that is run again changes nothing."""
     from statloom.operators.incremental import StateStore
+    from statloom.sources.readers import latest_by
 
     def run(batch: DataFrame, batch_id: int) -> None:
         store = StateStore(batch.sparkSession, path)
-        old = store.read()
-        latest = batch.dropDuplicates(keys)
-        store.publish(latest if old is None else upsert(old, latest, keys, update))
+        n, entry = store.head()
+        if entry is not None and batch_id <= entry.get("batch", -1):
+            return
+        latest = latest_by(batch, keys, order)
+        if store.publish(latest if entry is None else upsert(store.read(entry), latest, keys, update), n, batch=batch_id) is None:
+            raise RuntimeError(f"another stream writes to {path}")
 
     return run

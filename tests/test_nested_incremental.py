@@ -109,3 +109,88 @@ def test_hash_tells_apart(spark, a, b):
     s = ", ".join(f"c{i} string" for i in range(len(a)))
     h = [spark.createDataFrame([x], s).select(inc.content_hash(*[f"c{i}" for i in range(len(a))])).first()[0] for x in (a, b)]
     assert h[0] != h[1]
+
+
+KV = "k string, text string, t string"
+
+
+def hashes(spark, *rows):
+    return inc.current_rows(spark.createDataFrame(rows, KV).withColumn("t", F.col("t").cast("timestamp")), "k", ["text"], ["t"])
+
+
+def keys(df):
+    return [r["key"] for r in df.orderBy("key").collect()]
+
+
+def test_hashes_decide(spark):
+    """Equal times, other content: due. The same row delivered again: not due."""
+    store = inc.StateStore(spark, scratch(spark, "runs"))
+    one = inc.begin(store, hashes(spark, ("a", "1", "2025-01-01"), ("b", "2", "2025-01-01"), ("c", "3", None)))
+    one.commit(one.due)
+    two = inc.begin(store, hashes(spark, ("a", "9", "2025-01-01"), ("b", "2", "2025-01-01"), ("b", "2", "2025-01-01"), ("c", "3", None)))
+    assert keys(two.due) == ["a"]
+
+
+def test_a_change_during_a_run_comes_again(spark, tmp_path):
+    store = inc.StateStore(spark, scratch(spark, "runs"))
+    path = f"{tmp_path}/rows"
+    write = lambda *rows: spark.createDataFrame(rows, KV).write.mode("overwrite").parquet(path)
+    read = lambda: inc.current_rows(spark.read.schema(KV).parquet(path), "k", ["text"])
+    write(("a", "1", None), ("b", "1", None))
+    run = inc.begin(store, read())
+    assert keys(run.due) == ["a", "b"]
+    write(("a", "2", None), ("b", "1", None))  # between reading and the commit
+    run.commit(run.due)
+    assert keys(inc.begin(store, read()).due) == ["a"]
+
+
+def test_overlapping_runs_lose_nothing(spark):
+    store = inc.StateStore(spark, scratch(spark, "runs"), keep=2)
+    current = hashes(spark, ("a", "1", None), ("b", "1", None), ("c", "1", None))
+    one, two = inc.begin(store, current), inc.begin(store, current)
+    one.commit(one.due.where("key = 'a'"))
+    two.commit(two.due.where("key = 'b'"), two.due.where("key = 'c'"))
+    assert keys(inc.begin(store, current).due) == ["c"]
+    # a state made from an entry that isn't the last one any more is not published, and old versions go
+    assert store.publish(current.select("key", "content_hash", F.lit(False).alias("retry")), 0) is None
+    last = inc.begin(store, current)
+    last.commit(last.due)
+    assert keys(inc.begin(store, current).due) == []
+    files = [f.getPath().getName() for f in store._fs.listStatus(store._p(store.path))]
+    assert len([f for f in files if f.startswith("v-")]) == 2 and store.head()[0] == 2
+
+
+def test_content_decides_for_articles(spark):
+    """The state of the logs has the rows as they were then: one that came later makes the difference, by its hash."""
+    a = arts(spark, [(1, "P1", "x", "2025-01-01", None), (2, "P1", "y", "2025-03-01", None), (3, "P2", "x", "2025-01-01", None), (4, "P2", "x", "2025-01-01", None)])
+    done = log(spark, [("P1", "2025-02-01", "completed"), ("P2", "2025-02-01", "completed")])
+    versions = inc.article_versions(a)
+    state = {r["key"]: r["content_hash"] for r in inc.state_from_logs(versions, done, done.limit(0)).collect()}
+    current = {r["key"]: r["content_hash"] for r in inc.keyed_hashes(versions).collect()}
+    assert state["P2"] == current["P2"] and state["P1"] != current["P1"] and state["P1"] == state["P2"]
+
+
+def test_upserts_of_a_stream(spark):
+    from statloom.sources import sinks
+
+    path = scratch(spark, "upserts")
+    run = sinks.foreach_batch_upsert(path, ["k"], order=["t"])
+    rows_ = lambda *r: spark.createDataFrame(r, "k string, v int, t int")
+    run(rows_(("a", 1, 1), ("a", 2, 3), ("a", 3, 2), ("b", 1, None)), 0)
+    run(rows_(("b", 5, 1), ("c", 6, 1)), 1)
+    run(rows_(("a", 99, 99)), 1)  # run again
+    assert rows(inc.StateStore(spark, path).read()) == [("a", 2, 3), ("b", 5, 1), ("c", 6, 1)]
+
+
+def test_no_folder_of_one_machine_on_a_cluster(spark, monkeypatch):
+    from statloom import runtime
+
+    class Elsewhere:
+        class conf:
+            get = staticmethod(lambda k, d: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        runtime.shared_dir(Elsewhere)
