@@ -6,6 +6,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from statloom.functions import dialect
 from statloom.functions.patterns import CONTENT_FLAGS, FIGURE_MARKS, SIZE_CLASSES, STRUCTURED, TABLE_MARKS, TARGET_TOKENS
 from statloom.operators.structured import figure_captions, table_section_count, table_windows
+from statloom.runtime import written
 
 #: Characters of a prepared piece, and of a long body's beginning.
 PIECE_CHARS, HEAD_CHARS = 50_000, 10_000
@@ -57,36 +59,102 @@ def group_key() -> Column:
     return F.array_join(F.array_sort(F.array_compact(F.array(*parts))), "_")
 
 
-PACKED = "id long, group_key string, slot int, batch_no int, pos_in_batch int, tokens long"
+PACKED = "id long, group_key string, batch_no long, pos_in_batch int, tokens long"
+#: The most articles in a batch, of any size class.
+MOST = max(most for _, _, most in SIZE_CLASSES)
+
+
+def _ranked(a: DataFrame, slot_rows: int) -> DataFrame:
+    """a with each row's rank from 0 within its group in order of (len, a hash of the id, id). Ranks come from counts by length
+    and hash range, so no task sorts a group, or the rows of one length."""
+    mixed = F.pmod(F.pmod("id", F.lit(1 << 31)) * F.lit(2654435761), F.lit(1 << 32))
+    a = a.withColumn("part", F.shiftright(mixed, 22).cast("int"))
+    per = a.groupBy("group_key", "len", "part").agg(F.count(F.lit(1)).alias("n"))
+    of_len = Window.partitionBy("group_key").orderBy("len").rowsBetween(Window.unboundedPreceding, -1)
+    in_len = Window.partitionBy("group_key", "len").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    lens = per.groupBy("group_key", "len").agg(F.sum("n").alias("m")).withColumn("before", F.coalesce(F.sum("m").over(of_len), F.lit(0))).drop("m")
+    starts = per.withColumn("within", F.coalesce(F.sum("n").over(in_len), F.lit(0))).drop("n").join(lens, ["group_key", "len"])
+    rn = F.row_number().over(Window.partitionBy("group_key", "len", "part").orderBy("id")) - 1
+    r = a.join(starts, ["group_key", "len", "part"])
+    return r.select("id", "group_key", "len", "tokens", (F.col("before") + F.col("within") + rn).alias("rank"))
+
+
+def _batch_ends(tokens: np.ndarray, lens: np.ndarray, target: int) -> np.ndarray:
+    """For each row where the next batch begins if one begins at that row; rows are in order."""
+    classes = np.array([c[0] for c in SIZE_CLASSES[:-1]])
+    limit = np.array([c[2] for c in SIZE_CLASSES])[np.searchsorted(classes, lens, side="right")]
+    upto = np.concatenate([[0], np.cumsum(tokens)])
+    n = len(tokens)
+    # the first row that would lift the batch over the target; a batch has one row at least
+    ends = np.maximum(np.searchsorted(upto[1:], upto[:-1] + target, side="right"), np.arange(n) + 1)
+    # the first row at which the batch already holds what that row's class allows
+    for most in sorted(set(limit.tolist())):
+        of_class = np.flatnonzero(limit == most)
+        k = np.searchsorted(of_class, np.arange(n) + most)
+        ends = np.where(k < len(of_class), np.minimum(ends, np.append(of_class, n)[k]), ends)
+    return np.minimum(ends, n)
 
 
 def pack_batches(articles: DataFrame, target: int = TARGET_TOKENS, slot_rows: int = 100_000) -> DataFrame:
-    """PACKED rows: within each group in order of body length, a batch closes when the next article would lift it over
-    target tokens or it holds as many as that article's size class allows.
-
-    Packing is sequential, so groups are cut into slots of about slot_rows consecutive lengths (one slot for any group
-    up to that size); a slot is packed by one task from ids and sizes, never texts. Slot bounds come from counts per
-    length, so that a group with a third of all rows is spread.
+    """PACKED rows: within each group in order of body length (then of a hash of the id), a batch closes when the next article
+    would lift it over target tokens or it holds as many as that article's size class allows.
+
+    Packing is sequential, but where a batch ends depends only on where it begins, and it has at most MOST rows. So a group is
+    cut into slots of slot_rows ranks, each with the MOST ranks behind it; a slot is packed for every place among its first MOST
+    at which its first batch can begin, and gives for each where the next slot's first batch begins and how many batches there
+    are. These small tables, chained from slot to slot, say which of them is true. The result is that of one pass over the
+    group, whatever slot_rows is. Only ids and sizes are shuffled, never texts, and texts are read once.
     """
+    if slot_rows < MOST:
+        raise ValueError(f"slot_rows must be at least {MOST}")
     a = articles.select(F.col("id").cast("long").alias("id"), group_key().alias("group_key"), F.length(_text("body")).alias("len"), token_estimate().alias("tokens"))
-    per = a.groupBy("group_key", "len").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("group_key").orderBy("len").rowsBetween(Window.unboundedPreceding, -1)
-    slots = per.withColumn("slot", F.floor(F.coalesce(F.sum("n").over(upto), F.lit(0)) / slot_rows).cast("int")).withColumn("cuts", F.ceil(F.col("n") / slot_rows)).drop("n")
-    rows = a.join(slots, ["group_key", "len"]).withColumn("slot", F.col("slot") + F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"))
+    a = written(a, "pack-sizes")
+    ranked = written(_ranked(a, slot_rows), "pack-ranks")
+    slot = F.floor(F.col("rank") / slot_rows).cast("long")
+    ahead = (F.pmod("rank", F.lit(slot_rows)) < MOST) & (slot > 0)
+    slots = F.explode(F.when(ahead, F.array(slot, slot - 1)).otherwise(F.array(slot)))
+    rows = ranked.select("id", "group_key", "len", "tokens", "rank", slots.alias("slot"))
+
+    def ends(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, int]:
+        pdf = pdf.sort_values("rank", kind="stable")
+        own = int((pdf["rank"] < (pdf["slot"].iloc[0] + 1) * slot_rows).sum())
+        return pdf, _batch_ends(pdf["tokens"].to_numpy(), pdf["len"].to_numpy(), target), own
+
+    def ways(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, nxt, own = ends(pdf)
+        at, count = list(range(own + MOST + 1)), [0] * (own + MOST + 1)
+        for i in range(own - 1, -1, -1):
+            at[i], count[i] = at[nxt[i]], count[nxt[i]] + 1
+        first = min(MOST, own) + 1
+        head = pdf.iloc[0]
+        return pd.DataFrame({"group_key": head["group_key"], "slot": head["slot"], "out": [[x - own for x in at[:first]]], "batches": [count[:first]]})
+
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, at, number = None, 0, 0
+        for pdf in batches:
+            out = []
+            for g, k, to, count in pdf[["group_key", "slot", "out", "batches"]].itertuples(index=False, name=None):
+                if g != group:
+                    group, at, number = g, 0, 0
+                out.append((g, k, at, number))
+                # a slot that ends before its first batch begins is the group's last
+                at, number = (int(to[at]), number + int(count[at])) if at < len(to) else (0, number)
+            yield pd.DataFrame(out, columns=["group_key", "slot", "enter", "first_no"])
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["len", "id"], kind="stable")
-        batch, size, tokens, nos, poss = 0, 0, 0, [], []
-        limits = [next(most for below, _, most in SIZE_CLASSES if below is None or n < below) for n in pdf["len"].to_list()]
-        for t, most in zip(pdf["tokens"].to_list(), limits, strict=True):
-            if size and (tokens + t > target or size >= most):
-                batch, size, tokens = batch + 1, 0, 0
-            nos.append(batch)
-            poss.append(size)
-            size, tokens = size + 1, tokens + t
-        return pdf.assign(batch_no=nos, pos_in_batch=poss)[["id", "group_key", "slot", "batch_no", "pos_in_batch", "tokens"]]
+        pdf, nxt, own = ends(pdf)
+        i, number = int(pdf["enter"].iloc[0]), int(pdf["first_no"].iloc[0])
+        nos, poss = np.full(len(pdf), -1), np.zeros(len(pdf), dtype=np.int32)
+        while i < own:
+            e = int(nxt[i])
+            nos[i:e], poss[i:e] = number, np.arange(e - i)
+            i, number = e, number + 1
+        # rows of the next slot are here only where a batch of this one reaches into it
+        return pdf.assign(batch_no=nos, pos_in_batch=poss)[nos >= 0][["id", "group_key", "batch_no", "pos_in_batch", "tokens"]]
 
-    return rows.groupBy("group_key", "slot").applyInPandas(pack, PACKED)
+    tables = rows.groupBy("group_key", "slot").applyInPandas(ways, "group_key string, slot long, out array<long>, batches array<long>")
+    entries = tables.repartition("group_key").sortWithinPartitions("group_key", "slot").mapInPandas(chain, "group_key string, slot long, enter int, first_no long")
+    return rows.join(entries, ["group_key", "slot"]).groupBy("group_key", "slot").applyInPandas(pack, PACKED)
 
 
 def adapt_limits(limits: DataFrame, seconds: Column) -> DataFrame:
@@ -172,11 +240,11 @@ def prompts(articles: DataFrame, packed: DataFrame, template: str, target: int =
     j = packed.join(articles.select("id", "pmc_id", prompt_text().alias("text")), "id")
     long = F.col("tokens") > target
     j = j.withColumn("cut", text_pieces(F.when(long, F.col("text")), 4 * target))
-    j = j.select("group_key", "slot", "batch_no", "pos_in_batch", "pmc_id", F.posexplode(F.when(long, F.col("cut")).otherwise(F.array("text"))).alias("part", "piece"))
+    j = j.select("group_key", "batch_no", "pos_in_batch", "pmc_id", F.posexplode(F.when(long, F.col("cut")).otherwise(F.array("text"))).alias("part", "piece"))
     begin = F.when(F.col("part") > 0, F.lit(" (continued)\n")).otherwise(F.lit("\n"))
     block = F.concat(F.lit("Article "), F.coalesce("pmc_id", F.lit("")), begin, "piece")
-    g = j.groupBy("group_key", "slot", "batch_no", "part").agg(F.array_sort(F.collect_list(F.struct("pos_in_batch", block.alias("block")))).alias("b"))
-    return g.select("group_key", "slot", "batch_no", "part", F.size("b").alias("articles"), F.concat(F.array_join(F.transform("b", lambda x: x["block"]), "\n\n"), F.lit("\n\n" + template)).alias("prompt"))
+    g = j.groupBy("group_key", "batch_no", "part").agg(F.array_sort(F.collect_list(F.struct("pos_in_batch", block.alias("block")))).alias("b"))
+    return g.select("group_key", "batch_no", "part", F.size("b").alias("articles"), F.concat(F.array_join(F.transform("b", lambda x: x["block"]), "\n\n"), F.lit("\n\n" + template)).alias("prompt"))
 
 
 def _prepared(body: Column) -> Column:

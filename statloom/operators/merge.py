@@ -3,7 +3,7 @@
 Within an article the result depends on the order (a value kept may shut out later ones), so close values are found
 by a fold over lists. Before it, values are made distinct by their key with a partial aggregation and cut into islands:
 runs of sorted values with steps below the tolerance. Nothing in one island can be close to anything in another, so
-each island is folded alone, and no task gathers an article's findings, however many it has.
+each island is folded alone. A task gathers an island: at most as many different keys as fit into a run of such steps.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 CI_DECIMALS, P_DECIMALS = 3, 6
 CI_NEAR, P_NEAR, EFFECT_NEAR = 0.01, 0.0001, 0.01
 REGEX_FACTOR = 0.8
-KEY_CHARS = 50
 
 #: Columns of merged findings, one row each.
 MERGED = ("kind", "id", "extractor", "name", "lo", "hi", "level", "num")
@@ -128,13 +127,15 @@ def source_matrix(f: DataFrame) -> DataFrame:
 
 
 def merge_findings(f: DataFrame, by: str = "pmc_id", text: str = "context") -> DataFrame:
-    """One finding per article, kind and first 50 characters of its text: a model's before a pattern's, the first of its
-    extractor; findings only patterns have lose a fifth of their confidence."""
+    """One finding per article, kind and stated value (of one that can't be read: per whole text): a model's before a pattern's,
+    the first of its extractor; findings only patterns have lose a fifth of their confidence."""
     rank = F.when(F.col("extractor") == "llm", 0).otherwise(1)
     first = F.min(F.struct(rank.alias("rank"), "id", "confidence")).alias("f")
-    g = f.groupBy(by, "kind", F.left(F.coalesce(text, F.lit("")), F.lit(KEY_CHARS)).alias("text_key")).agg(first)
+    read = F.col("num").isNotNull() | F.col("lo").isNotNull() & F.col("hi").isNotNull()
+    key = [F.when(read, F.col(c)).alias(c) for c in ("lo", "hi", "num", "name")]
+    g = f.groupBy(by, "kind", *key, F.when(~read, F.coalesce(text, F.lit(""))).alias("text_key")).agg(first)
     conf = F.when(F.col("f.rank") == 0, F.col("f.confidence")).otherwise(F.col("f.confidence") * REGEX_FACTOR)
-    return g.select(by, "kind", "text_key", F.col("f.id").alias("id"), F.when(F.col("f.rank") == 0, "llm").otherwise("regex").alias("extractor"), F.round(conf, 6).alias("confidence"))
+    return g.select(by, "kind", "lo", "hi", "num", "name", "text_key", F.col("f.id").alias("id"), F.when(F.col("f.rank") == 0, "llm").otherwise("regex").alias("extractor"), F.round(conf, 6).alias("confidence"))
 
 
 def join_kind(f: DataFrame, by: str = "pmc_id") -> DataFrame:

@@ -212,24 +212,79 @@ def interval_items(text: str | None) -> Iterator[tuple]:
                     yield i, "confidence_intervals", k, x
 
 
-def flatten(df: DataFrame, id_col: str, json_col: str, items: Callable[[str | None], Iterator[tuple]]) -> DataFrame:
-    """ITEM_SCHEMA rows of every record of df. Narrow: each record is parsed where it lies, nothing is shuffled.
+def stats_article(text: str | None) -> Callable[[int], str | None]:
+    """Parent position -> pmc_id of an extraction line: what the metadata beside the stats say, or else the record."""
+    record = parse_whole(text)
+    level, found = [record] if isinstance(record, dict) else [], None
+    while level and found is None:
+        for v in level:
+            meta = v.get("metadata")
+            found = next((x for x in (meta.get("pmc_id") if isinstance(meta, dict) else None, v.get("pmc_id")) if isinstance(x, str)), found)
+        level = [x for v in level for x in v.values() if isinstance(x, dict)]
+    return lambda parent: found
+
+
+def finding_article(text: str | None) -> Callable[[int], str | None]:
+    """Parent position -> pmc_id of a model answer: the article's own, for flat findings the answer's."""
+    top = parse_first_object(text)
+    articles = _entries(top.get("articles")) if top is not None else []
+
+    def of(parent: int) -> str | None:
+        holder = top if parent < 0 else articles[parent]
+        pmc = holder.get("pmc_id")
+        return pmc if isinstance(pmc, str) else None
+
+    return of
+
+
+STATS = "line_id long, error string, rigor_score int, p_values int"
+
+
+def stats_rows(df: DataFrame, id_col: str = "line_id", json_col: str = "line_text") -> DataFrame:
+    """STATS rows: of every line that is one whole record its error, and of one with stats, wherever they sit, the score (null
+    if it is no whole number) and the number of p-values in the stats and their sections (null: no stats)."""
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for rid, text in zip(pdf["rid"], pdf["txt"], strict=True):
+                record = parse_whole(text)
+                if isinstance(record, dict):
+                    stats = find_stats(record)
+                    score = stats.get("rigor_score") if stats is not None else None
+                    error = record.get("error")
+                    out.append((rid, None if error is None else str(error), score if isinstance(score, int) and not isinstance(score, bool) and abs(score) < 2**31 else None, None if stats is None else sum(kind == "p_values" for _, kind, _, _ in stats_items(text))))
+            frame = pd.DataFrame(out, columns=["line_id", "error", "rigor_score", "p_values"])
+            yield frame.astype({"rigor_score": "Int32", "p_values": "Int32"})
+
+    return df.select(F.col(id_col).cast("long").alias("rid"), F.col(json_col).alias("txt")).where("txt is not null and rid is not null").mapInPandas(run, STATS)
+
+
+def flatten(df: DataFrame, id_col: str, json_col: str, items: Callable[[str | None], Iterator[tuple]], article: Callable[[str | None], Callable[[int], str | None]] | None = None) -> DataFrame:
+    """ITEM_SCHEMA rows of every record of df; with article (see stats_article) also the pmc_id each item is of. Narrow: each record is parsed where it lies, nothing is shuffled.
 
     A null, broken or foreign text gives no row; repeated records give their rows again; columns other than the two
     named are not read. A finding is typed by its value, other items by themselves.
     """
 
+    schema = ITEM_SCHEMA + ("" if article is None else ", pmc_id string")
+    names = _FIELDS + ([] if article is None else ["pmc_id"])
+
     def run(batches):
         for pdf in batches:
             out = []
             for rid, text in zip(pdf["rid"], pdf["txt"], strict=True):
+                of = None
                 for parent, kind, pos, v in items(text):
                     value = v.get("value") if kind == "finding" and isinstance(v, dict) else v
                     state = VALUES.state(value)
                     out.append((rid, parent, kind, pos, state, *_typed(value, state), json.dumps(v, ensure_ascii=False)))
-            yield pd.DataFrame(out, columns=_FIELDS)
+                    if article is not None:
+                        of = of or article(text)
+                        out[-1] = (*out[-1], of(parent))
+            yield pd.DataFrame(out, columns=names)
 
-    return df.select(F.col(id_col).cast("long").alias("rid"), F.col(json_col).alias("txt")).where("txt is not null and rid is not null").mapInPandas(run, ITEM_SCHEMA)
+    return df.select(F.col(id_col).cast("long").alias("rid"), F.col(json_col).alias("txt")).where("txt is not null and rid is not null").mapInPandas(run, schema)
 
 
 def variant_table(items: DataFrame, name: str) -> DataFrame:

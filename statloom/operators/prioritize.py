@@ -68,8 +68,8 @@ def low_score_candidates(articles: DataFrame, scores: DataFrame, most: int) -> D
 
 
 def unprocessed_not_in(articles: DataFrame, done: DataFrame) -> DataFrame:
-    """NOT IN as SQL means it: with a null among the done there is no result at all. Done is held against its size by the
-    planner; use extract.unprocessed for the plain anti join."""
-    nulls = done.select("pmc_id").where("pmc_id is null").limit(1)
-    keyed = articles.where("pmc_id is not null").join(done.select("pmc_id").distinct(), "pmc_id", "left_anti")
-    return keyed.join(nulls.select(F.lit(1).alias("_n")), F.lit(True), "left_anti")
+    """NOT IN as SQL means it: with a null among the done there is no result at all, and nothing done leaves every row, those
+    of null keys too. Done is held against its size by the planner; use extract.unprocessed for the plain anti join."""
+    some = done.agg(F.count(F.lit(1)).alias("_n"), F.count("pmc_id").alias("_k"))  # one row
+    left = articles.join(done.select("pmc_id").distinct(), "pmc_id", "left_anti").crossJoin(F.broadcast(some))
+    return left.where((F.col("_n") == 0) | ((F.col("_n") == F.col("_k")) & F.col("pmc_id").isNotNull())).select(*articles.columns)

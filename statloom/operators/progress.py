@@ -71,3 +71,23 @@ def best(df: DataFrame, score: Column, key: str) -> DataFrame:
 def fleet(calls: DataFrame, instance: str = "instance") -> DataFrame:
     """Per instance: calls, errors, mean seconds."""
     return calls.groupBy(instance).agg(F.count(F.lit(1)).alias("processed"), F.count_if("failed").alias("errors"), F.round(F.avg("seconds"), 6).alias("mean_seconds"))
+
+
+def fleet_status(instances: DataFrame) -> DataFrame:
+    """One row: calls processed, errors, instances, and how many of them are available (fewer errors than calls lately, or as
+    is_available says where there is such a column)."""
+    up = F.col("is_available") if "is_available" in instances.columns else F.col("errors") < F.col("processed")
+    return instances.agg(F.coalesce(F.sum("processed"), F.lit(0)).alias("processed"), F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"), F.count(F.lit(1)).alias("instances"), F.count_if(F.coalesce(up, F.lit(False))).alias("available"))
+
+
+def all_processed(*logs: DataFrame, key: str = "pmc_id") -> DataFrame:
+    """Different keys that any of several logs has."""
+    out = logs[0].select(key)
+    for log in logs[1:]:
+        out = out.unionByName(log.select(key))
+    return out.where(F.col(key).isNotNull()).distinct()
+
+
+def log_rows(ids: DataFrame, batch_id: str, status: str, at: Column | None = None, key: str = "pmc_id") -> DataFrame:
+    """Rows that mark ids as processed or failed, for appending to the log: pmc_id, processed_at, batch_id, status."""
+    return ids.select(F.col(key).alias("pmc_id"), (F.current_timestamp() if at is None else at).alias("processed_at"), F.lit(batch_id).alias("batch_id"), F.lit(status).alias("status"))

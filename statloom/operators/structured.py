@@ -56,12 +56,16 @@ def findings(articles: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def valid_findings(found: DataFrame, compat: bool = False) -> DataFrame:
-    """Findings of at least 0.2 confidence whose interval is ordered. compat: an interval's first two groups are its bounds,
-    whatever they are; else the last two."""
+    """Findings of at least 0.2 confidence that are possible: an interval's bounds in order, a p-value (last group) from 0 to 1,
+    a sample size (first group) over 0; where no number can be read, p-values and sizes pass. compat: an interval's first two
+    groups are its bounds, whatever they are (else the last two), and p-values and sizes are not looked at."""
     num = lambda c: F.expr(f"try_cast({c} AS DOUBLE)")
     lo, hi = (num("groups[0]"), num("groups[1]")) if compat else (num("element_at(groups, -2)"), num("element_at(groups, -1)"))
-    ok = (F.col("type") != "confidence_interval") | F.coalesce((F.size("groups") >= 2) & (lo < hi), F.lit(False))
-    return found.where((F.col("confidence") >= 0.2) & ok)
+    ok = F.when(F.col("type") == "confidence_interval", F.coalesce((F.size("groups") >= 2) & (lo < hi), F.lit(False)))
+    if not compat:
+        ok = ok.when(F.col("type") == "p_value", F.coalesce(num("element_at(groups, -1)").between(0, 1), F.lit(True)))
+        ok = ok.when(F.col("type") == "sample_size", F.coalesce(num("groups[0]") > 0, F.lit(True)))
+    return found.where((F.col("confidence") >= 0.2) & ok.otherwise(F.lit(True)))
 
 
 def table_mark_counts(text: Column) -> list[Column]:

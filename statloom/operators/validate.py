@@ -42,28 +42,40 @@ def validated(f: DataFrame) -> DataFrame:
     return f.withColumn("issues", issues())
 
 
+def _combined() -> dict[str, Column]:
+    """Aggregates behind the rules on combinations. Only intervals written as an object with bounds count."""
+    k = F.col("kind")
+    size = F.when(k == "sample_size", F.col("num"))
+    return {
+        "sig": F.count_if((k == "p_value") & (F.col("num") < LIMITS["p_significant"])),
+        "null_ci": F.coalesce(F.max((k == "confidence_interval") & F.col("bounded") & (F.col("lo") < 0) & (F.col("hi") > 0)), F.lit(False)),
+        "sizes": F.count(size),
+        "most": F.max(size),
+        "least": F.min(size),
+    }
+
+
+def _combination_issues() -> dict[str, Column]:
+    extreme = (F.col("sizes") > 1) & (F.try_divide("most", "least") > LIMITS["n_ratio"])
+    return {"significant_with_null": F.when(F.col("null_ci"), F.col("sig")).otherwise(F.lit(0)), "extreme_sizes": F.when(extreme, 1).otherwise(0)}
+
+
 def combinations(f: DataFrame, key: str = "pmc_id") -> DataFrame:
     """Per article: one issue for each significant p-value where some interval holds zero, and one where sample sizes
     differ over a thousandfold. A smallest size of 0 gives no ratio."""
-    k = F.col("kind")
-    sig = F.count_if((k == "p_value") & (F.col("num") < LIMITS["p_significant"]))
-    null_ci = F.max((k == "confidence_interval") & (F.col("lo") < 0) & (F.col("hi") > 0))
-    size = F.when(k == "sample_size", F.col("num"))
-    per = f.groupBy(key).agg(sig.alias("sig"), F.coalesce(null_ci, F.lit(False)).alias("null_ci"), F.count(size).alias("sizes"), F.max(size).alias("most"), F.min(size).alias("least"))
-    ratio = F.try_divide("most", "least")
-    return per.select(key, F.when(F.col("null_ci"), F.col("sig")).otherwise(F.lit(0)).alias("significant_with_null"), F.when((F.col("sizes") > 1) & (ratio > LIMITS["n_ratio"]), 1).otherwise(0).alias("extreme_sizes"))
+    per = f.groupBy(key).agg(*[c.alias(n) for n, c in _combined().items()])
+    return per.select(key, *[c.alias(n) for n, c in _combination_issues().items()])
 
 
 def article_validity(f: DataFrame, key: str = "pmc_id") -> DataFrame:
-    """Per article: findings by kind, number of issues (rows and combinations), valid if there are none."""
-    v = validated(f)
+    """Per article: findings by kind, number of issues (rows, combinations, a missing key), valid if there are none. One
+    aggregation; findings of no article are one group."""
     k = F.col("kind")
-    counts = v.groupBy(key).agg(
-        F.count_if(k == "confidence_interval").alias("cis"), F.count_if(k == "p_value").alias("ps"), F.count_if(k == "sample_size").alias("ns"), F.count_if(k == "effect_size").alias("effects"), F.sum(F.size("issues")).alias("row_issues")
-    )
-    c = combinations(f, key)
-    j = counts.join(c, key)
-    total = F.col("row_issues") + F.col("significant_with_null") + F.col("extreme_sizes")
+    kinds = {"cis": "confidence_interval", "ps": "p_value", "ns": "sample_size", "effects": "effect_size"}
+    per = validated(f).groupBy(key).agg(*[F.count_if(k == kind).alias(n) for n, kind in kinds.items()], F.sum(F.size("issues")).alias("row_issues"), *[c.alias(n) for n, c in _combined().items()])
+    missing = F.coalesce(F.col(key) == "", F.lit(True)).cast("int").alias("missing_key")
+    j = per.select(key, *kinds, "row_issues", *[c.alias(n) for n, c in _combination_issues().items()], missing)
+    total = F.col("row_issues") + F.col("significant_with_null") + F.col("extreme_sizes") + F.col("missing_key")
     return j.withColumn("issues", total).withColumn("valid", F.col("issues") == 0)
 
 
@@ -88,8 +100,15 @@ def issue_messages(v: DataFrame, key: str = "pmc_id", first: int = 3) -> DataFra
     salted = Window.partitionBy(key, F.pmod("id", F.lit(16))).orderBy("issue", "id")
     few = i.withColumn("_r", F.row_number().over(salted)).where(F.col("_r") <= first).drop("_r")
     top = few.groupBy(key).agg(F.slice(F.array_sort(F.collect_list(F.struct("issue", "id"))), 1, first).alias("t"))  # at most 16 * first a key
-    n = i.groupBy(key).agg(F.count(F.lit(1)).alias("issues"))
-    return top.join(n, key).select(key, F.array_join(F.transform("t", lambda x: x["issue"]), "; ").alias("message"), "issues")
+    n = i.groupBy(F.col(key).alias("_of")).agg(F.count(F.lit(1)).alias("issues"))
+    return top.join(n, F.col(key).eqNullSafe(F.col("_of"))).select(key, F.array_join(F.transform("t", lambda x: x["issue"]), "; ").alias("message"), "issues")
+
+
+def recent_errors(v: DataFrame, key: str = "pmc_id", last: int = 10) -> DataFrame:
+    """The articles with issues whose last such finding (by id) is latest: key, that id and the number of issues. The limit is
+    the feature."""
+    bad = v.where(F.size("issues") > 0).groupBy(key).agg(F.max("id").alias("last_id"), F.sum(F.size("issues")).alias("issues"))
+    return bad.orderBy(F.desc("last_id")).limit(last)
 
 
 def validation_report(v: DataFrame, validity: DataFrame) -> DataFrame:

@@ -95,12 +95,28 @@ x1 AS (SELECT rid, CASE WHEN json_type(v) = 'OBJECT' OR json_type(v, '$[0]') IN
 xg AS (SELECT rid, i - 1 AS parent, json_extract(a[i], '$.intervals') AS v FROM (SELECT rid, a, unnest(range(1, len(a) + 1)) AS i FROM x1) WHERE json_exists(a[i], '$.table')),
 x AS (SELECT 'llm_extracted_stats' AS table_name, rid, -1 AS parent, 'confidence_intervals' AS kind, list_transform(a, lambda q: CASE WHEN json_exists(q, '$.table') THEN CAST('null' AS JSON) ELSE q END) AS a FROM x1
   UNION ALL SELECT 'llm_extracted_stats', rid, parent, 'confidence_intervals', {_ITEMS} FROM xg WHERE v IS NOT NULL),
-e AS (SELECT * FROM j UNION ALL SELECT * FROM f UNION ALL SELECT * FROM x)
-SELECT table_name, rid AS record_id, CAST(parent AS INTEGER) AS parent_pos, kind, CAST(i - 1 AS INTEGER) AS item_pos
-FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM e) WHERE json_type(a[i]) <> 'NULL'
+e AS (SELECT * FROM j UNION ALL SELECT * FROM f UNION ALL SELECT * FROM x),
+item AS (SELECT table_name, rid, CAST(parent AS INTEGER) AS parent, kind, CAST(i - 1 AS INTEGER) AS pos, a[i] AS v FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM e) WHERE json_type(a[i]) <> 'NULL')
+"""
+_P2_FOUND = """
+SELECT table_name, rid AS record_id, parent AS parent_pos, kind, pos AS item_pos FROM item
+"""
+#: What an item's value is, unwrapped from {"value": ...} as long as that leads to an interval or a number.
+_NUMERIC = "(json_type({0}) IN ('DOUBLE', 'BIGINT', 'UBIGINT') OR json_type({0}) = 'VARCHAR' AND TRY_CAST({0}->>'$' AS DOUBLE) IS NOT NULL)"
+_WRAPPED = "json_type({0}) = 'OBJECT' AND NOT (json_exists({0}, '$.lower') AND json_exists({0}, '$.upper')) AND NOT json_exists({0}, '$.match') AND NOT json_exists({0}, '$.type') AND json_exists({0}, '$.value')"
+_BOXED = "json_type({0}) = 'OBJECT' AND json_exists({0}, '$.value') AND json_type({0}, '$.value') IN ('OBJECT', 'ARRAY') AND NOT (json_exists({0}, '$.lower') AND json_exists({0}, '$.upper'))"
+_P2_VALUES = f"""
+, u0 AS (SELECT *, CASE WHEN kind = 'finding' AND json_type(v) = 'OBJECT' THEN json_extract(v, '$.value') ELSE v END AS u FROM item),
+u1 AS (SELECT * EXCLUDE u, CASE WHEN {_WRAPPED.format("u")} OR {_BOXED.format("u")} THEN json_extract(u, '$.value') ELSE u END AS u FROM u0),
+u2 AS (SELECT * EXCLUDE u, CASE WHEN {_WRAPPED.format("u")} OR {_BOXED.format("u")} THEN json_extract(u, '$.value') ELSE u END AS u FROM u1),
+u AS (SELECT *, json_type(u) = 'OBJECT' AND json_exists(u, '$.lower') AND json_exists(u, '$.upper') AS named,
+  json_type(u) = 'ARRAY' AND json_array_length(u) BETWEEN 2 AND 3 AND {_NUMERIC.format("json_extract(u, '$[0]')")} AND {_NUMERIC.format("json_extract(u, '$[1]')")} AND (json_array_length(u) = 2 OR {_NUMERIC.format("json_extract(u, '$[2]')")}) AS pair FROM u2),
+typed AS (SELECT *, TRY_CAST(CASE WHEN named THEN u->>'$.lower' WHEN pair THEN u->>'$[0]' END AS DOUBLE) AS lower, TRY_CAST(CASE WHEN named THEN u->>'$.upper' WHEN pair THEN u->>'$[1]' END AS DOUBLE) AS upper,
+  TRY_CAST(CASE WHEN named THEN u->>'$.level' WHEN pair THEN u->>'$[2]' END AS DOUBLE) AS level FROM u)
 """
 ORACLES = {
-    "p2_found": _P2,
+    "p2_found": _P2 + _P2_FOUND,
+    "p2_intervals": _P2 + _P2_VALUES + "SELECT table_name, rid AS record_id, parent AS parent_pos, kind, pos AS item_pos, lower, upper, level FROM typed WHERE named OR pair",
     "p4_found": f"WITH {_P4} SELECT pmc_id FROM due",
     "p4_next_run": f"WITH {_P4} SELECT pmc_id FROM due WHERE pmc_id IN (SELECT pmc_id FROM failed)",
 }

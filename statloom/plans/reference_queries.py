@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 from statloom.functions import dialect
 from statloom.functions import patterns as P
 from statloom.functions import text as tx
-from statloom.operators import analytics, audit, batching, extract, findings, merge, prioritize, progress, responses, structured, validate
+from statloom.operators import analytics, audit, batching, extract, findings, merge, nested, prioritize, progress, responses, structured, validate
+from statloom.plans.data_queries import _P2, _P2_VALUES
 from statloom.sources import readers, sinks
-from statloom.runtime import scratch, spread, table
+from statloom.runtime import scratch, spread, table, written
 from statloom.streaming import streams
 
 QUERIES: dict = {}
@@ -30,6 +32,8 @@ WIDE = {
     "audit_high": ("found", "checked"),
     "audit_count_match": ("extracted", "manual"),
     "audit_low": ("extracted", "found", "missed"),
+    "structured_places": ("start",),
+    "raw_interval_hits": ("intervals",),
     "ascii_text": ("ascii_title", "ascii_text"),
     "match_context": ("pos",),
 }
@@ -135,7 +139,7 @@ def year_range(spark, d):
     return table(spark, d, "articles").agg(F.min("pub_year").alias("first_year"), F.max("pub_year").alias("last_year"))
 
 
-@query()
+@query("SELECT column_index AS position, column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS data_type, is_nullable AS nullable FROM duckdb_columns() WHERE table_name = 'articles'")
 def schema_info(spark, d):
     return readers.schema_rows(table(spark, d, "articles"))
 
@@ -164,14 +168,15 @@ def scan_jsonl(spark, d):
     return lines.select("line_id", g("$.id", "long").alias("id"), g("$.metadata.pmc_id").alias("pmc_id"), g("$.metadata.journal").alias("journal"), g("$.error").alias("error"))
 
 
-@query(f"WITH {_J}, s AS (SELECT * FROM o WHERE t->>'$.error' IS NULL AND json_type(t, '$.stats') = 'OBJECT') SELECT count(*) AS results, CAST(sum(CAST(t->>'$.stats.rigor_score' AS INTEGER)) AS BIGINT) AS score_sum, count(*) FILTER (WHERE json_array_length(t, '$.stats.p_values') > 0) AS with_p FROM s")
+@query(
+    f"{_P2}, ok AS (SELECT so.rid, so.s FROM so JOIN l USING (rid) WHERE l.t->>'$.error' IS NULL), p AS (SELECT DISTINCT rid FROM item WHERE table_name = 'extraction_jsonl' AND kind = 'p_values')"
+    " SELECT count(*) AS results, CAST(sum(CAST(s->>'$.rigor_score' AS INTEGER)) AS BIGINT) AS score_sum, count(*) FILTER (WHERE rid IN (SELECT rid FROM p)) AS with_p FROM ok"
+)
 def jsonl_results(spark, d):
-    """Result lines of the extraction files (errors and malformed lines left out): number, scores, lines with p-values."""
-    lines = table(spark, d, "extraction_jsonl").select(F.try_parse_json("line_text").alias("v")).where("v is not null").where(F.schema_of_variant("v").startswith("OBJECT"))
-    g = lambda p, t="string": F.try_variant_get("v", p, t)
-    ok = lines.where(g("$.error").isNull() & F.schema_of_variant(g("$.stats", "variant")).startswith("OBJECT"))
-    p = F.size(F.try_variant_get("v", "$.stats.p_values", "array<variant>"))
-    return ok.agg(F.count(F.lit(1)).alias("results"), F.sum(g("$.stats.rigor_score", "int")).alias("score_sum"), F.count_if(p > 0).alias("with_p"))
+    """Result lines of the extraction files, wherever their stats sit and also if they are JSON text (errors and malformed lines
+    left out): number, scores, lines with p-values."""
+    ok = nested.stats_rows(table(spark, d, "extraction_jsonl")).where("error is null and p_values is not null")
+    return ok.agg(F.count(F.lit(1)).alias("results"), F.sum("rigor_score").alias("score_sum"), F.count_if(F.col("p_values") > 0).alias("with_p"))
 
 
 @query("SELECT DISTINCT pmc_id FROM llm_processing_status WHERE lower(trim(status)) = 'completed' AND pmc_id IS NOT NULL")
@@ -179,6 +184,12 @@ def completed_ids(spark, d):
     return table(spark, d, "llm_processing_status").where((progress.status_word() == "completed") & F.col("pmc_id").isNotNull()).select("pmc_id").distinct()
 
 
+@query("SELECT pmc_id FROM llm_processing_status WHERE pmc_id IS NOT NULL UNION SELECT pmc_id FROM llm_article_status WHERE pmc_id IS NOT NULL")
+def all_processed(spark, d):
+    """Ids that either log has."""
+    return progress.all_processed(table(spark, d, "llm_processing_status"), table(spark, d, "llm_article_status"))
+
+
 @query(f"WITH {A} SELECT id, pmc_id AS m_pmc_id, journal AS m_journal, pub_year AS m_pub_year FROM a")
 def metadata_struct(spark, d):
     m = arts(spark, d).select("id", extract.metadata().alias("m"))
@@ -225,16 +236,44 @@ def structured_findings_count(spark, d):
     return spread(table(spark, d, "articles").select("id", "title", "abstract", "body")).select("id", reduce(lambda a, b: a + b, counts.values()).alias("findings"))
 
 
+def _whole(spark, d):
+    return spread(table(spark, d, "articles").select("id", "title", "abstract", "body"))
+
+
 @query("WITH " + _W + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS pattern, CAST(sum(len({_hits('text', [p])})) AS BIGINT) AS findings FROM w" for n, (p, _) in P.STRUCTURED.items()) + ") WHERE findings > 0")
 def structured_findings(spark, d):
-    """Findings with exact offsets, counted by pattern."""
-    return structured.findings(spread(table(spark, d, "articles").select("id", "title", "abstract", "body"))).groupBy("pattern").agg(F.count(F.lit(1)).alias("findings"))
+    """Findings by pattern, counted where the texts are; structured_places has each with its place."""
+    counts = structured.pattern_counts(structured.whole_text())
+    one = _whole(spark, d).agg(*[F.sum(c).alias(n) for n, c in counts.items()])
+    return one.unpivot([], list(counts), "pattern", "findings").where("findings > 0")
 
 
-@query()
+def _places_sql(name: str, pattern: str, kind: str) -> str:
+    """Offsets from the lengths of the matches and of what stands between them."""
+    m, between = _hits("text", [pattern]), f"string_split_regex(text, {dialect.sql(pattern)})"
+    upto = "coalesce(list_sum(list_transform({0}, lambda z: length(z))), 0)"
+    return f"""SELECT id, '{name}' AS pattern, '{kind}' AS type, CAST(k - 1 AS INTEGER) AS match_pos, start, m[k] AS raw_text, substring(text, greatest(start - 50, 0) + 1, start + length(m[k]) + 50 - greatest(start - 50, 0)) AS context
+    FROM (SELECT *, CAST({upto.format("list_slice(b, 1, k)")} + {upto.format("list_slice(m, 1, k - 1)")} AS BIGINT) AS start FROM (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM (SELECT id, text, {m} AS m, {between} AS b FROM w)))"""
+
+
+@query("WITH " + _W + " " + " UNION ALL ".join(_places_sql(n, p, t) for n, (p, t) in P.STRUCTURED.items()))
+def structured_places(spark, d):
+    """Every finding with its exact offset and fifty characters of context on either side."""
+    return structured.findings(_whole(spark, d)).select("id", "pattern", "type", "match_pos", "start", "raw_text", "context")
+
+
+def _valid_sql(pattern: str, kind: str) -> str:
+    group = lambda i: f"regexp_extract_all(text, {dialect.sql(pattern)}, {i})"
+    n = re.compile(pattern).groups
+    ok = {"confidence_interval": "TRY_CAST(a AS DOUBLE) < TRY_CAST(b AS DOUBLE)", "p_value": "coalesce(TRY_CAST(b AS DOUBLE) BETWEEN 0 AND 1, true)", "sample_size": "coalesce(TRY_CAST(a AS DOUBLE) > 0, true)"}.get(kind, "true")
+    first = 1 if kind == "sample_size" else max(1, n - 1)
+    return f"SELECT '{kind}' AS type FROM (SELECT unnest({group(first)}) AS a, unnest({group(n)}) AS b FROM w) WHERE {ok}"
+
+
+@query("WITH " + _W + " SELECT type, count(*) AS findings FROM (" + " UNION ALL ".join(_valid_sql(p, t) for p, t in P.STRUCTURED.values()) + ") GROUP BY 1")
 def structured_valid(spark, d):
-    """Structured findings that pass the confidence and order checks, by type."""
-    return structured.valid_findings(structured.findings(spread(table(spark, d, "articles").select("id", "title", "abstract", "body")))).groupBy("type").agg(F.count(F.lit(1)).alias("findings"))
+    """Structured findings that are possible, by type."""
+    return structured.valid_findings(structured.findings(_whole(spark, d))).groupBy("type").agg(F.count(F.lit(1)).alias("findings"))
 
 
 @query("SELECT id, " + " + ".join(f"len({_hits('body', [p], dotall=True)})" for p in P.TABLE_MARKS) + " AS sections FROM articles WHERE body IS NOT NULL")
@@ -438,7 +477,13 @@ def merge_join_kind(spark, d):
     return merge.join_kind(fx(spark, d))
 
 
-@query()
+_FINDINGS = _P2 + ", found AS (SELECT rid, parent, v FROM item WHERE table_name = 'llm_responses')"
+
+
+@query(
+    f"{_FINDINGS}, n AS (SELECT rid, parent, count(*) AS findings FROM found GROUP BY 1, 2), b AS (SELECT (id - 1) // 5 AS batch, CAST((id - 1) % 5 AS INTEGER) AS pos, pmc_id FROM articles)"
+    " SELECT CAST(b.batch AS VARCHAR) AS batch_id, pos, pmc_id, findings FROM b LEFT JOIN n ON b.batch = n.rid AND (n.parent = -1 OR n.parent = b.pos)"
+)
 def zip_join(spark, d):
     """Articles in batches of five against the answers' articles by position."""
     b = table(spark, d, "articles").select(F.floor((F.col("id") - 1) / 5).cast("string").alias("batch_id"), F.pmod(F.col("id") - 1, F.lit(5)).cast("int").alias("pos"), "pmc_id")
@@ -485,6 +530,11 @@ def eta(spark, d):
     return progress.eta(b, 1000, 10)
 
 
+@query("WITH i AS (SELECT user_id % 7 AS instance, count(*) AS processed, count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1) SELECT CAST(coalesce(sum(processed), 0) AS BIGINT) AS processed, CAST(coalesce(sum(errors), 0) AS BIGINT) AS errors, count(*) AS instances, count(*) FILTER (WHERE errors < processed) AS available FROM i")
+def fleet_status(spark, d):
+    return progress.fleet_status(_fleet(spark, d))
+
+
 _INST = "i AS (SELECT user_id % 7 AS instance, count(*) AS processed, count(*) FILTER (WHERE event_type = 'error') AS errors, round(avg(value), 6) AS mean_seconds FROM events GROUP BY 1)"
 
 
@@ -527,7 +577,17 @@ def task_chunks(spark, d):
     return batching.task_chunks(table(spark, d, "articles"))
 
 
-@query()
+_PACK = f"""
+WITH RECURSIVE k AS (SELECT id, {_LEN} AS len, {_TOK} AS tokens, {_GK} AS group_key FROM (SELECT *, coalesce(body, '') || coalesce(abstract, '') AS c FROM articles)),
+a AS (SELECT *, CASE WHEN len < 10000 THEN 50 WHEN len < 50000 THEN 25 WHEN len < 100000 THEN 10 ELSE 5 END AS most, row_number() OVER (PARTITION BY group_key ORDER BY len, (id % 2147483648) * 2654435761 % 4294967296 // 4194304, id) AS rn FROM k),
+b AS (SELECT group_key, rn, id, tokens, CAST(0 AS BIGINT) AS batch_no, 0 AS pos, tokens AS total FROM a WHERE rn = 1
+  UNION ALL SELECT a.group_key, a.rn, a.id, a.tokens, CASE WHEN b.total + a.tokens > 8000 OR b.pos + 1 >= a.most THEN b.batch_no + 1 ELSE b.batch_no END,
+    CASE WHEN b.total + a.tokens > 8000 OR b.pos + 1 >= a.most THEN 0 ELSE b.pos + 1 END, CASE WHEN b.total + a.tokens > 8000 OR b.pos + 1 >= a.most THEN a.tokens ELSE b.total + a.tokens END
+  FROM b JOIN a ON a.group_key = b.group_key AND a.rn = b.rn + 1)
+SELECT id, group_key, batch_no, pos AS pos_in_batch, tokens FROM b"""
+
+
+@query(_PACK)
 def pack_batches(spark, d):
     return batching.pack_batches(table(spark, d, "articles"))
 
@@ -535,7 +595,7 @@ def pack_batches(spark, d):
 @query()
 def prompt_build(spark, d):
     a = table(spark, d, "articles")
-    return batching.prompts(a, batching.pack_batches(a), "Return JSON only.").select("group_key", "slot", "batch_no", "part", "articles", F.length("prompt").alias("prompt_length"))
+    return batching.prompts(a, batching.pack_batches(a), "Return JSON only.").select("group_key", "batch_no", "part", "articles", F.length("prompt").alias("prompt_length"))
 
 
 @query()
@@ -543,7 +603,9 @@ def llm_prepare(spark, d):
     return batching.llm_prepare(table(spark, d, "articles")).select("id", "piece", F.length("body").alias("body_length"), "table_count", "figure_count", "has_tables", "has_figures")
 
 
-@query()
+@query(
+    f"{_FINDINGS} SELECT type, location, count(*) AS findings, round(sum(confidence), 6) AS confidence FROM (SELECT coalesce(v->>'$.type', 'other') AS type, coalesce(v->>'$.location', 'unknown') AS location, coalesce(TRY_CAST(v->>'$.confidence' AS DOUBLE), 0.5) AS confidence FROM found) GROUP BY 1, 2"
+)
 def parse_findings(spark, d):
     return responses.parsed_findings(table(spark, d, "llm_responses")).groupBy("type", "location").agg(F.count(F.lit(1)).alias("findings"), F.round(F.sum("confidence"), 6).alias("confidence"))
 
@@ -553,7 +615,7 @@ def model_pipeline(spark, d):
     """Batches, prompts, calls (to the offline client), answers and findings, end to end: findings by type."""
     a = table(spark, d, "articles")
     p = batching.prompts(a, batching.pack_batches(a), "Return JSON only.")
-    p = p.select(F.xxhash64("group_key", "slot", "batch_no", "part").cast("string").alias("batch_id"), "prompt")
+    p = p.select(F.xxhash64("group_key", "batch_no", "part").cast("string").alias("batch_id"), "prompt")
     answers = responses.call_model(p, responses.PatternClient).where("status = 'completed'").select(F.col("batch_id").cast("long").alias("response_id"), F.col("answer").alias("payload"))
     return responses.parsed_findings(answers).groupBy("type").agg(F.count(F.lit(1)).alias("findings"))
 
@@ -578,7 +640,7 @@ def _validate(short: str, kind: str):
 for _s, (_k, _) in _RULES.items():
     _validate(_s, _k)
 
-_COMBO = """c AS (SELECT pmc_id, CASE WHEN coalesce(bool_or(kind = 'confidence_interval' AND lo < 0 AND hi > 0), false) THEN count(*) FILTER (WHERE kind = 'p_value' AND num < 0.05) ELSE 0 END AS significant_with_null,
+_COMBO = """c AS (SELECT pmc_id, CASE WHEN coalesce(bool_or(kind = 'confidence_interval' AND (j->>'$.lower' IS NOT NULL OR j->>'$.upper' IS NOT NULL) AND lo < 0 AND hi > 0), false) THEN count(*) FILTER (WHERE kind = 'p_value' AND num < 0.05) ELSE 0 END AS significant_with_null,
   CASE WHEN count(num) FILTER (WHERE kind = 'sample_size') > 1 AND max(num) FILTER (WHERE kind = 'sample_size') / nullif(min(num) FILTER (WHERE kind = 'sample_size'), 0) > 1000 THEN 1 ELSE 0 END AS extreme_sizes FROM f GROUP BY 1)"""
 
 
@@ -589,7 +651,9 @@ def validate_combo(spark, d):
 
 _VAL = f"""{_V}, {_COMBO}, k AS (SELECT pmc_id, count(*) FILTER (WHERE kind = 'confidence_interval') AS cis, count(*) FILTER (WHERE kind = 'p_value') AS ps, count(*) FILTER (WHERE kind = 'sample_size') AS ns, count(*) FILTER (WHERE kind = 'effect_size') AS effects FROM f GROUP BY 1),
 vi AS (SELECT pmc_id, count(*) AS n FROM v GROUP BY 1),
-val AS (SELECT k.*, coalesce(vi.n, 0) AS row_issues, c.significant_with_null, c.extreme_sizes, coalesce(vi.n, 0) + c.significant_with_null + c.extreme_sizes AS issues FROM k JOIN c USING (pmc_id) LEFT JOIN vi USING (pmc_id))"""
+val AS (SELECT *, row_issues + significant_with_null + extreme_sizes + missing_key AS issues FROM (
+  SELECT k.*, coalesce(vi.n, 0) AS row_issues, c.significant_with_null, c.extreme_sizes, CASE WHEN coalesce(k.pmc_id, '') = '' THEN 1 ELSE 0 END AS missing_key
+  FROM k JOIN c ON k.pmc_id IS NOT DISTINCT FROM c.pmc_id LEFT JOIN vi ON k.pmc_id IS NOT DISTINCT FROM vi.pmc_id))"""
 
 
 @query(f"WITH {_VAL} SELECT *, issues = 0 AS valid FROM val")
@@ -610,6 +674,12 @@ def common_issues(spark, d):
     return validate.common_issues(validate.validated(fs(spark, d)))
 
 
+@query(f"WITH {_V} SELECT pmc_id, max(id) AS last_id, count(*) AS issues FROM v GROUP BY 1 ORDER BY 2 DESC LIMIT 10")
+def recent_errors(spark, d):
+    """The last ten articles with issues: the limit is the feature."""
+    return validate.recent_errors(validate.validated(fs(spark, d)))
+
+
 @query(
     f"""WITH {_VAL}, t AS (SELECT count(*) AS validated, count(*) FILTER (WHERE issues = 0) AS valid FROM val), q AS (SELECT *, round(100.0 * valid / nullif(validated, 0), 6) AS rate FROM t),
     b AS (SELECT issue AS top_issue FROM (SELECT split_part(issue, ':', 1) AS issue, count(*) AS n FROM v GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1))
@@ -687,26 +757,67 @@ def source_matrix(spark, d):
     return merge.source_matrix(fx(spark, d))
 
 
-@query(f"WITH {FX} SELECT pmc_id, kind, left(coalesce(context, ''), 50) AS text_key, id, extractor, round(CASE WHEN extractor = 'llm' THEN confidence ELSE confidence * 0.8 END, 6) AS confidence FROM fx QUALIFY row_number() OVER (PARTITION BY pmc_id, kind, left(coalesce(context, ''), 50) ORDER BY CASE WHEN extractor = 'llm' THEN 0 ELSE 1 END, id) = 1")
+@query(
+    f"""WITH {FX}, q AS (SELECT *, num IS NOT NULL OR (lo IS NOT NULL AND hi IS NOT NULL) AS read FROM fx),
+    g AS (SELECT pmc_id, kind, CASE WHEN read THEN lo END AS lo, CASE WHEN read THEN hi END AS hi, CASE WHEN read THEN num END AS num, CASE WHEN read THEN name END AS name, CASE WHEN NOT read THEN coalesce(context, '') END AS text_key, id, extractor, confidence FROM q)
+    SELECT pmc_id, kind, lo, hi, num, name, text_key, id, extractor, round(CASE WHEN extractor = 'llm' THEN confidence ELSE confidence * 0.8 END, 6) AS confidence
+    FROM g QUALIFY row_number() OVER (PARTITION BY pmc_id, kind, lo, hi, num, name, text_key ORDER BY CASE WHEN extractor = 'llm' THEN 0 ELSE 1 END, id) = 1"""
+)
 def merge_findings(spark, d):
     return merge.merge_findings(fx(spark, d))
 
 
+#: The findings of both records, read in SQL: matched texts of the extraction lines, typed values of the answers.
+_T = "CASE WHEN json_type(v) = 'VARCHAR' THEN v->>'$' ELSE v->>'$.match' END"
+_NAMES = "CASE q " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ((k.replace("'", "''"), v) for k, v in findings.EFFECT_NAMES.items())) + " ELSE nullif(q, '') END"
+_NUM = r"(-?\d+(?:\.\d+)?)"
+_BOTH = (
+    _P2
+    + _P2_VALUES
+    + rf""", meta AS (SELECT rid, coalesce(t->>'$.metadata.pmc_id', t->>'$.run.result.metadata.pmc_id') AS pmc_id FROM l),
+rx0 AS (SELECT m.pmc_id, rid, parent, pos, CASE kind WHEN 'p_values' THEN 'p_value' WHEN 'sample_sizes' THEN 'sample_size' WHEN 'confidence_intervals' THEN 'confidence_interval' ELSE 'effect_size' END AS kind, {_T} AS t
+  FROM item JOIN meta m USING (rid) WHERE table_name = 'extraction_jsonl' AND kind IN ('p_values', 'sample_sizes', 'confidence_intervals', 'effect_sizes') AND m.pmc_id IS NOT NULL),
+rx AS (SELECT *, regexp_replace(t, '\d+(?:\.\d+)?\s*%', '', 'g') AS bare, lower(trim(regexp_extract(t, '^([^=:]*)[=:]', 1))) AS q FROM rx0),
+lx0 AS (SELECT CASE WHEN parent < 0 THEN r.t->>'$.pmc_id' ELSE json_extract_string(r.t, '$.articles[' || parent || '].pmc_id') END AS pmc_id, ty.*, regexp_replace(regexp_replace(lower(trim(v->>'$.type')), '[\s_-]+', '_', 'g'), 's$', '') AS k0 FROM typed ty JOIN r USING (rid) WHERE table_name = 'llm_responses' AND json_type(v) = 'OBJECT'),
+lx AS (SELECT * EXCLUDE k0, CASE k0 WHEN 'ci' THEN 'confidence_interval' ELSE k0 END AS k FROM lx0 WHERE pmc_id IS NOT NULL),
+fx AS (SELECT pmc_id, 'regex' AS extractor, {{'a': rid, 'b': parent, 'c': pos}} AS id, kind, CASE WHEN kind = 'effect_size' THEN {_NAMES} END AS name,
+    CASE WHEN kind = 'confidence_interval' THEN TRY_CAST(regexp_extract(bare, '{_NUM}\s*(?:,|-|–|to)\s*{_NUM}', 1) AS DOUBLE) END AS lo,
+    CASE WHEN kind = 'confidence_interval' THEN TRY_CAST(regexp_extract(bare, '{_NUM}\s*(?:,|-|–|to)\s*{_NUM}', 2) AS DOUBLE) END AS hi,
+    CASE WHEN kind = 'confidence_interval' THEN TRY_CAST(regexp_extract(t, '(\d+(?:\.\d+)?)\s*%', 1) AS DOUBLE) END AS level,
+    TRY_CAST(CASE kind WHEN 'p_value' THEN regexp_extract(t, '[=<>≤≥]\s*(\d*\.?\d+(?:[eE][-+]?\d+)?)', 1) WHEN 'sample_size' THEN regexp_extract(replace(t, ',', ''), '(\d+)', 1) WHEN 'effect_size' THEN regexp_extract(t, '[=:]\s*(-?\d*\.?\d+)', 1) END AS DOUBLE) AS num FROM rx
+  UNION ALL SELECT pmc_id, 'llm', {{'a': rid, 'b': parent, 'c': pos}}, k, CASE WHEN k = 'effect_size' AND json_type(u) = 'OBJECT' AND json_exists(u, '$.type') THEN regexp_replace(lower(u->>'$.type'), '[\s-]+', '_', 'g') END,
+    CASE WHEN k = 'confidence_interval' THEN lower END, CASE WHEN k = 'confidence_interval' THEN upper END, CASE WHEN k = 'confidence_interval' THEN level END,
+    CASE WHEN k <> 'confidence_interval' THEN TRY_CAST(CASE WHEN json_type(u) = 'OBJECT' THEN CASE WHEN json_exists(u, '$.type') THEN u->>'$.value' END WHEN json_type(u) <> 'ARRAY' THEN u->>'$' END AS DOUBLE) END FROM lx WHERE k IN ('p_value', 'sample_size', 'confidence_interval', 'effect_size'))"""
+)
+
+
+def _records(spark, d):
+    return findings.of_both(table(spark, d, "extraction_jsonl"), table(spark, d, "llm_responses"))
+
+
+@query(f"{_BOTH}, {_MA} SELECT pmc_id, CAST(r AS INTEGER) AS regex_count, CAST(l AS INTEGER) AS llm_count, ci, p, n, effect, ci + p + n + effect AS merged_count FROM ma")
+def merge_records(spark, d):
+    """Extraction lines and model answers, read, joined by article and merged, end to end: findings of each article by kind."""
+    return merge.merge_summary(merge.article_counts(written(_records(spark, d), "record-findings")))
+
+
+@query(f"{_BOTH} SELECT extractor, kind, count(*) AS findings, count(num) AS numbers, count(lo) AS lows, count(hi) AS highs, count(level) AS levels, count(name) AS names, round(coalesce(sum(num), 0), 4) AS total, round(coalesce(sum(lo) + sum(hi), 0), 4) AS bounds FROM fx GROUP BY 1, 2")
+def record_findings(spark, d):
+    """What was read from both records, by extractor and kind."""
+    n = lambda c, a: F.count(c).alias(a)
+    return _records(spark, d).groupBy("extractor", "kind").agg(F.count(F.lit(1)).alias("findings"), n("num", "numbers"), n("lo", "lows"), n("hi", "highs"), n("level", "levels"), n("name", "names"), F.round(F.coalesce(F.sum("num"), F.lit(0.0)), 4).alias("total"), F.round(F.coalesce(F.sum("lo") + F.sum("hi"), F.lit(0.0)), 4).alias("bounds"))
+
+
 _UP = """t AS (SELECT * FROM llm_article_status WHERE pmc_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pmc_id ORDER BY processed_at NULLS FIRST, status, findings_count NULLS FIRST, processing_time NULLS FIRST) = 1),
-s AS (SELECT * FROM llm_article_status WHERE pmc_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pmc_id ORDER BY processed_at DESC NULLS LAST, status DESC, findings_count DESC NULLS LAST, processing_time DESC NULLS LAST) = 1 AND right(pmc_id, 1) IN ('0', '1', '2', '3'))"""
+s AS (SELECT * FROM llm_article_status WHERE pmc_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY pmc_id ORDER BY processed_at DESC NULLS LAST, status DESC, findings_count DESC NULLS LAST, processing_time DESC NULLS LAST) = 1)"""
 
 
 def _upsert_inputs(spark, d):
-    """The earliest log row of every article as the table, the latest of some of them as what comes in."""
-    log = table(spark, d, "llm_article_status").where("pmc_id is not null")
+    """The earliest log row of every article as the table, the latest of every article as what comes in."""
     order = ["processed_at", "status", "findings_count", "processing_time"]
-    cols = ["pmc_id", *order]
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("pmc_id")
-    first = log.withColumn("_r", F.row_number().over(w.orderBy(*[F.asc_nulls_first(c) for c in order]))).where("_r = 1").select(*cols)
-    last = log.withColumn("_r", F.row_number().over(w.orderBy(*[F.desc_nulls_last(c) for c in order]))).where("_r = 1").where(F.right("pmc_id", F.lit(1)).isin(*"0123")).select(*cols)
-    return first, last
+    log = table(spark, d, "llm_article_status").where("pmc_id is not null").select("pmc_id", *order)
+    first = log.groupBy("pmc_id").agg(F.min(F.struct(*order)).alias("r")).select("pmc_id", "r.*")  # null comes first in a minimum
+    return first, readers.latest_per_key(log, "pmc_id", *order)
 
 
 _UCOLS = ("processed_at", "status", "findings_count", "processing_time")
@@ -735,10 +846,10 @@ _FIVE = audit._FIVE
 
 
 def _present(text: str) -> str:
-    return " + ".join(f"len(list_filter(list_slice(list_sort({c}), 1, 10), lambda q: contains({text}, trim(q))))" for c in _FIVE)
+    return " + ".join(f"len(list_filter({c}, lambda q: contains({text}, trim(q))))" for c in _FIVE)
 
 
-_CHK = " + ".join(f"least(len({c}), 10)" for c in _FIVE)
+_CHK = " + ".join(f"len({c})" for c in _FIVE)
 _AH = f"h AS (SELECT id, rigor_score, {_present('text')} AS found, {_CHK} AS checked FROM x WHERE rigor_score BETWEEN 60 AND 100)"
 
 
@@ -756,25 +867,52 @@ def audit_summary(spark, d):
     return audit.audit_summary(audit.audit_high(_of_band(spark, d, "high")))
 
 
-@query(f"WITH {X}, m AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS category, len({c}) AS extracted, least(len({_hits('left(text, 50000)', P.AUDIT_A[c])}), 10) AS manual FROM x WHERE rigor_score BETWEEN 51 AND 100" for c in P.AUDIT_A if c != "t_tests") + ") SELECT *, abs(extracted - manual) <= 2 AS match FROM m")
+@query(f"WITH {X}, m AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS category, len({c}) AS extracted, len({_hits('text', P.AUDIT_A[c])}) AS manual FROM x WHERE rigor_score BETWEEN 51 AND 100" for c in P.AUDIT_A if c != "t_tests") + ") SELECT *, abs(extracted - manual) <= 2 AS match FROM m")
 def audit_count_match(spark, d):
     return audit.audit_count_match(_of_band(spark, d, "above_50"))
 
 
-@query(f"WITH {X}, m AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS category, len({c}) AS extracted, len(list_distinct(flatten([{', '.join(_hits('left(text, 100000)', [p]) for p in ps)}]))) AS found FROM x WHERE rigor_score BETWEEN 1 AND 30" for c, ps in P.AUDIT_B.items()) + ") SELECT *, greatest(found - extracted, 0) AS missed FROM m")
+_LOW = f"{X}, m0 AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS category, len({c}) AS extracted, len(list_distinct(flatten([{', '.join(_hits('text', [p]) for p in ps)}]))) AS found FROM x WHERE rigor_score BETWEEN 1 AND 30" for c, ps in P.AUDIT_B.items()) + "), m AS (SELECT *, greatest(found - extracted, 0) AS missed FROM m0)"
+
+
+@query(f"WITH {_LOW} SELECT * FROM m")
 def audit_low(spark, d):
     return audit.audit_low(_of_band(spark, d, "low"))
 
 
+_RESEARCH = " OR ".join(f"contains(lower(left(text, {P.RESEARCH_CHARS})), '{w}')" for w in P.RESEARCH_WORDS)
+
+
 @query(
-    f"WITH {X}, m AS (SELECT id, rigor_score, ({_present('left(text, 100000)')}) = ({_CHK}) AS verified, "
-    + " + ".join(f"CASE WHEN len(list_distinct({_hits('left(text, 50000)', P.AUDIT_C[c])})) > len({c}) * 1.5 THEN 1 ELSE 0 END" for c in _FIVE)
-    + " AS missed FROM x WHERE rigor_score BETWEEN 35 AND 50) SELECT *, CASE WHEN verified AND missed = 0 THEN 'PERFECT' WHEN verified THEN 'GOOD' WHEN missed = 0 THEN 'PARTIAL' ELSE 'NEEDS REVIEW' END AS status FROM m"
+    f"""WITH {_LOW}, q AS (SELECT id, max(missed) > 0 AS missed FROM m GROUP BY 1), z AS (SELECT q.missed, {_RESEARCH} AS research FROM q JOIN x USING (id)),
+    t AS (SELECT count(*) AS articles, count(*) FILTER (WHERE research) AS research, count(*) FILTER (WHERE missed) AS missed, count(*) FILTER (WHERE research AND missed) AS missed_research FROM z),
+    c AS (SELECT *, coalesce(round(100.0 * (articles - missed) / nullif(articles, 0), 6), 0.0) AS completeness FROM t)
+    SELECT *, CASE WHEN completeness >= 90 THEN 'EXCELLENT' WHEN completeness >= 80 THEN 'GOOD' WHEN completeness >= 70 THEN 'FAIR' ELSE 'NEEDS REVIEW' END AS grade FROM c"""
+)
+def audit_low_summary(spark, d):
+    return audit.audit_low_summary(_of_band(spark, d, "low"))
+
+
+_MEDIUM = (
+    f"{X}, m0 AS (SELECT id, rigor_score, {_present('text')} AS found, {_CHK} AS total, "
+    + " + ".join(f"CASE WHEN len(list_distinct({_hits('text', P.AUDIT_C[c])})) > len({c}) * 1.5 THEN 1 ELSE 0 END" for c in _FIVE)
+    + " AS missed FROM x WHERE rigor_score BETWEEN 35 AND 50), m AS (SELECT id, rigor_score, found = total AS verified, missed, CASE WHEN found = total AND missed = 0 THEN 'PERFECT' WHEN found = total THEN 'GOOD' WHEN missed = 0 THEN 'PARTIAL' ELSE 'NEEDS REVIEW' END AS status, coalesce(round(100.0 * found / nullif(total, 0), 6), 100.0) AS accuracy FROM m0)"
 )
+
+
+@query(f"WITH {_MEDIUM} SELECT * FROM m")
 def audit_medium(spark, d):
     return audit.audit_medium(_of_band(spark, d, "medium"))
 
 
+@query(
+    f"""WITH {_MEDIUM}, t AS (SELECT count(*) AS articles, count(*) FILTER (WHERE status = 'PERFECT') AS perfect, count(*) FILTER (WHERE status = 'GOOD') AS good, count(*) FILTER (WHERE status = 'PARTIAL') AS partial,
+    count(*) FILTER (WHERE status = 'NEEDS REVIEW') AS needs_review, coalesce(round(avg(accuracy), 6), 0.0) AS accuracy FROM m) SELECT *, CASE WHEN accuracy >= 90 THEN 'EXCELLENT' WHEN accuracy >= 75 THEN 'GOOD' ELSE 'NEEDS IMPROVEMENT' END AS grade FROM t"""
+)
+def audit_medium_summary(spark, d):
+    return audit.audit_medium_summary(audit.audit_medium(_of_band(spark, d, "medium")))
+
+
 @query(f"WITH {X}, {_AH.replace('h AS', 'l AS').replace('BETWEEN 60 AND 100', 'BETWEEN 1 AND 30')} SELECT count(*) AS articles, CAST(sum(found) AS BIGINT) AS found, CAST(sum(checked) AS BIGINT) AS checked, coalesce(round(100.0 * sum(found) / nullif(sum(checked), 0), 6), 0.0) AS accuracy, CASE WHEN coalesce(100.0 * sum(found) / nullif(sum(checked), 0), 0) >= 90 THEN 'EXCELLENT' WHEN coalesce(100.0 * sum(found) / nullif(sum(checked), 0), 0) >= 75 THEN 'GOOD' ELSE 'NEEDS IMPROVEMENT' END AS grade FROM l")
 def audit_low_presence(spark, d):
     """The presence audit over the low band, graded by the medium scale."""
@@ -807,9 +945,9 @@ def type_singular(spark, d):
     return table(spark, d, "merged_statistics").groupBy(tx.singular(F.lower(F.trim("statistic_type"))).alias("type")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query()
+@query(f"{_P2} SELECT response_id, len({_hits('payload', P.IMPLEMENTED['confidence_intervals'])}) AS intervals FROM llm_responses WHERE payload IS NOT NULL AND response_id NOT IN (SELECT rid FROM r)")
 def raw_interval_hits(spark, d):
-    """Answers that hold no object, with the intervals their text names."""
+    """Answers that hold no whole object, with the intervals their text names."""
     return responses.raw_interval_hits(table(spark, d, "llm_responses")).select("response_id", F.size("intervals").alias("intervals"))
 
 

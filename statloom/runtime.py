@@ -55,7 +55,7 @@ def spread(df: DataFrame) -> DataFrame:
         plan = df._jdf.queryExecution()
     except AttributeError:  # a remote session doesn't show its plans
         return df
-    if int(plan.optimizedPlan().stats().sizeInBytes().toString()) > SPREAD_BYTES:
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if plan.toRdd().getNumPartitions() * 2 <= cores else df

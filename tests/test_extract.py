@@ -1,3 +1,5 @@
+import random
+
 import re
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from statloom.functions import dialect
 from statloom.functions import patterns as P
+from statloom.functions.patterns import SIZE_CLASSES
 from statloom.operators import batching, extract, structured
 from tests.helpers import rows
 
@@ -116,7 +119,7 @@ def test_packing_limits(spark):
     assert sorted(r["id"] for r in packed) == [*range(400), 1000, 1001]
     groups = {}
     for r in packed:
-        groups.setdefault((r["group_key"], r["slot"], r["batch_no"]), []).append(r)
+        groups.setdefault((r["group_key"], r["batch_no"]), []).append(r)
     for g in groups.values():
         assert len(g) <= 50
         assert sum(r["tokens"] for r in g) <= 8000 or len(g) == 1
@@ -124,10 +127,25 @@ def test_packing_limits(spark):
     assert batching.pack_batches(df.limit(0)).count() == 0
 
 
-def test_cut_groups(spark):
-    df = spark.createDataFrame([(i, "P", "t", "a", "x" * (i // 10), "J") for i in range(500)], "id long, pmc_id string, title string, abstract string, body string, journal string")
-    packed = batching.pack_batches(df, slot_rows=100)
-    assert packed.select("slot").distinct().count() >= 4 and packed.count() == 500
+def test_cut_groups_pack_as_one(spark):
+    """Groups packed in slots give what one pass over the group gives, whatever the slots."""
+    rng = random.Random(2)
+    df = spark.createDataFrame([(i, "P", "t", "a", None if rng.random() < 0.4 else "x" * rng.choice([5, 400, 9999, 10_001, 30_000]), rng.choice("JK")) for i in range(1500)], "id long, pmc_id string, title string, abstract string, body string, journal string")
+    mixed = lambda i: (i % 2**31 * 2654435761 % 2**32) >> 22
+    groups, want = {}, {}
+    for r in df.select("id", batching.group_key().alias("g"), F.length(F.coalesce("body", F.lit(""))).alias("n"), batching.token_estimate().alias("t")).collect():
+        groups.setdefault(r["g"], []).append((r["n"], mixed(r["id"]), r["id"], r["t"]))
+    for g, members in groups.items():
+        no = held = tokens = 0
+        for n, _, i, t in sorted(members):
+            most = next(m for below, _, m in SIZE_CLASSES if below is None or n < below)
+            if held and (tokens + t > 8000 or held >= most):
+                no, held, tokens = no + 1, 0, 0
+            want[i] = (g, no, held)
+            held, tokens = held + 1, tokens + t
+    for slot_rows in (50, 130, 100_000):
+        got = {r["id"]: (r["group_key"], r["batch_no"], r["pos_in_batch"]) for r in batching.pack_batches(df, slot_rows=slot_rows).collect()}
+        assert got == want
 
 
 def test_task_chunks(spark):

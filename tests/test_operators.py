@@ -37,8 +37,8 @@ def test_invalid_article(spark):
 
 
 def test_combinations(spark):
-    f = found(spark, [("A", "p_value", "0.01", "llm"), ("A", "p_value", "0.02", "llm"), ("A", "p_value", "0.2", "llm"), ("A", "confidence_interval", "[-1, 1]", "llm"), ("B", "sample_size", "10", "llm"), ("B", "sample_size", "20000", "llm"), ("C", "sample_size", "0", "llm"), ("C", "sample_size", "100", "llm")])
-    assert rows(validate.combinations(f)) == [("A", 2, 0), ("B", 0, 1), ("C", 0, 0)]
+    f = found(spark, [("A", "p_value", "0.01", "llm"), ("A", "p_value", "0.02", "llm"), ("A", "p_value", "0.2", "llm"), ("A", "confidence_interval", '{"lower": -1, "upper": 1}', "llm"), ("D", "p_value", "0.01", "llm"), ("D", "confidence_interval", "[-1, 1]", "llm"), ("B", "sample_size", "10", "llm"), ("B", "sample_size", "20000", "llm"), ("C", "sample_size", "0", "llm"), ("C", "sample_size", "100", "llm")])
+    assert rows(validate.combinations(f)) == [("A", 2, 0), ("B", 0, 1), ("C", 0, 0), ("D", 0, 0)]  # a pair without names is no interval here
 
 
 def test_compare(spark):
@@ -167,6 +167,7 @@ def test_not_in_with_null(spark):
     done = spark.createDataFrame([("x",)], "pmc_id string")
     assert rows(prioritize.unprocessed_not_in(a, done).select("id")) == [(2,)]
     assert prioritize.unprocessed_not_in(a, done.unionByName(spark.createDataFrame([(None,)], "pmc_id string"))).count() == 0
+    assert rows(prioritize.unprocessed_not_in(a, done.limit(0)).select("id")) == [(1,), (2,), (3,)]
     assert rows(extract.unprocessed(a, done, "pmc_id").select("id")) == [(2,), (3,)]
 
 
