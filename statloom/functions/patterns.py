@@ -176,7 +176,7 @@ FIGURE_MARKS = [r"Figure\s+\d+[:\.].*?(?=Figure\s+\d+|Table\s+\d+|$)", r"FIGURE\
 #: Characters before and after a table mark that belong to its section.
 TABLE_WINDOW = (100, 500)
 
-#: Looser patterns of the three audits.
+#: Looser patterns of the audit of counts.
 AUDIT_A = {
     "p_values": [
         r"[Pp]\s*[<>=≤≥]\s*0?\.?\d+",
@@ -199,6 +199,7 @@ AUDIT_A = {
         r"t[-\s]?test",
     ],
 }
+#: The wide catalogue of the audit of low scores.
 AUDIT_B = {
     "p_values": [
         r"p\s*[<>=]\s*0?\.\d+",
@@ -242,6 +243,7 @@ AUDIT_B = {
         "[Ff]isher.*exact",
     ],
 }
+#: The quick search of the audit of medium scores.
 AUDIT_C = {
     "p_values": [
         r"[Pp]\s*[<>=]\s*0?\.\d+",
@@ -265,14 +267,16 @@ AUDIT_C = {
         "regression",
     ],
 }
-#: How far into a text the audits look, and how many items they check.
+#: How far into a text the audits with cuts look, and how many items they check.
 AUDIT_CHARS = {"count_match": 50_000, "presence": 100_000, "missed_low": 100_000, "missed_medium": 50_000}
 AUDIT_ITEMS = 10
 
-#: Content flags of an article for grouping, and words that mark a research article.
+#: Content flags of an article for grouping.
 CONTENT_FLAGS = {"has_ci": r"CI[:=\s]|confidence interval", "has_pvalues": r"p\s*[<>=]\s*0\.\d+", "has_sample_size": r"n\s*=\s*\d+"}
+#: Words that mark a research article, and how far into a text they are looked for.
 RESEARCH_WORDS = ("methods", "results", "statistical analysis", "data analysis")
 RESEARCH_CHARS = 10_000
-#: Body length below which a size class ends, its name and the most articles in one of its batches.
+#: Body length below which a size class ends, its name and the most articles in one of its batches.
 SIZE_CLASSES = ((10_000, "short", 50), (50_000, "medium", 25), (100_000, "long", 10), (None, "very_long", 5))
+#: Fixed value: tokens of a batch.
 TARGET_TOKENS = 8000

@@ -8,8 +8,10 @@ each island is folded alone. A task gathers an island: at most as many different
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +36,43 @@ def _distinct(f: DataFrame, kind: str, keys: Sequence[Column], by: str) -> DataF
     return d.select(by, "extractor", "name", *names, "f.*")
 
 
+#: From this size on an island is folded by a grid, in time in proportion to it, and no longer by comparing all with all.
+LARGE = 500
+
+
+def _kept_of_large(step: float):
+    """Which pattern values of a large island are kept: those whose key and neighbourhood are free. Cells are as wide as the
+    tolerance, so what is close to a value stands in its cell or next to it; as keys are rounded a cell holds a bounded number."""
+
+    @F.pandas_udf("array<boolean>")
+    def kept(model: pd.Series, patterns: pd.Series) -> pd.Series:
+        out = []
+        for own, new in zip(model, patterns, strict=True):
+            if new is None:
+                out.append(None)
+                continue
+            cells: dict[tuple, list[tuple]] = {}
+            taken = set()
+
+            def put(a, b, k):
+                taken.add(k)  # noqa: B023
+                cells.setdefault((math.floor(a / step), math.floor(b / step)), []).append((a, b))  # noqa: B023
+
+            for a, b, k0, k1 in (x for x in own):
+                put(a, b, (k0, k1))
+            flags = []
+            for a, b, k0, k1 in (x for x in new):
+                i, j = math.floor(a / step), math.floor(b / step)
+                free = (k0, k1) not in taken and not any(abs(x - a) < step and abs(y - b) < step for u in (i - 1, i, i + 1) for v in (j - 1, j, j + 1) for x, y in cells.get((u, v), ()))
+                flags.append(free)
+                if free:
+                    put(a, b, (k0, k1))
+            out.append(flags)
+        return pd.Series(out)
+
+    return kept
+
+
 def _folded(d: DataFrame, by: str, order: str, step: float, keys: Sequence[str], near) -> DataFrame:
     """MERGED rows of distinct values: an island's model values, and behind them, in order of id, every pattern value
     whose key is new and that is close to nothing kept so far."""
@@ -44,7 +83,13 @@ def _folded(d: DataFrame, by: str, order: str, step: float, keys: Sequence[str],
     pick = lambda e: F.array_sort(F.collect_list(F.when(F.col("extractor") == e, entry)))
     g = d.groupBy(by, "name", "_island").agg(pick("llm").alias("l"), pick("regex").alias("r"))
     fold = F.aggregate("r", F.col("l"), lambda acc, x: F.when(F.exists(acc, lambda y: (y["k"] == x["k"]) | near(x, y)), acc).otherwise(F.concat(acc, F.array(x))))
-    return g.select(by, "name", F.explode(fold).alias("m")).select(by, "name", "m.id", "m.extractor", "m.lo", "m.hi", "m.level", "m.num")
+    large = F.size("l") + F.size("r") >= LARGE
+    second = F.lit(0.0)
+    numbers = lambda c: F.transform(c, lambda x: F.array(x[order].cast("double"), x["hi"].cast("double") if order == "lo" else second, x["k"][keys[0]].cast("double"), x["k"][keys[1]].cast("double") if len(keys) > 1 else second))
+    flags = _kept_of_large(step)(F.when(large, numbers("l")), F.when(large, numbers("r")))
+    g = g.withColumn("_flags", flags)
+    some = F.concat("l", F.transform(F.filter(F.arrays_zip("r", "_flags"), lambda z: z["_flags"]), lambda z: z["r"]))
+    return g.select(by, "name", F.explode(F.when(large, some).otherwise(fold)).alias("m")).select(by, "name", "m.id", "m.extractor", "m.lo", "m.hi", "m.level", "m.num")
 
 
 def _rows(d: DataFrame, kind: str, by: str) -> DataFrame:

@@ -114,9 +114,13 @@ u AS (SELECT *, json_type(u) = 'OBJECT' AND json_exists(u, '$.lower') AND json_e
 typed AS (SELECT *, TRY_CAST(CASE WHEN named THEN u->>'$.lower' WHEN pair THEN u->>'$[0]' END AS DOUBLE) AS lower, TRY_CAST(CASE WHEN named THEN u->>'$.upper' WHEN pair THEN u->>'$[1]' END AS DOUBLE) AS upper,
   TRY_CAST(CASE WHEN named THEN u->>'$.level' WHEN pair THEN u->>'$[2]' END AS DOUBLE) AS level FROM u)
 """
+_KEYS = "SELECT table_name, rid AS record_id, parent AS parent_pos, kind, pos AS item_pos, "
 ORACLES = {
     "p2_found": _P2 + _P2_FOUND,
-    "p2_intervals": _P2 + _P2_VALUES + "SELECT table_name, rid AS record_id, parent AS parent_pos, kind, pos AS item_pos, lower, upper, level FROM typed WHERE named OR pair",
+    "p2_intervals": _P2 + _P2_VALUES + _KEYS + "lower, upper, level FROM typed WHERE named OR pair",
+    "p2_numbers": _P2 + _P2_VALUES + _KEYS + f"""TRY_CAST(CASE WHEN effect THEN u->>'$.value' ELSE u->>'$' END AS DOUBLE) AS number, CASE WHEN effect THEN u->>'$.type' WHEN json_type(u) = 'VARCHAR' THEN u->>'$' END AS text
+FROM (SELECT *, json_type(u) = 'OBJECT' AND json_exists(u, '$.type') AND {_NUMERIC.format("json_extract(u, '$.value')")} AS effect FROM typed) WHERE effect OR {_NUMERIC.format("u")}""",
+    "p2_matches": _P2 + _P2_VALUES + _KEYS + f"CASE WHEN json_type(u) = 'VARCHAR' THEN u->>'$' WHEN json_type(u, '$.match') = 'VARCHAR' THEN u->>'$.match' END AS text FROM typed WHERE json_type(u) = 'VARCHAR' AND NOT {_NUMERIC.format('u')} OR json_type(u) = 'OBJECT' AND NOT named AND json_exists(u, '$.match')",
     "p4_found": f"WITH {_P4} SELECT pmc_id FROM due",
     "p4_next_run": f"WITH {_P4} SELECT pmc_id FROM due WHERE pmc_id IN (SELECT pmc_id FROM failed)",
 }

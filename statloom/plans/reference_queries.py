@@ -76,6 +76,11 @@ def fx(spark, d):
     return findings.by_extractor(fs(spark, d))
 
 
+def _fx_once(spark, d):
+    """The same, read and written once as the numbers that all kinds' merges need."""
+    return written(fx(spark, d).select("pmc_id", *merge.MERGED), "typed-findings")
+
+
 def _hits(col: str, pats: list[str], ignore: bool = True, **kw) -> str:
     return f"regexp_extract_all({col}, {dialect.sql(dialect.alternation(pats), ignore_case=ignore, **kw)})"
 
@@ -744,12 +749,12 @@ ma AS (SELECT pmc_id, coalesce(c.regex, 0) + coalesce(p.regex, 0) + coalesce(n.r
 
 @query(f"WITH {FX}, {_MA} SELECT pmc_id, CAST(r AS INTEGER) AS regex_count, CAST(l AS INTEGER) AS llm_count, ci, p, n, effect, ci + p + n + effect AS merged_count FROM ma")
 def merge_summary(spark, d):
-    return merge.merge_summary(merge.article_counts(fx(spark, d)))
+    return merge.merge_summary(merge.article_counts(_fx_once(spark, d)))
 
 
 @query(f"WITH {FX}, {_MA} SELECT CASE WHEN r AND l THEN 'both' WHEN l THEN 'llm_only' WHEN r THEN 'regex_only' ELSE 'none' END AS joined, count(*) AS articles, CAST(sum(ci) AS BIGINT) AS ci, CAST(sum(p) AS BIGINT) AS p, CAST(sum(n) AS BIGINT) AS n, CAST(sum(effect) AS BIGINT) AS effect FROM ma GROUP BY 1")
 def merge_stats(spark, d):
-    return merge.merge_stats(merge.article_counts(fx(spark, d)))
+    return merge.merge_stats(merge.article_counts(_fx_once(spark, d)))
 
 
 @query(f"WITH {FX} SELECT extractor, kind, count(*) AS findings FROM fx GROUP BY CUBE (extractor, kind)")

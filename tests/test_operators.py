@@ -1,4 +1,6 @@
+import json
 import os
+import random
 import time
 
 import pytest
@@ -85,6 +87,29 @@ def test_hot_article_is_cut(spark):
     assert merge.merge_p_values(f).count() == n
 
 
+@pytest.mark.parametrize("kind", ["p_value", "confidence_interval", "effect_size"])
+def test_large_islands_fold_as_small_ones(spark, kind, monkeypatch):
+    rng = random.Random(3)
+    near = {"p_value": 0.0001, "confidence_interval": 0.01, "effect_size": 0.01}[kind]
+    data = []
+    for i in range(1500):
+        a = round(0.5 + rng.random() * near * 40, 6 if kind == "p_value" else 4)
+        value = {"p_value": str(a), "confidence_interval": f"[{a}, {round(a + rng.choice([1, 1.004, 1.02]), 4)}]", "effect_size": json.dumps({"type": "d", "value": a})}[kind]
+        data.append(("A" if i % 3 else "B", kind, value, "llm" if rng.random() < 0.1 else "regex"))
+    f = findings.by_extractor(found(spark, data))
+    op = {k: op for k, op in merge.MERGES.values()}[kind]
+    grid = rows(op(f).select("pmc_id", "id", "extractor"))
+    monkeypatch.setattr(merge, "LARGE", 10**9)
+    assert rows(op(f).select("pmc_id", "id", "extractor")) == grid and len(grid) < 1400
+    monkeypatch.setattr(merge, "LARGE", 0)
+    assert rows(op(f).select("pmc_id", "id", "extractor")) == grid
+
+
+def test_a_dense_island_of_100_000(spark):
+    f = spark.range(100_000).select("id", F.lit("HOT").alias("pmc_id"), F.lit("p_value").alias("kind"), F.lit("regex").alias("extractor"), F.lit(None).cast("string").alias("name"), *[F.lit(None).cast("double").alias(c) for c in ("lo", "hi", "level")], (F.col("id") / 100_000).alias("num"))
+    assert 9_000 < merge.merge_p_values(f).count() < 11_000
+
+
 def test_upsert(spark):
     t = spark.createDataFrame([("a", 1, "x"), ("b", 2, None), (None, 9, "n")], "k string, v int, w string")
     s = spark.createDataFrame([("b", 5, "new"), ("c", 6, "y"), (None, None, "m"), ], "k string, v int, w string")
