@@ -208,6 +208,10 @@ f AS (SELECT group_id, 'source' AS field, id, rk, created_at, 0 AS cut FROM g WH
   UNION ALL SELECT group_id, 'confidence', id, rk, created_at, 0 FROM g WHERE n > 1 AND confidence BETWEEN 0 AND 1)
 SELECT group_id, field, id AS from_id FROM f QUALIFY row_number() OVER (PARTITION BY group_id, field ORDER BY cut, rk, created_at DESC NULLS LAST, id DESC) = 1
 """
+_P6_SURVIVORS = f"""
+WITH best AS ({_P6}) SELECT group_id, max(CASE WHEN field = 'source' THEN m.source END) AS source, max(CASE WHEN field = 'context' THEN m.context END) AS context, max(CASE WHEN field = 'location' THEN m.location END) AS location, max(CASE WHEN field = 'confidence' THEN m.confidence END) AS confidence
+FROM best JOIN merged_statistics m ON m.id = best.from_id GROUP BY 1
+"""
 #: Characters stand in for tokens: which sources stay short is the same by any usual tokenizer.
 _P9 = """
 WITH d AS (SELECT regexp_replace(lower(trim(source)), '[\\s_-]+', '-', 'g') AS source_name, coalesce(length(text), 0) AS n FROM documents),
@@ -215,4 +219,4 @@ t AS (SELECT regexp_replace(lower(trim(source_name)), '[\\s_-]+', '-', 'g') AS s
 h AS (SELECT t.source_name, weight, max_repeats, coalesce(sum(n), 0) AS n FROM t LEFT JOIN d USING (source_name) GROUP BY ALL)
 SELECT source_name FROM h WHERE n * max_repeats < weight * (SELECT sum(n) FROM h)
 """
-ORACLES = {"p9_found": _P9, "p6_found": _P6, "p3_found": _P3, "p5_found": _P5, "p7_found": _P7, "p8_found": _P8}
+ORACLES = {"p9_found": _P9, "p6_found": _P6, "p6_survivors": _P6_SURVIVORS, "p3_found": _P3, "p5_found": _P5, "p7_found": _P7, "p8_found": _P8}
