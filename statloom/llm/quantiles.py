@@ -338,12 +338,14 @@ def percentiles(sketches: DataFrame, groups: Sequence[str], qs: Sequence[float],
 
 def valid_scores(scores: DataFrame) -> DataFrame:
     """Each id once, of its valid rows the first scored: (journal_key, pub_year, run_day, rigor_score). The key, a 64-bit hash
-    of the name, and numbers alone are shuffled; named() puts the names back."""
+    of the name, and the other three in one number are what is shuffled; named() puts the names back."""
     ok = scores.where("id is not null and journal is not null and pub_year between 1900 and 2025 and rigor_score between 0 and 100")
-    day = F.coalesce("run_day", F.lit(0)).cast("int").alias("run_day")
-    first = F.min(F.struct("scored_at", journal_key().alias("journal_key"), F.col("pub_year").cast("short").alias("pub_year"), F.col("rigor_score").cast("short").alias("rigor_score"), day)).alias("r")
-    r = ok.groupBy("id").agg(first)
-    return r.select("r.journal_key", F.col("r.pub_year").cast("int").alias("pub_year"), "r.run_day", F.col("r.rigor_score").cast("int").alias("rigor_score"))
+    low = F.lit(0xFFFFFFFF)
+    packed = F.shiftleft((F.col("pub_year") * 128 + F.col("rigor_score")).cast("long"), 32).bitwiseOR(F.coalesce("run_day", F.lit(0)).cast("long").bitwiseAND(low))
+    first = F.min(F.struct("scored_at", journal_key().alias("journal_key"), packed.alias("p"))).alias("r")
+    r = ok.groupBy("id").agg(first).select("r.journal_key", "r.p")
+    both = F.shiftright("p", 32).cast("int")
+    return r.select("journal_key", F.floor(both / 128).cast("int").alias("pub_year"), F.shiftright(F.shiftleft("p", 32), 32).cast("int").alias("run_day"), F.pmod(both, F.lit(128)).alias("rigor_score"))
 
 
 def journal_key() -> Column:
