@@ -177,7 +177,7 @@ def merge_findings(f: DataFrame, by: str = "pmc_id", text: str = "context") -> D
     rank = F.when(F.col("extractor") == "llm", 0).otherwise(1)
     first = F.min(F.struct(rank.alias("rank"), "id", "confidence")).alias("f")
     read = F.col("num").isNotNull() | F.col("lo").isNotNull() & F.col("hi").isNotNull()
-    key = [F.when(read, F.col(c)).alias(c) for c in ("lo", "hi", "num", "name")]
+    key = [F.when(read, F.col(c) + F.lit(0.0)).alias(c) for c in ("lo", "hi", "num")] + [F.when(read, F.col("name")).alias("name")]  # one zero
     g = f.groupBy(by, "kind", *key, F.when(~read, F.coalesce(text, F.lit(""))).alias("text_key")).agg(first)
     conf = F.when(F.col("f.rank") == 0, F.col("f.confidence")).otherwise(F.col("f.confidence") * REGEX_FACTOR)
     return g.select(by, "kind", "lo", "hi", "num", "name", "text_key", F.col("f.id").alias("id"), F.when(F.col("f.rank") == 0, "llm").otherwise("regex").alias("extractor"), F.round(conf, 6).alias("confidence"))

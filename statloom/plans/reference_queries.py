@@ -764,7 +764,7 @@ def source_matrix(spark, d):
 
 @query(
     f"""WITH {FX}, q AS (SELECT *, num IS NOT NULL OR (lo IS NOT NULL AND hi IS NOT NULL) AS read FROM fx),
-    g AS (SELECT pmc_id, kind, CASE WHEN read THEN lo END AS lo, CASE WHEN read THEN hi END AS hi, CASE WHEN read THEN num END AS num, CASE WHEN read THEN name END AS name, CASE WHEN NOT read THEN coalesce(context, '') END AS text_key, id, extractor, confidence FROM q)
+    g AS (SELECT pmc_id, kind, CASE WHEN read THEN lo + 0.0 END AS lo, CASE WHEN read THEN hi + 0.0 END AS hi, CASE WHEN read THEN num + 0.0 END AS num, CASE WHEN read THEN name END AS name, CASE WHEN NOT read THEN coalesce(context, '') END AS text_key, id, extractor, confidence FROM q)
     SELECT pmc_id, kind, lo, hi, num, name, text_key, id, extractor, round(CASE WHEN extractor = 'llm' THEN confidence ELSE confidence * 0.8 END, 6) AS confidence
     FROM g QUALIFY row_number() OVER (PARTITION BY pmc_id, kind, lo, hi, num, name, text_key ORDER BY CASE WHEN extractor = 'llm' THEN 0 ELSE 1 END, id) = 1"""
 )
