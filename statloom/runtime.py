@@ -96,10 +96,10 @@ def clear_scratch(spark: SparkSession) -> None:
 
 
 def once(df: DataFrame, **exprs: Column) -> DataFrame:
-    """df with further columns that are computed once a row, however often they are used: they come out of a generator,
-    through which neither filters nor projections are copied down."""
+    """df with further columns, in place of those of the same names, that are computed once a row, however often they are used:
+    they come out of a generator, through which neither filters nor projections are copied down."""
     rows = F.explode(F.array(F.struct(*[c.alias(n) for n, c in exprs.items()]))).alias("__once")
-    return df.select("*", rows).select(*df.columns, *[F.col(f"__once.{n}").alias(n) for n in exprs])
+    return df.select("*", rows).select(*[c for c in df.columns if c.lower() not in exprs], *[F.col(f"__once.{n}").alias(n) for n in exprs])
 
 
 def blank(c: Column) -> Column:
