@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -95,6 +95,25 @@ def _batch_ends(tokens: np.ndarray, lens: np.ndarray, target: int) -> np.ndarray
     return np.minimum(ends, n)
 
 
+def _slices(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of each combination of keys, of batches that are in their order."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        if held and len(pdf):
+            pdf = pd.concat([*held, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        new = np.zeros(len(pdf), dtype=bool)
+        for k in keys:
+            v = pdf[k].to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist(), len(pdf)]
+        for a, z in zip(cuts[:-2], cuts[1:-1], strict=True):
+            yield pdf.iloc[a:z]
+        held = [pdf.iloc[cuts[-2] :]]
+    yield from held
+
+
 def pack_batches(articles: DataFrame, target: int = TARGET_TOKENS, slot_rows: int = 100_000) -> DataFrame:
     """PACKED rows: within each group in order of body length (then of a hash of the id), a batch closes when the next article
     would lift it over target tokens or it holds as many as that article's size class allows.
@@ -116,7 +135,6 @@ def pack_batches(articles: DataFrame, target: int = TARGET_TOKENS, slot_rows: in
     rows = ranked.select("id", "group_key", "len", "tokens", "rank", slots.alias("slot"))
 
     def ends(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, int]:
-        pdf = pdf.sort_values("rank", kind="stable")
         own = int((pdf["rank"] < (pdf["slot"].iloc[0] + 1) * slot_rows).sum())
         return pdf, _batch_ends(pdf["tokens"].to_numpy(), pdf["len"].to_numpy(), target), own
 
@@ -152,9 +170,26 @@ def pack_batches(articles: DataFrame, target: int = TARGET_TOKENS, slot_rows: in
         # rows of the next slot are here only where a batch of this one reaches into it
         return pdf.assign(batch_no=nos, pos_in_batch=poss)[nos >= 0][["id", "group_key", "batch_no", "pos_in_batch", "tokens"]]
 
-    tables = rows.groupBy("group_key", "slot").applyInPandas(ways, "group_key string, slot long, out array<long>, batches array<long>")
+    def each(one: Callable[[pd.DataFrame], pd.DataFrame], columns: list[str]):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            done, n = [], 0
+            for part in _slices(batches, ["group_key", "slot"]):
+                done.append(one(part))
+                n += len(done[-1])
+                if n > 20_000:
+                    yield pd.concat(done, ignore_index=True)
+                    done, n = [], 0
+            yield pd.concat(done, ignore_index=True) if done else pd.DataFrame(columns=columns)
+
+        return run
+
+    by_slot = lambda df: df.repartition("group_key", "slot").sortWithinPartitions("group_key", "slot", "rank")
+    # a group of one slot begins where it begins
+    cut = ranked.where(slot > 0).select("group_key").distinct()
+    tables = by_slot(rows.join(cut, "group_key", "left_semi")).mapInPandas(each(ways, ["group_key", "slot", "out", "batches"]), "group_key string, slot long, out array<long>, batches array<long>")
     entries = tables.repartition("group_key").sortWithinPartitions("group_key", "slot").mapInPandas(chain, "group_key string, slot long, enter int, first_no long")
-    return rows.join(entries, ["group_key", "slot"]).groupBy("group_key", "slot").applyInPandas(pack, PACKED)
+    known = rows.join(entries, ["group_key", "slot"], "left").na.fill(0, ["enter", "first_no"])
+    return by_slot(known).mapInPandas(each(pack, ["id", "group_key", "batch_no", "pos_in_batch", "tokens"]), PACKED)
 
 
 def adapt_limits(limits: DataFrame, seconds: Column) -> DataFrame:
